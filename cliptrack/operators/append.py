@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cliptrack.operators.keys import known_keys, not_in_table
+from cliptrack.operators.keys import flag_known, not_in_table
 from cliptrack.schema import KEY
 
 
@@ -73,10 +73,9 @@ def append(existing: DataFrame, batch: DataFrame, order: Sequence[str]) -> DataF
 def append_metrics(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """One row: rows offered, inserted, skipped as duplicates, refused for no key."""
     offered = batch.groupBy(KEY).agg(F.count("*").alias("n"))
-    known = known_keys(existing, batch, KEY).distinct().withColumn("known", F.lit(True))
-    is_new = F.col("known").isNull() & F.col(KEY).isNotNull()
+    is_new = ~F.col("known") & F.col(KEY).isNotNull()
     return (
-        offered.join(known, KEY, "left")
+        flag_known(offered, existing, KEY, "known")
         .agg(
             F.sum("n").alias("offered"),
             F.count_if(is_new).alias("inserted"),

@@ -1,8 +1,14 @@
-"""Membership by key, shaped so that only keys of the big table ever move.
+"""Membership by key, shaped so that a big table moves as little as possible.
 
-The probing side is first cut to its distinct keys: partial aggregation folds a
-hot key into one row per task before anything is shuffled, and a small probe is
-broadcast by Catalyst, so that the big table is scanned in place.
+A key must be unique in the table it is looked up in, as ids are in the
+inventory and paths are among files. The probing rows may repeat it at will.
+
+First the table is cut to keys whose hash occurs among the probe. The probe is
+folded to distinct 64-bit hashes before it is shuffled, and where it is small
+Catalyst broadcasts it, so that the table is scanned in place. Then the rows
+meet the few keys that are left, by the key itself, so equal hashes of different
+keys change nothing. Both sides of this second join come from a shuffle of their
+own, which is what lets Spark split a hot key at run time.
 """
 
 from __future__ import annotations
@@ -11,23 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def known_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
-    """Keys of `probe` that occur in `table`, once per row of `table`."""
-    return table.select(key).join(probe.select(key).distinct(), key, "left_semi")
+def likely_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
+    """Keys of `table` that occur in `probe`, and rarely some others."""
+    some = F.col(key).isNotNull()
+    hashes = probe.filter(some).select(F.xxhash64(key).alias("hash")).distinct()
+    keys = table.filter(some).select(key, F.xxhash64(key).alias("hash"))
+    return keys.join(hashes, "hash", "left_semi").select(key)
 
 
 def in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in `table`. A null key never does."""
-    return rows.join(known_keys(table, rows, key), key, "left_semi")
+    return rows.join(likely_keys(table, rows, key), key, "left_semi")
 
 
 def not_in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in `table`. A null key never does."""
-    return rows.join(known_keys(table, rows, key), key, "left_anti")
+    return rows.join(likely_keys(table, rows, key), key, "left_anti")
 
 
 def flag_known(rows: DataFrame, table: DataFrame, key: str, flag: str) -> DataFrame:
     """All rows, each once, with a boolean telling whether the key is in `table`."""
-    known = known_keys(table, rows, key).distinct().withColumn(flag, F.lit(True))
+    known = likely_keys(table, rows, key).withColumn(flag, F.lit(True))
     flagged = rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     return flagged.select(*rows.columns, flag)

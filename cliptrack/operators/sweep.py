@@ -24,12 +24,13 @@ def sweep(
 
     Rows behind the chosen one are untouched, whether their file exists or not;
     with no file at all every row fails. The first file found is one aggregate
-    over the rows with a file, and everything before it is missing by
-    definition, so the second pass compares keys only: no join, no ranking, no
-    ordered window.
+    over the rows with a file (rows that share a path are folded first), and
+    everything before it is missing by definition, so the second pass compares
+    keys only: no join, no ranking, no ordered window.
     """
     rows = publishable(inventory, tuple(statuses)).withColumn("turn", queue_key())
-    found = on_disk(rows.select("turn", "path_local"), files).agg(F.min("turn").alias("turn"))
+    by_path = rows.groupBy("path_local").agg(F.min("turn").alias("turn"))
+    found = on_disk(by_path, files).agg(F.min("turn").alias("turn"))
     first = F.col("first")
     outcome = (
         F.when(first.isNull() | (F.col("turn") < first), FAIL)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cliptrack.functions import filled, is_filled, whole_seconds
 from cliptrack.functions.backoff import Backoff, after_seconds
+from cliptrack.operators.append import keep_first
 from cliptrack.operators.candidates import first_per_source, listing_entries, new_entries
 from cliptrack.operators.files import file_for_id
 from cliptrack.operators.patches import moment, unmatched
@@ -49,6 +50,8 @@ def ingest(
 
     The download's own id and address win over those of the entry; the file is
     the one named after the id, and the path stays empty where there is none.
+    Where several sources brought the same id, the first in ROUND_ORDER stays,
+    as the append would have it, before any join by id.
     """
     asked = requested.select(
         F.col("source_url").alias("listing"),
@@ -61,9 +64,9 @@ def ingest(
         KEY, F.coalesce("id", "entry_id")
     )
     done = results.filter(F.col("error").isNull())
-    usable = done.filter(is_filled(F.col(KEY)))
+    first = keep_first(done.filter(is_filled(F.col(KEY))), KEY, ROUND_ORDER)
     return Ingest(
-        rows=_inventory_rows(usable.join(file_for_id(files), KEY, "left"), at),
+        rows=_inventory_rows(first.join(file_for_id(files), KEY, "left"), at),
         rejects=done.filter(~is_filled(F.col(KEY))).select("listing", "pos", "entry_id"),
         failures=failure_patches(results.filter(F.col("error").isNotNull()), at),
     )

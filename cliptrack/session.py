@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,9 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="cliptrack-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="cliptrack-")

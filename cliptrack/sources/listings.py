@@ -1,4 +1,4 @@
-"""Tables the outside fetcher and renderer hand in, read with a fixed schema."""
+"""Tables handed in from outside, read with a fixed schema."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampNTZType
 
+from cliptrack.operators.append import check_schema
 from cliptrack.schema import DOWNLOAD, EDIT_RESULT, INVENTORY, LISTING
 
 
@@ -36,3 +38,18 @@ def rows_from_records(
             raise ValueError(f"unknown columns: {sorted(unknown)}")
         rows.append(tuple(record.get(n) for n in names))
     return spark.createDataFrame(rows, schema)
+
+
+def as_inventory(rows: DataFrame) -> DataFrame:
+    """Rows with the inventory's columns and types; times without zone are UTC."""
+    naive = [f.name for f in rows.schema if isinstance(f.dataType, TimestampNTZType)]
+    if naive and rows.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise ValueError("times without zone need spark.sql.session.timeZone=UTC")
+    typed = rows.withColumns({c: F.col(c).cast("timestamp") for c in naive})
+    check_schema(typed.schema, INVENTORY)
+    return typed.select(*INVENTORY.names)
+
+
+def read_inventory_file(spark: SparkSession, path: str) -> DataFrame:
+    """An inventory that was kept as plain Parquet, to append to a stored one."""
+    return as_inventory(spark.read.parquet(path))

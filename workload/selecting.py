@@ -133,7 +133,8 @@ def listing_normalise(t):
 def new_candidates(t):
     entries = candidates.listing_entries(t.listings)
     secure = F.startswith("source_url", F.lit("https:"))
-    return candidates.new_entries(entries.filter(secure), entries.filter(~secure))
+    known = entries.filter(~secure).select("video_id").distinct()
+    return candidates.new_entries(entries.filter(secure), known)
 
 
 @query(
@@ -160,7 +161,8 @@ def first_new_per_source(t):
 def first_three_new_per_source(t):
     entries = candidates.listing_entries(t.listings)
     secure = F.startswith("source_url", F.lit("https:"))
-    wanted = ingest.to_download(entries.filter(secure), entries.filter(~secure), 3)
+    known = entries.filter(~secure).select("video_id").distinct()
+    wanted = ingest.to_download(entries.filter(secure), known, 3)
     return wanted.drop("webpage_url")
 
 
