@@ -7,11 +7,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row
 
+from cliptrack.operators.selection import first_rows, publishable
 from cliptrack.plans import edit, ingest, publish
 from cliptrack.schema import FAILED, KEY, PENDING, POSTED
 from cliptrack.sources.inventory import AppendResult, Inventory, PatchResult
 
 
+#: Rows of the queue that `take_next` tries before it sweeps all of it.
+FRONT = 1000
+
+
 class Workflow:
     """Ingest, edit and publish steps, each one or two commits."""
 
@@ -59,14 +64,21 @@ class Workflow:
         at: datetime | None = None,
         statuses: Iterable[str] = (PENDING,),
     ) -> Row | None:
-        """Id and path to publish, or None; missing files before it are failed."""
+        """Id and path to publish, or None; missing files before it are failed.
+
+        The front of the queue is swept first: a hit there is the hit of the
+        whole queue, and spares matching all of it against the files. Without
+        one the whole queue is swept.
+        """
         statuses = tuple(statuses)
         if self.inventory.latest() is None:
             return None
-        found = publish.next_to_publish(
-            self.inventory.read(statuses=statuses), files, at, statuses
-        )
-        chosen = found.chosen.first()
+        queue = publishable(self.inventory.read(statuses=statuses), statuses)
+        for rows in (first_rows(queue, FRONT), queue):
+            found = publish.next_to_publish(rows, files, at, statuses)
+            chosen = found.chosen.first()
+            if chosen is not None:
+                break
         self.inventory.patch(found.failures)
         return chosen
 

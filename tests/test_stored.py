@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cliptrack import ConcurrentCommit, Inventory, Workflow
+from cliptrack.plans import workflow
 from cliptrack.plans.reports import orphans, status_census, stuck_rows
 from cliptrack.schema import INVENTORY
 from cliptrack.session import scratch_root
@@ -267,6 +268,19 @@ def test_missing_files_fail_in_the_store(spark, stored):
     assert statuses(stored.read()) == {"m1": "failed", "e1": "failed", "raw": "failed"}
 
 
+@pytest.mark.parametrize("front", [1, 2, 3, 50])
+def test_front_of_the_queue_decides_like_the_whole(spark, stored, monkeypatch, front):
+    monkeypatch.setattr(workflow, "FRONT", front)
+    flow = Workflow(stored)
+    rows = [item(f"v{i}", path=f"videos/processed/v{i}.mp4", minutes=i) for i in range(6)]
+    stored.append(inventory(spark, *rows), ORDER)
+    found = files(spark, "videos/processed/v2.mp4", "videos/processed/v4.mp4")
+    assert flow.take_next(found, at(9)).video_id == "v2"
+    assert {v for v, s in statuses(stored.read()).items() if s == "failed"} == {"v0", "v1"}
+    assert flow.take_next(files(spark), at(10)) is None
+    assert set(statuses(stored.read()).values()) == {"failed"}
+
+
 def test_failed_edit(spark, stored):
     flow = Workflow(stored)
     stored.append(inventory(spark, item("vid-err")), ORDER)
