@@ -1,7 +1,8 @@
 """Membership by key, shaped so that a big table moves as little as possible.
 
-A key must be unique in the table it is looked up in, as ids are in the
-inventory and paths are among files. The probing rows may repeat it at will.
+The tables looked up in hold each key once, as the inventory does with ids and a
+file listing with paths; a repeated key costs time there but changes no result.
+The probing rows may repeat a key at will.
 
 First the table is cut to keys whose hash occurs among the probe. The probe is
 folded to distinct 64-bit hashes before it is shuffled, and where it is small
@@ -18,11 +19,12 @@ from pyspark.sql import functions as F
 
 
 def likely_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
-    """Keys of `table` that occur in `probe`, and rarely some others."""
+    """Keys of `table` that occur in `probe`, each once, and rarely some others."""
     some = F.col(key).isNotNull()
     hashes = probe.filter(some).select(F.xxhash64(key).alias("hash")).distinct()
     keys = table.filter(some).select(key, F.xxhash64(key).alias("hash"))
-    return keys.join(hashes, "hash", "left_semi").select(key)
+    # Grouped by the hash as well, which the rows are partitioned by already.
+    return keys.join(hashes, "hash", "left_semi").distinct().select(key)
 
 
 def in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:

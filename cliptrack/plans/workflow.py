@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, Row
 from cliptrack.operators.selection import first_rows, publishable
 from cliptrack.plans import edit, ingest, publish
 from cliptrack.schema import FAILED, KEY, PENDING, POSTED
-from cliptrack.sources.inventory import AppendResult, Inventory, PatchResult
+from cliptrack.sources.inventory import (
+    AppendResult,
+    Inventory,
+    PatchResult,
+    repeat_on_conflict,
+)
 
 
 #: Rows of the queue that `take_next` tries before it sweeps all of it.
@@ -29,6 +34,15 @@ class Workflow:
             return ids
         return self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
 
+    def _patch(self, patches: DataFrame) -> PatchResult:
+        return repeat_on_conflict(lambda: self.inventory.patch(patches))
+
+    def _mark(
+        self, ids: DataFrame | Iterable[str], status: str, at: datetime | None
+    ) -> PatchResult:
+        marked, updates = self._ids(ids), {"status_fb": status}
+        return repeat_on_conflict(lambda: self.inventory.set_values(marked, updates, at))
+
     def to_download(self, listings: DataFrame, per_source: int = 1) -> DataFrame:
         self.inventory.create()
         return ingest.to_download_from_listings(listings, self.inventory.read(), per_source)
@@ -43,8 +57,9 @@ class Workflow:
         """Append what was downloaded and record what was not."""
         self.inventory.create()
         result = ingest.ingest(requested, downloads, files, at)
-        appended = self.inventory.append(result.rows, ingest.ROUND_ORDER)
-        return appended, self.inventory.patch(result.failures)
+        order = ingest.ROUND_ORDER
+        appended = repeat_on_conflict(lambda: self.inventory.append(result.rows, order))
+        return appended, self._patch(result.failures)
 
     def plan_edits(self, files: DataFrame, **options) -> DataFrame:
         """Mark rows whose source is missing as failed; return the edits to render.
@@ -52,11 +67,11 @@ class Workflow:
         The edits are read from the version the marks were made from.
         """
         plan = edit.plan_edits(self.inventory.read(statuses=(PENDING,)), files, **options)
-        self.inventory.patch(plan.failures)
+        self._patch(plan.failures)
         return plan.edits
 
     def record_edits(self, results: DataFrame, at: datetime | None = None) -> PatchResult:
-        return self.inventory.patch(edit.edit_patches(results, at))
+        return self._patch(edit.edit_patches(results, at))
 
     def take_next(
         self,
@@ -79,15 +94,15 @@ class Workflow:
             chosen = found.chosen.first()
             if chosen is not None:
                 break
-        self.inventory.patch(found.failures)
+        self._patch(found.failures)
         return chosen
 
     def mark_posted(
         self, ids: DataFrame | Iterable[str], at: datetime | None = None
     ) -> PatchResult:
-        return self.inventory.set_values(self._ids(ids), {"status_fb": POSTED}, at)
+        return self._mark(ids, POSTED, at)
 
     def mark_failed(
         self, ids: DataFrame | Iterable[str], at: datetime | None = None
     ) -> PatchResult:
-        return self.inventory.set_values(self._ids(ids), {"status_fb": FAILED}, at)
+        return self._mark(ids, FAILED, at)

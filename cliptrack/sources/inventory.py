@@ -6,7 +6,7 @@
 
 A version exists once its commit file does. That file never replaces another,
 so of two writers that start from the same version one gets ConcurrentCommit
-and nothing it wrote is visible. An append writes only the new rows and an
+and nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append writes only the new rows and an
 update only its patches; `compact` folds them into the rows.
 """
 
@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
-from typing import Any, NamedTuple
+from typing import Any, NamedTuple, TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from cliptrack.operators.patches import apply_patches, fold_patches, patch_for
 from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
 
 
+T = TypeVar("T")
+
 #: Inventory rows with the folder they lie in.
 STORED_ROWS = StructType([*INVENTORY, StructField("queue", StringType())])
 #: Patches with the version that brought them, by whether the item existed.
@@ -41,6 +43,16 @@ class ConcurrentCommit(RuntimeError):
     """Another writer committed first; read again and repeat."""
 
 
+def repeat_on_conflict(step: Callable[[], T], attempts: int = 5) -> T:
+    """Run a step anew, against the newest version, when another writer was first."""
+    for _ in range(attempts - 1):
+        try:
+            return step()
+        except ConcurrentCommit:
+            continue
+    return step()
+
+
 class AppendResult(NamedTuple):
     inserted: int
     version: int
@@ -57,9 +69,14 @@ class Version:
     number: int
     rows: list[str] = field(default_factory=list)
     patches: list[str] = field(default_factory=list)
-    history: list[str] = field(default_factory=list)
+    #: The patches this very version brought, also those that matched nothing.
+    brought: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
 
+    def after(self, **changes) -> Version:
+        """The next version, with some things changed."""
+        return replace(self, **{"number": self.number + 1, "brought": None, **changes})
+
 
 class Inventory:
     """Reads and writes the inventory below one root folder."""
@@ -160,7 +177,9 @@ class Inventory:
 
     def transitions(self, unmatched: bool = False) -> DataFrame:
         """Every patch ever committed, with the version that brought it."""
-        wanted = self._patches(self.version().history)
+        commits = self.spark.read.schema("brought string").json(f"{self.root}/commits")
+        names = [r.brought for r in commits.filter("brought is not null").collect()]
+        wanted = self._patches(names)
         return wanted.filter(F.col("matched") != F.lit(unmatched)).drop("matched")
 
     # -- writing ----------------------------------------------------------
@@ -193,7 +212,7 @@ class Inventory:
         if not inserted and batches == now.batches:
             return AppendResult(0, now.number)
         rows = now.rows + [name] if inserted else now.rows
-        step = replace(now, number=now.number + 1, rows=rows, batches=batches)
+        step = now.after(rows=rows, batches=batches)
         return AppendResult(inserted, self._commit(step))
 
     def patch(
@@ -220,11 +239,9 @@ class Inventory:
         batches = _mark(now, writer, number)
         if not (hits or misses) and batches == now.batches:
             return PatchResult(0, 0, now.number)
-        step = replace(
-            now,
-            number=now.number + 1,
+        step = now.after(
             patches=now.patches + [name] if hits else now.patches,
-            history=now.history + [name] if hits or misses else now.history,
+            brought=name if hits or misses else None,
             batches=batches,
         )
         return PatchResult(hits, misses, self._commit(step))
@@ -252,7 +269,7 @@ class Inventory:
         """Fold outstanding patches and small folders into one set of rows."""
         now = self.version()
         name = self._write_rows(self.read(now.number))
-        return self._commit(replace(now, number=now.number + 1, rows=[name], patches=[]))
+        return self._commit(now.after(rows=[name], patches=[]))
 
 
 def _queue_name(status: str) -> str:

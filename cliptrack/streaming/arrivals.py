@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from cliptrack.sources.inventory import Inventory
+from cliptrack.sources.inventory import Inventory, repeat_on_conflict
 
 
 def append_into(
@@ -20,7 +20,7 @@ def append_into(
     """
 
     def commit(batch: DataFrame, number: int) -> None:
-        inventory.append(batch, order, writer, number)
+        repeat_on_conflict(lambda: inventory.append(batch, order, writer, number))
 
     return (
         rows.writeStream.outputMode("append")

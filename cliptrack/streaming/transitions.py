@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from cliptrack.schema import KEY
-from cliptrack.sources.inventory import Inventory
+from cliptrack.sources.inventory import Inventory, repeat_on_conflict
 
 EVENT_TIME = "event_time"
 ARRIVAL = "arrival"
@@ -50,7 +50,8 @@ def fold_into(
     def commit(batch: DataFrame, number: int) -> None:
         changed = inventory.staged(batch, writer, number)
         patches = status_patches(changed if by == EVENT_TIME else latest_status(changed))
-        inventory.patch(patches, ("at", "event_id"), writer, number)
+        order = ("at", "event_id")
+        repeat_on_conflict(lambda: inventory.patch(patches, order, writer, number))
         inventory.unstage(writer, number)
 
     stream = latest_status(events) if by == EVENT_TIME else events

@@ -9,6 +9,7 @@ from cliptrack.plans import workflow
 from cliptrack.plans.reports import orphans, status_census, stuck_rows
 from cliptrack.schema import INVENTORY
 from cliptrack.session import scratch_root
+from cliptrack.sources.inventory import repeat_on_conflict
 from cliptrack.sources.listings import (
     as_inventory,
     read_downloads,
@@ -121,6 +122,31 @@ def test_two_writers_from_one_version(spark, stored):
     assert stored.append(inventory(spark, item("c")), ORDER) == (1, 3)
 
 
+def test_a_step_is_repeated_when_another_writer_was_first(spark, stored):
+    stored.append(inventory(spark, item("a")), ORDER)
+    other, tries = Inventory(spark, stored.root), []
+    read = stored.version
+
+    def interfere(number=None):
+        now = read(number)
+        if not tries:
+            other.set_values(ids(spark, "a"), {"status_fb": "posted"}, at(1))
+        tries.append(now.number)
+        return now
+
+    stored.version = interfere
+    done = repeat_on_conflict(
+        lambda: stored.patch(
+            patches(
+                spark, {"video_id": "a", "title": "x", "set_cols": ["title"], "at": at(2)}
+            )
+        )
+    )
+    assert done.version == 3 and tries == [1, 2]
+    row = by_id(other.read())["a"]
+    assert (row.status_fb, row.title) == ("posted", "x")
+
+
 def test_crash_before_the_commit_is_invisible(spark, stored, monkeypatch):
     stored.append(inventory(spark, item("a")), ORDER)
 

@@ -271,6 +271,14 @@ def test_two_rows_may_share_a_file(spark):
     assert plan.failures.isEmpty()
 
 
+def test_a_file_listed_twice_counts_once(spark):
+    table = inventory(spark, item("a"), item("b", path="videos/raw/gone.mp4"))
+    found = files(spark, *["videos/raw/input.mp4"] * 3)
+    plan = edit.plan_edits(table, found, None)
+    assert [r.video_id for r in plan.edits.collect()] == ["a"]
+    assert [r.video_id for r in plan.failures.collect()] == ["b"]
+
+
 def test_edit_results(spark):
     table = inventory(spark, item("a"), item("b"), item("c"))
     done = results(
