@@ -21,18 +21,22 @@ class Publication(NamedTuple):
     failures: DataFrame
 
 
+def publication(swept: DataFrame, inventory: DataFrame, at: datetime | None) -> Publication:
+    """What a sweep's outcomes mean for the inventory."""
+    missing = swept.filter(F.col("outcome") == FAIL)
+    return Publication(
+        swept.filter(F.col("outcome") == NEXT).select(KEY, "path_local"),
+        patch_for(missing, inventory, {"status_fb": FAILED}, at),
+    )
+
+
 def next_to_publish(
     inventory: DataFrame,
     files: DataFrame,
     at: datetime | None = None,
     statuses: Iterable[str] = (PENDING,),
 ) -> Publication:
-    swept = sweep(inventory, files, statuses)
-    missing = swept.filter(F.col("outcome") == FAIL)
-    return Publication(
-        swept.filter(F.col("outcome") == NEXT).select(KEY, "path_local"),
-        patch_for(missing, inventory, {"status_fb": FAILED}, at),
-    )
+    return publication(sweep(inventory, files, statuses), inventory, at)
 
 
 class Marked(NamedTuple):

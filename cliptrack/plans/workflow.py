@@ -6,9 +6,12 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
-from cliptrack.operators.selection import first_rows, publishable
-from cliptrack.plans import edit, ingest, publish
+from cliptrack.operators.selection import editable, first_rows, publishable
+from cliptrack.operators.sweep import LEAVE, NEXT, sweep
+from cliptrack.plans import edit, ingest
+from cliptrack.plans.publish import publication
 from cliptrack.schema import FAILED, KEY, PENDING, POSTED
 from cliptrack.sources.inventory import (
     AppendResult,
@@ -17,7 +20,6 @@ from cliptrack.sources.inventory import (
     repeat_on_conflict,
 )
 
-
 #: Rows of the queue that `take_next` tries before it sweeps all of it.
 FRONT = 1000
 
@@ -44,8 +46,11 @@ class Workflow:
         return repeat_on_conflict(lambda: self.inventory.set_values(marked, updates, at))
 
     def to_download(self, listings: DataFrame, per_source: int = 1) -> DataFrame:
+        """What the fetcher should download, written down for it."""
         self.inventory.create()
-        return ingest.to_download_from_listings(listings, self.inventory.read(), per_source)
+        known = self.inventory.read()
+        wanted = ingest.to_download_from_listings(listings, known, per_source)
+        return self.inventory.hand_over("requests", wanted)
 
     def ingest(
         self,
@@ -54,21 +59,26 @@ class Workflow:
         files: DataFrame,
         at: datetime | None = None,
     ) -> tuple[AppendResult, PatchResult]:
-        """Append what was downloaded and record what was not."""
+        """Record what was not downloaded and append what was.
+
+        In this order: an item that failed at one source and came from another
+        was not there yet when it failed.
+        """
         self.inventory.create()
         result = ingest.ingest(requested, downloads, files, at)
         order = ingest.ROUND_ORDER
-        appended = repeat_on_conflict(lambda: self.inventory.append(result.rows, order))
-        return appended, self._patch(result.failures)
-
-    def plan_edits(self, files: DataFrame, **options) -> DataFrame:
-        """Mark rows whose source is missing as failed; return the edits to render.
-
-        The edits are read from the version the marks were made from.
-        """
-        plan = edit.plan_edits(self.inventory.read(statuses=(PENDING,)), files, **options)
-        self._patch(plan.failures)
-        return plan.edits
+        failed = self._patch(result.failures)
+        return repeat_on_conflict(lambda: self.inventory.append(result.rows, order)), failed
+
+    def plan_edits(
+        self, files: DataFrame, n: int | None = 1, exclude_processed: bool = False, **options
+    ) -> DataFrame:
+        """The edits to render, written down; rows without their file are failed."""
+        rows = editable(self.inventory.read(statuses=(PENDING,)), exclude_processed)
+        with self.inventory.staged(first_rows(rows, n)) as chosen:
+            plan = edit.plan_edits(chosen, files, None, **options)
+            self._patch(plan.failures)
+            return self.inventory.hand_over("edits", plan.edits)
 
     def record_edits(self, results: DataFrame, at: datetime | None = None) -> PatchResult:
         return self._patch(edit.edit_patches(results, at))
@@ -88,13 +98,16 @@ class Workflow:
         statuses = tuple(statuses)
         if self.inventory.latest() is None:
             return None
-        queue = publishable(self.inventory.read(statuses=statuses), statuses)
-        for rows in (first_rows(queue, FRONT), queue):
-            found = publish.next_to_publish(rows, files, at, statuses)
-            chosen = found.chosen.first()
-            if chosen is not None:
-                break
-        self._patch(found.failures)
+        rows = self.inventory.read(statuses=statuses)
+        queue = publishable(rows, statuses).select(KEY, "path_local", "status_fb", "created_at")
+        with self.inventory.staged(first_rows(queue, FRONT)) as front:
+            swept = sweep(front, files, statuses)
+            if swept.filter(F.col("outcome") == NEXT).isEmpty():
+                swept = sweep(queue, files, statuses)
+            with self.inventory.staged(swept.filter(F.col("outcome") != LEAVE)) as touched:
+                found = publication(touched, rows, at)
+                chosen = found.chosen.first()
+                self._patch(found.failures)
         return chosen
 
     def mark_posted(

@@ -4,7 +4,8 @@
     root/patches/batch=<name>  folded patches, split into matched and unmatched
     root/commits/<n>           which of these folders make up version n
 
-A version exists once its commit file does. That file never replaces another,
+A version exists once its commit file does. That file never replaces another (on
+a file system whose rename refuses to, such as HDFS; elsewhere keep to one writer),
 so of two writers that start from the same version one gets ConcurrentCommit
 and nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append writes only the new rows and an
 update only its patches; `compact` folds them into the rows.
@@ -14,23 +15,28 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 from typing import Any, NamedTuple, TypeVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from cliptrack.operators.append import fresh_rows
 from cliptrack.operators.keys import flag_known
-from cliptrack.operators.patches import apply_patches, fold_patches, patch_for
+from cliptrack.operators.patches import apply_patches, fold_patches, is_set, patch_for
 from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
 
 
 T = TypeVar("T")
 
+OTHER = "other"
+#: Folders that rows are kept apart in.
+QUEUES = (*STATUSES, OTHER)
+
 #: Inventory rows with the folder they lie in.
 STORED_ROWS = StructType([*INVENTORY, StructField("queue", StringType())])
 #: Patches with the version that brought them, by whether the item existed.
@@ -69,6 +75,8 @@ class Version:
     number: int
     rows: list[str] = field(default_factory=list)
     patches: list[str] = field(default_factory=list)
+    #: Folders of the states that outstanding patches set.
+    moved_into: list[str] = field(default_factory=list)
     #: The patches this very version brought, also those that matched nothing.
     brought: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
@@ -147,13 +155,10 @@ class Inventory:
         rows.write.partitionBy(split).parquet(f"{self.root}/{kind}/batch={name}")
         return name
 
-    def _stored(self, version: Version, statuses: Iterable[str] | None = None) -> DataFrame:
+    def _stored(self, version: Version, queues: Iterable[str] | None = None) -> DataFrame:
         rows = self._read("rows", version.rows, STORED_ROWS)
-        if statuses is not None:
-            rows = rows.filter(
-                F.col("queue").isin(*{_queue_name(s) for s in statuses})
-                & F.col("status_fb").isin(*statuses)
-            )
+        if queues is not None:
+            rows = rows.filter(F.col("queue").isin(*sorted(queues)))
         return rows.drop("queue")
 
     def _patches(self, names: Sequence[str]) -> DataFrame:
@@ -164,16 +169,19 @@ class Inventory:
     ) -> DataFrame:
         """The inventory at a version, optionally only rows in some states.
 
-        With no patches outstanding, only the folders of these states are read.
-        Reading never writes.
+        Only the folders of these states are read, unless an outstanding patch
+        moved items into one of them. Reading never writes.
         """
-        statuses = None if statuses is None else tuple(statuses)
         at = self.version(version)
-        if not at.patches:
-            return self._stored(at, statuses)
-        folded = fold_patches(self._patches(at.patches).filter("matched"), ("version",))
-        rows = apply_patches(self._stored(at), folded)
-        return rows if statuses is None else rows.filter(F.col("status_fb").isin(*statuses))
+        wanted = None if statuses is None else tuple(statuses)
+        queues = None if wanted is None else {_queue_name(s) for s in wanted}
+        if queues is not None and queues & set(at.moved_into):
+            queues = None
+        rows = self._stored(at, queues)
+        if at.patches:
+            patches = self._patches(at.patches).filter("matched")
+            rows = apply_patches(rows, fold_patches(patches, ("version",)))
+        return rows if wanted is None else rows.filter(F.col("status_fb").isin(*wanted))
 
     def transitions(self, unmatched: bool = False) -> DataFrame:
         """Every patch ever committed, with the version that brought it."""
@@ -233,31 +241,37 @@ class Inventory:
             seen,
             F.count_if("matched").alias("matched"),
             F.count_if(~F.col("matched")).alias("unmatched"),
+            *(F.count_if(F.col("matched") & _moves_into(folded, q)).alias(q) for q in QUEUES),
         )
         name = self._write("patches", counted, "matched")
-        hits, misses = (seen.get.get(n, 0) for n in ("matched", "unmatched"))
+        counts = seen.get
+        hits, misses = (counts.get(n, 0) for n in ("matched", "unmatched"))
         batches = _mark(now, writer, number)
         if not (hits or misses) and batches == now.batches:
             return PatchResult(0, 0, now.number)
         step = now.after(
             patches=now.patches + [name] if hits else now.patches,
+            moved_into=[q for q in QUEUES if q in now.moved_into or counts.get(q)],
             brought=name if hits or misses else None,
             batches=batches,
         )
         return PatchResult(hits, misses, self._commit(step))
 
-    def staged(self, batch: DataFrame, writer: str, number: int) -> DataFrame:
-        """A micro-batch as a written table, so that nothing upstream runs twice.
-
-        Writing the same batch again replaces it; `unstage` removes it.
-        """
-        name = f"{self.root}/incoming/{writer}/{number}"
-        batch.write.mode("overwrite").parquet(name)
-        return self.spark.read.schema(batch.schema).parquet(name)
+    def hand_over(self, kind: str, rows: DataFrame) -> DataFrame:
+        """Rows written down below the root, for an outside step to read."""
+        path = f"{self.root}/{kind}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
-    def unstage(self, writer: str, number: int) -> None:
-        path, fs = self._hadoop_path(f"incoming/{writer}/{number}")
-        fs.delete(path, True)
+    @contextmanager
+    def staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """Rows written down for a while, so that nothing upstream runs twice."""
+        kind = f"incoming/{uuid.uuid4().hex}"
+        try:
+            yield self.hand_over(kind, rows)
+        finally:
+            path, fs = self._hadoop_path(kind)
+            fs.delete(path, True)
 
     def set_values(
         self, ids: DataFrame, updates: Mapping[str, Any], at: datetime | None = None
@@ -269,16 +283,22 @@ class Inventory:
         """Fold outstanding patches and small folders into one set of rows."""
         now = self.version()
         name = self._write_rows(self.read(now.number))
-        return self._commit(now.after(rows=[name], patches=[]))
+        return self._commit(now.after(rows=[name], patches=[], moved_into=[]))
 
 
 def _queue_name(status: str) -> str:
-    return status if status in STATUSES else "other"
+    return status if status in STATUSES else OTHER
 
 
-def _queue(status):
+def _queue(status: Column) -> Column:
     """Folder of a row: its state, or one for states of the caller's own."""
-    return F.when(status.isin(*STATUSES), status).otherwise(F.lit("other"))
+    return F.when(status.isin(*STATUSES), status).otherwise(F.lit(OTHER))
+
+
+def _moves_into(patches: DataFrame, queue: str) -> Column:
+    if "status_fb" not in patches.columns:
+        return F.lit(False)
+    return is_set("status_fb") & (_queue(F.col("status_fb")) == queue)
 
 
 def _taken(version: Version, writer: str | None, number: int | None) -> bool:

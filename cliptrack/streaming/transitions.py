@@ -48,11 +48,10 @@ def fold_into(
         raise ValueError(f"unknown order: {by}")
 
     def commit(batch: DataFrame, number: int) -> None:
-        changed = inventory.staged(batch, writer, number)
-        patches = status_patches(changed if by == EVENT_TIME else latest_status(changed))
         order = ("at", "event_id")
-        repeat_on_conflict(lambda: inventory.patch(patches, order, writer, number))
-        inventory.unstage(writer, number)
+        with inventory.staged(batch) as changed:
+            patches = status_patches(changed if by == EVENT_TIME else latest_status(changed))
+            repeat_on_conflict(lambda: inventory.patch(patches, order, writer, number))
 
     stream = latest_status(events) if by == EVENT_TIME else events
     return (

@@ -1,4 +1,5 @@
 import json
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -18,7 +19,20 @@ from cliptrack.sources.listings import (
     read_listings,
 )
 from cliptrack.sources.media import list_media, read_manifest
-from helpers import T0, at, by_id, files, ids, inventory, item, patches, results, utc
+from helpers import (
+    T0,
+    at,
+    by_id,
+    downloads,
+    files,
+    ids,
+    inventory,
+    item,
+    listings,
+    patches,
+    results,
+    utc,
+)
 
 ORDER = ("created_at", "title")
 
@@ -70,6 +84,34 @@ def test_reading_some_states_reads_only_their_folders(spark, stored):
     assert "PartitionFilters: [isnotnull(queue" in plan and "pending" in plan
 
 
+def test_states_nothing_moved_into_stay_cheap_to_read(spark, stored):
+    stored.append(inventory(spark, item("a"), item("b"), item("c", "ready")), ORDER)
+    stored.set_values(ids(spark, "a"), {"status_fb": "posted"}, at(1))
+    stored.set_values(ids(spark, "b"), {"title": "x"}, at(1))
+    stored.set_values(ids(spark, "c", "ghost"), {"status_fb": "strange"}, at(1))
+    assert stored.version().moved_into == ["posted", "other"]
+
+    def cut(*states):
+        rows = stored.read(statuses=states)
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        return re.search(r"PartitionFilters: \[[^\]]*queue", text) is not None
+
+    assert cut("pending") and cut("pending", "ready")
+    assert not cut("posted") and not cut("pending", "odd")
+    assert statuses(stored.read(statuses=("pending",))) == {"b": "pending"}
+    assert statuses(stored.read(statuses=("posted", "ready"))) == {"a": "posted"}
+    assert statuses(stored.read(statuses=("strange", "pending"))) == {
+        "b": "pending",
+        "c": "strange",
+    }
+    stored.set_values(ids(spark, "c"), {"status_fb": None}, at(2))
+    assert statuses(stored.read()) == {"a": "posted", "b": "pending", "c": None}
+    stored.compact()
+    assert stored.version().moved_into == []
+    assert cut("posted")
+    assert statuses(stored.read(statuses=("posted",))) == {"a": "posted"}
+
+
 def test_patches_apply_and_compact(spark, stored):
     stored.append(inventory(spark, item("a"), item("b"), item("c")), ORDER)
     one = stored.set_values(ids(spark, "a", "b", "ghost"), {"status_fb": "posted"}, at(1))
@@ -275,6 +317,23 @@ def test_whole_workflow(spark, stored, tmp_path):
     assert row.status_fb == "failed" and utc(row.updated_at) == at(4)
 
 
+def test_failure_at_one_source_does_not_spoil_success_at_another(spark, stored):
+    flow = Workflow(stored)
+    listed = listings(
+        spark,
+        *({"source_url": s, "entries": [{"id": "v", "url": "u", "webpage_url": None}]} for s in "ab"),
+    )
+    wanted = flow.to_download(listed)
+    got = downloads(
+        spark,
+        {"source_url": "a", "entry_id": "v", "error": "403"},
+        {"source_url": "b", "entry_id": "v", "title": "V"},
+    )
+    appended, failed = flow.ingest(wanted, got, files(spark), at(0))
+    assert (appended.inserted, failed.matched, failed.unmatched) == (1, 0, 1)
+    assert statuses(stored.read()) == {"v": "pending"}
+
+
 def test_missing_files_fail_in_the_store(spark, stored):
     flow = Workflow(stored)
     stored.append(

@@ -56,7 +56,7 @@ def test_stream_equals_batch(spark, stored, tmp_path):
         assert row.updated_at == want[video_id].ts
     lost = stored.transitions(unmatched=True).select("video_id").distinct()
     assert {r.video_id for r in lost.collect()} == set(want) - set(got)
-    assert not (tmp_path / "inventory" / "incoming" / "events" / "0").exists()
+    assert list((tmp_path / "inventory" / "incoming").glob("[!.]*")) == []
 
 
 @pytest.mark.parametrize("by, status", [(EVENT_TIME, "posted"), (ARRIVAL, "failed")])
