@@ -267,14 +267,18 @@ OUTPUT = """
 """
 
 
-@query(f"select video_id, {PLAN} as edits from inv", "inv")
+@query(f"select video_id, {PLAN} as edits from inv", "inv", name="edit_plan")
 def edit_plans(t):
     return t.inv.select(
         "video_id", F.concat_ws(",", edit_plan(F.col("video_id"), SEED)).alias("edits")
     )
 
 
-@query(f"select video_id, {OUTPUT} as output_path from inv where path_local <> ''", "inv")
+@query(
+    f"select video_id, {OUTPUT} as output_path from inv where path_local <> ''",
+    "inv",
+    name="output_path",
+)
 def output_paths(t):
     rows = t.inv.filter("path_local <> ''")
     path = output_path(F.col("path_local"), F.col("video_id"), F.lit(AT), "run-1")
@@ -286,7 +290,8 @@ def output_paths(t):
               cast(trunc(p_size * 21 * 0.05) as bigint) as y1,
               p_size * 37 - cast(trunc(p_size * 37 * 0.05) as bigint) as x2,
               p_size * 21 - cast(trunc(p_size * 21 * 0.05) as bigint) as y2
-       from part"""
+       from part""",
+    name="crop_box",
 )
 def crop_boxes(t):
     box = crop_box(F.col("p_size") * 37, F.col("p_size") * 21)

@@ -32,14 +32,14 @@ class Query(NamedTuple):
 QUERIES: dict[str, Query] = {}
 
 
-def query(sql: str | None, *needs: str):
-    """Register a query under its function name, with its SQL over some views."""
+def query(sql: str | None, *needs: str, name: str | None = None):
+    """Register a query, under its function name, with its SQL over some views."""
 
     def add(run: Callable[[Tables], DataFrame]):
         text = sql
         if sql is not None and needs:
             text = "with " + ",\n".join(views.SQL_VIEWS[n] for n in needs) + "\n" + sql
-        QUERIES[run.__name__] = Query(run, text)
+        QUERIES[name or run.__name__] = Query(run, text)
         return run
 
     return add
