@@ -127,18 +127,20 @@ def fold_patches(patches: DataFrame, order: Sequence[str] = ("at",)) -> DataFram
 
 
 def apply_patches(table: DataFrame, patches: DataFrame) -> DataFrame:
-    """The table after its patches; takes at most one patch per item."""
+    """The table after its patches, in its own types; at most one patch per item."""
     columns = set(patch_columns(patches))
-    patched = F.col("p.at").isNotNull()
 
     def value(column: str) -> Column:
         old = F.col(f"t.{column}")
         if column == TOUCHED:
-            return F.when(patched, F.col("p.at")).otherwise(old).alias(column)
-        if column not in columns:
+            chosen, new = F.col("p.at").isNotNull(), F.col("p.at")
+        elif column in columns:
+            chosen = F.array_contains("p.set_cols", F.lit(column))
+            new = F.col(f"p.{column}")
+        else:
             return old
-        chosen = F.array_contains("p.set_cols", F.lit(column))
-        return F.when(chosen, F.col(f"p.{column}")).otherwise(old).alias(column)
+        new = new.cast(table.schema[column].dataType)
+        return F.when(chosen, new).otherwise(old).alias(column)
 
     joined = table.alias("t").join(
         patches.alias("p"), F.col(f"t.{KEY}") == F.col(f"p.{KEY}"), "left"

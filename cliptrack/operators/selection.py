@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cliptrack.functions import is_filled, queue_sort
+from cliptrack.functions import queue_sort
 from cliptrack.schema import KEY, PENDING, PROCESSED_MARK
 
 
@@ -53,7 +53,3 @@ def next_publishable(
     """Id and path of the n oldest publishable rows, without a file check."""
     rows = publishable(inventory, statuses)
     return first_rows(rows.select(KEY, "path_local", "created_at"), n).drop("created_at")
-
-
-def without_path(rows: DataFrame) -> DataFrame:
-    return rows.filter(~is_filled(F.col("path_local")))

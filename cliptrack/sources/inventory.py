@@ -235,7 +235,7 @@ class Inventory:
         if _taken(now, writer, number):
             return PatchResult(0, 0, now.number)
         ids = self._stored(now).select(KEY)
-        folded = flag_known(fold_patches(patches, order), ids, KEY, "matched")
+        folded = flag_known(_typed(fold_patches(patches, order)), ids, KEY, "matched")
         seen = Observation()
         counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
             seen,
@@ -301,6 +301,12 @@ def _moves_into(patches: DataFrame, queue: str) -> Column:
     return is_set("status_fb") & (_queue(F.col("status_fb")) == queue)
 
 
+def _typed(patches: DataFrame) -> DataFrame:
+    """Patches in the types they are stored in."""
+    given = set(patches.columns)
+    return patches.select(*(F.col(f.name).cast(f.dataType) for f in PATCH if f.name in given))
+
+
 def _taken(version: Version, writer: str | None, number: int | None) -> bool:
     return writer is not None and number is not None and (
         version.batches.get(writer, -1) >= number

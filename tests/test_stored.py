@@ -144,6 +144,19 @@ def test_patch_for_an_absent_item_does_not_wait_for_it(spark, stored):
     assert statuses(stored.read()) == {"new": "pending"}
 
 
+def test_patches_are_stored_in_the_table_types(spark, stored):
+    stored.append(inventory(spark, item("a")), ORDER)
+    patch = spark.createDataFrame(
+        [("a", 17, "kept out", ["duration", "extra"], at(1))],
+        "video_id string, duration int, extra string, set_cols array<string>, at timestamp",
+    )
+    assert stored.patch(patch).matched == 1
+    assert stored.read().first().duration == 17
+    assert stored.transitions().first().set_cols == ["duration"]
+    stored.compact()
+    assert stored.read().first().duration == 17
+
+
 def test_later_commit_wins_over_clock(spark, stored):
     stored.append(inventory(spark, item("a")), ORDER)
     stored.set_values(ids(spark, "a"), {"status_fb": "posted"}, at(9))

@@ -164,7 +164,6 @@ def edit_results(t):
     )
     path = F.concat(F.lit("videos/processed/"), "video_id", F.lit("_e.mp4"))
     done = edit.edit_patches(results.withColumn("path_local", path), AT)
-    done = done.withColumn("at", F.col("at").cast("timestamp_ntz"))
     return patches.apply_patches(t.inv, done).select(
         "video_id", "status_fb", "path_local", "updated_at"
     )
