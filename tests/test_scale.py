@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cliptrack.operators import append, candidates, patches
-from cliptrack.operators.files import on_disk
+from cliptrack.operators.files import flag_on_disk, missing_on_disk, on_disk
+from cliptrack.plans import ingest
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -113,12 +114,38 @@ def test_hot_id_in_listings_is_split(spark, hot):
     assert split(new)
 
 
-def test_hot_path_is_split(spark, hot):
-    rows = skewed(spark, "path_local")
-    files = spark.createDataFrame([("hot",), ("80001",)], "path string")
-    found = on_disk(rows, files)
-    assert len(found.collect()) == ROWS // 3 + 1
-    assert split(found)
+@pytest.mark.parametrize(
+    "check, rows", [(on_disk, ROWS // 3 + 1), (missing_on_disk, ROWS - ROWS // 3 - 1), (flag_on_disk, ROWS)]
+)
+def test_hot_path_is_split(spark, hot, check, rows):
+    files = spark.createDataFrame([("hot",), ("80001",), ("hot",)], "path string")
+    checked = check(skewed(spark, "path_local"), files)
+    assert len(checked.collect()) == rows
+    assert split(checked)
+
+
+def test_hot_result_is_split_or_folded(spark, hot):
+    """Many sources that all brought the same item leave one row of it."""
+    table = skewed(spark, "id_text")
+    requested = table.select(
+        F.col("pad").alias("source_url"),
+        F.col("id").alias("pos"),
+        F.col("pad").alias("video_id"),
+        F.lit("u").alias("url"),
+        F.lit("").alias("webpage_url"),
+    )
+    got = table.select(
+        F.col("pad").alias("source_url"),
+        F.col("pad").alias("entry_id"),
+        F.col("id_text").alias("id"),
+        *(F.lit(None).cast("string").alias(c) for c in ("webpage_url", "title", "error")),
+        F.lit(True).alias("title_known"),
+        F.lit(1.0).alias("duration"),
+    )
+    files = spark.createDataFrame([("videos/raw/hot.mp4",)], "path string")
+    rows = ingest.ingest(requested, got, files).rows
+    assert rows.count() == ROWS - ROWS // 3 + 1
+    assert rows.filter("path_local = 'videos/raw/hot.mp4'").count() == 1
 
 
 def nodes(node):
