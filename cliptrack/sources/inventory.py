@@ -6,9 +6,10 @@
 
 A version exists once its commit file does. That file never replaces another (on
 a file system whose rename refuses to, such as HDFS; elsewhere keep to one writer),
-so of two writers that start from the same version one gets ConcurrentCommit
-and nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append writes only the new rows and an
-update only its patches; `compact` folds them into the rows.
+so of two writers that start from the same version one gets ConcurrentCommit and
+nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append
+writes only the new rows and an update only its patches; `compact` folds them into
+the rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from cliptrack.operators.keys import flag_known
 from cliptrack.operators.patches import apply_patches, fold_patches, is_set, patch_for
 from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
 
-
 T = TypeVar("T")
 
 OTHER = "other"

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from cliptrack.sources.inventory import Inventory, repeat_on_conflict
+from cliptrack.streaming.batches import stream_id
 
 
 def append_into(
-    rows: DataFrame, inventory: Inventory, writer: str, checkpoint: str, order: Sequence[str]
+    rows: DataFrame, inventory: Inventory, checkpoint: str, order: Sequence[str]
 ) -> DataStreamWriter:
     """A stream writer that appends rows whose id is new.
 
@@ -20,7 +21,8 @@ def append_into(
     """
 
     def commit(batch: DataFrame, number: int) -> None:
-        repeat_on_conflict(lambda: inventory.append(batch, order, writer, number))
+        stream = stream_id(batch)
+        repeat_on_conflict(lambda: inventory.append(batch, order, stream, number))
 
     return (
         rows.writeStream.outputMode("append")

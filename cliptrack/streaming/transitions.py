@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from cliptrack.schema import KEY
 from cliptrack.sources.inventory import Inventory, repeat_on_conflict
+from cliptrack.streaming.batches import stream_id
 
 EVENT_TIME = "event_time"
 ARRIVAL = "arrival"
@@ -33,7 +34,7 @@ def status_patches(latest: DataFrame) -> DataFrame:
 
 
 def fold_into(
-    events: DataFrame, inventory: Inventory, writer: str, checkpoint: str, by: str = EVENT_TIME
+    events: DataFrame, inventory: Inventory, checkpoint: str, by: str = EVENT_TIME
 ) -> DataStreamWriter:
     """A stream writer that keeps the inventory at the latest status.
 
@@ -51,11 +52,12 @@ def fold_into(
         order = ("at", "event_id")
         with inventory.staged(batch) as changed:
             patches = status_patches(changed if by == EVENT_TIME else latest_status(changed))
-            repeat_on_conflict(lambda: inventory.patch(patches, order, writer, number))
+            stream = stream_id(batch)
+            repeat_on_conflict(lambda: inventory.patch(patches, order, stream, number))
 
-    stream = latest_status(events) if by == EVENT_TIME else events
+    rows = latest_status(events) if by == EVENT_TIME else events
     return (
-        stream.writeStream.outputMode("update" if by == EVENT_TIME else "append")
+        rows.writeStream.outputMode("update" if by == EVENT_TIME else "append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(commit)
     )

@@ -25,14 +25,14 @@ def drop_file(spark, folder, name, events):
     rows.write.mode("append").parquet(f"{folder}/{name}")
 
 
-def run(spark, stored, tmp_path, by):
+def run(spark, stored, tmp_path, by, checkpoint="checkpoint"):
     events = (
         spark.readStream.schema(EVENTS)
         .option("maxFilesPerTrigger", 1)
         .option("recursiveFileLookup", True)
         .parquet(f"{tmp_path}/events")
     )
-    writer = fold_into(events, stored, "events", f"{tmp_path}/checkpoint", by)
+    writer = fold_into(events, stored, f"{tmp_path}/{checkpoint}", by)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
@@ -87,9 +87,18 @@ def test_restart_goes_on_and_repeats_nothing(spark, stored, tmp_path):
     assert stored.transitions().count() == 2
 
 
+def test_new_checkpoint_is_a_new_stream(spark, stored, tmp_path):
+    drop_file(spark, f"{tmp_path}/events", "a", [("1", "ready", at(1), 1)])
+    run(spark, stored, tmp_path, EVENT_TIME)
+    drop_file(spark, f"{tmp_path}/events", "b", [("1", "failed", at(3), 2), ("2", "posted", at(2), 3)])
+    run(spark, stored, tmp_path, EVENT_TIME, "another")
+    rows = by_id(stored.read())
+    assert (rows["1"].status_fb, rows["2"].status_fb) == ("failed", "posted")
+
+
 def test_order_must_be_known(stored):
     with pytest.raises(ValueError, match="order"):
-        fold_into(None, stored, "w", "c", "guess")
+        fold_into(None, stored, "c", "guess")
 
 
 def test_arrivals_keep_the_first(spark, stored, tmp_path):
@@ -104,7 +113,7 @@ def test_arrivals_keep_the_first(spark, stored, tmp_path):
             .option("recursiveFileLookup", True)
             .parquet(folder)
         )
-        writer = append_into(rows, stored, "rows", f"{tmp_path}/check", ("created_at", "title"))
+        writer = append_into(rows, stored, f"{tmp_path}/check", ("created_at", "title"))
         writer.trigger(availableNow=True).start().awaitTermination()
 
     offer("a", item("1", title="late"), item("x", title="first", minutes=5))

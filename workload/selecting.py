@@ -208,7 +208,7 @@ def append_keep_first(t):
     """, known as (select video_id from inv where status_fb <> 'pending')
        select count(*) as offered,
               count(distinct a.video_id) filter (where k.video_id is null) as inserted,
-              0 as refused,
+              count(*) filter (where a.video_id is null) as refused,
               count(*) - count(distinct a.video_id) filter (where k.video_id is null) as duplicate
        from arrivals a left join known k on k.video_id = a.video_id""",
     "inv",

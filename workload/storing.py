@@ -121,7 +121,7 @@ def stored_transitions(t):
 def _followed(t, by: str):
     inventory = _stored(t, t.inv)
     events = views.changes(_Streamed(events=_stream(t, "events")))
-    writer = transitions.fold_into(events, inventory, "changes", f"{_scratch(t)}/checkpoint", by)
+    writer = transitions.fold_into(events, inventory, f"{_scratch(t)}/checkpoint", by)
     writer.trigger(availableNow=True).start().awaitTermination()
     return _untyped(inventory.read()).select("video_id", "status_fb", "updated_at")
 
@@ -148,8 +148,7 @@ def stream_transitions_by_arrival(t):
 def stream_append_keep_first(t):
     inventory = _stored(t, t.inv.filter("status_fb <> 'pending'"))
     offered = _typed(views.arrivals(_Streamed(lineitem=_stream(t, "lineitem"))))
-    writer = arrivals.append_into(
-        offered, inventory, "arrivals", f"{_scratch(t)}/checkpoint", ARRIVAL_ORDER
-    )
+    checkpoint = f"{_scratch(t)}/checkpoint"
+    writer = arrivals.append_into(offered, inventory, checkpoint, ARRIVAL_ORDER)
     writer.trigger(availableNow=True).start().awaitTermination()
     return _untyped(inventory.read())
