@@ -29,12 +29,6 @@ class Workflow:
 
     def __init__(self, inventory: Inventory):
         self.inventory = inventory
-        self.spark = inventory.spark
-
-    def _ids(self, ids: DataFrame | Iterable[str]) -> DataFrame:
-        if isinstance(ids, DataFrame):
-            return ids
-        return self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
 
     def _patch(self, patches: DataFrame) -> PatchResult:
         return repeat_on_conflict(lambda: self.inventory.patch(patches))
@@ -42,8 +36,9 @@ class Workflow:
     def _mark(
         self, ids: DataFrame | Iterable[str], status: str, at: datetime | None
     ) -> PatchResult:
-        marked, updates = self._ids(ids), {"status_fb": status}
-        return repeat_on_conflict(lambda: self.inventory.set_values(marked, updates, at))
+        items = ids if isinstance(ids, DataFrame) else list(ids)
+        updates = {"status_fb": status}
+        return repeat_on_conflict(lambda: self.inventory.set_values(items, updates, at))
 
     def to_download(self, listings: DataFrame, per_source: int = 1) -> DataFrame:
         """What the fetcher should download, written down for it."""

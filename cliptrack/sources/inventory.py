@@ -45,6 +45,13 @@ STORED_PATCHES = StructType(
 )
 
 
+#: Lets a lookup by id skip row groups without it.
+FIND_BY_ID = {
+    f"parquet.bloom.filter.enabled#{KEY}": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
 class ConcurrentCommit(RuntimeError):
     """Another writer committed first; read again and repeat."""
 
@@ -150,9 +157,10 @@ class Inventory:
         reader = self.spark.read.schema(schema).option("basePath", base)
         return reader.parquet(*(f"{base}/batch={n}" for n in names)).select(*schema.names)
 
-    def _write(self, kind: str, rows: DataFrame, split: str) -> str:
+    def _write(self, kind: str, rows: DataFrame, split: str, **options: str) -> str:
         name = uuid.uuid4().hex
-        rows.write.partitionBy(split).parquet(f"{self.root}/{kind}/batch={name}")
+        writer = rows.write.partitionBy(split).options(**options)
+        writer.parquet(f"{self.root}/{kind}/batch={name}")
         return name
 
     def _stored(self, version: Version, queues: Iterable[str] | None = None) -> DataFrame:
@@ -193,7 +201,8 @@ class Inventory:
     # -- writing ----------------------------------------------------------
 
     def _write_rows(self, rows: DataFrame) -> str:
-        return self._write("rows", rows.withColumn("queue", _queue(F.col("status_fb"))), "queue")
+        by_state = rows.withColumn("queue", _queue(F.col("status_fb")))
+        return self._write("rows", by_state, "queue", **FIND_BY_ID)
 
     def append(
         self,
@@ -229,12 +238,19 @@ class Inventory:
         order: Sequence[str] = ("at",),
         writer: str | None = None,
         number: int | None = None,
+        among: Sequence[str] | None = None,
     ) -> PatchResult:
-        """Record patches. Those for unknown ids are kept apart and never apply."""
+        """Record patches. Those for unknown ids are kept apart and never apply.
+
+        Where all ids are at hand, `among` turns the check of the ids into a
+        filter that the scan can answer from its statistics.
+        """
         now = self.version()
         if _taken(now, writer, number):
             return PatchResult(0, 0, now.number)
         ids = self._stored(now).select(KEY)
+        if among is not None:
+            ids = ids.filter(F.col(KEY).isin(*among))
         folded = flag_known(_typed(fold_patches(patches, order)), ids, KEY, "matched")
         seen = Observation()
         counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
@@ -274,10 +290,18 @@ class Inventory:
             fs.delete(path, True)
 
     def set_values(
-        self, ids: DataFrame, updates: Mapping[str, Any], at: datetime | None = None
+        self,
+        ids: DataFrame | Iterable[str],
+        updates: Mapping[str, Any],
+        at: datetime | None = None,
     ) -> PatchResult:
-        """Give every id the same values."""
-        return self.patch(patch_for(ids, self._stored(self.version()), updates, at))
+        """Give every id the same values; ids are a table, or a few at hand."""
+        few = None
+        if not isinstance(ids, DataFrame):
+            few = list(ids)
+            ids = self.spark.createDataFrame([(i,) for i in few], f"{KEY} string")
+        patches = patch_for(ids, self._stored(self.version()), updates, at)
+        return self.patch(patches, among=few)
 
     def compact(self) -> int:
         """Fold outstanding patches and small folders into one set of rows."""

@@ -17,12 +17,14 @@ def append_into(
     """A stream writer that appends rows whose id is new.
 
     The inventory itself is the memory of what was seen, so no stream state
-    grows with it. A repeated micro-batch is skipped.
+    grows with it. A repeated micro-batch is skipped. The batch is written down
+    first, because the append reads it twice.
     """
 
     def commit(batch: DataFrame, number: int) -> None:
         stream = stream_id(batch)
-        repeat_on_conflict(lambda: inventory.append(batch, order, stream, number))
+        with inventory.staged(batch) as offered:
+            repeat_on_conflict(lambda: inventory.append(offered, order, stream, number))
 
     return (
         rows.writeStream.outputMode("append")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cliptrack import ConcurrentCommit, Inventory, Workflow
+from cliptrack.operators.selection import with_id
 from cliptrack.plans import workflow
 from cliptrack.plans.reports import orphans, status_census, stuck_rows
 from cliptrack.schema import INVENTORY
@@ -137,6 +138,20 @@ def test_patches_apply_and_compact(spark, stored):
     assert [r.video_id for r in stored.transitions(unmatched=True).collect()] == ["ghost"]
 
 
+def test_few_ids_are_looked_up_by_filter(spark, stored):
+    stored.append(inventory(spark, *(item(f"v{i}") for i in range(50))), ORDER)
+    done = stored.set_values(["v3", "v4", "v3", "ghost"], {"status_fb": "posted"}, at(1))
+    assert (done.matched, done.unmatched) == (2, 1)
+    assert {v for v, s in statuses(stored.read()).items() if s == "posted"} == {"v3", "v4"}
+    assert stored.set_values([], {"status_fb": "posted"}, at(1)) == (0, 0, 2)
+    plan = with_id(stored.read(1), "v7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(video_id,v7)" in plan
+    patched = with_id(stored.read(), "v3")
+    text = patched._jdf.queryExecution().executedPlan().toString()
+    assert text.count("EqualTo(video_id,v3)") == 2
+    assert patched.first().status_fb == "posted"
+
+
 def test_patch_for_an_absent_item_does_not_wait_for_it(spark, stored):
     stored.create()
     assert stored.set_values(ids(spark, "new"), {"status_fb": "failed"}, at(1)) == (0, 1, 1)
