@@ -58,7 +58,7 @@ def fresh_rows(existing: DataFrame, batch: DataFrame, order: Sequence[str]) -> D
     """
     check_schema(batch.schema, existing.schema)
     first = keep_first(batch.filter(F.col(KEY).isNotNull()), KEY, order)
-    return not_in_table(first, existing, KEY).select(*existing.columns)
+    return not_in_table(first, existing, KEY, probe=batch).select(*existing.columns)
 
 
 def keyless_rows(batch: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def append_metrics(existing: DataFrame, batch: DataFrame) -> DataFrame:
     offered = batch.groupBy(KEY).agg(F.count("*").alias("n"))
     is_new = ~F.col("known") & F.col(KEY).isNotNull()
     return (
-        flag_known(offered, existing, KEY, "known")
+        flag_known(offered, existing, KEY, "known", probe=batch)
         .agg(
             F.sum("n").alias("offered"),
             F.count_if(is_new).alias("inserted"),

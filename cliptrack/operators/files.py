@@ -19,12 +19,14 @@ def flag_on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
     return flag_known(rows, _as_paths(files), "path_local", "on_disk")
 
 
-def on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
-    return in_table(rows, _as_paths(files), "path_local")
+def on_disk(rows: DataFrame, files: DataFrame, probe: DataFrame | None = None) -> DataFrame:
+    return in_table(rows, _as_paths(files), "path_local", probe)
 
 
-def missing_on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
-    return not_in_table(rows, _as_paths(files), "path_local")
+def missing_on_disk(
+    rows: DataFrame, files: DataFrame, probe: DataFrame | None = None
+) -> DataFrame:
+    return not_in_table(rows, _as_paths(files), "path_local", probe)
 
 
 def unclaimed_files(files: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ Catalyst broadcasts it, so that the table is scanned in place. Then the rows
 meet the few keys that are left, by the key itself, so equal hashes of different
 keys change nothing. Both sides of this second join come from a shuffle of their
 own, which is what lets Spark split a hot key at run time.
+
+Where the rows come out of an aggregate by the key, `probe` names the input of that
+aggregate, whose hashes are had without it.
 """
 
 from __future__ import annotations
@@ -27,18 +30,27 @@ def likely_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
     return keys.join(hashes, "hash", "left_semi").distinct().select(key)
 
 
-def in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def in_table(
+    rows: DataFrame, table: DataFrame, key: str, probe: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key occurs in `table`. A null key never does."""
-    return rows.join(likely_keys(table, rows, key), key, "left_semi")
+    known = likely_keys(table, rows if probe is None else probe, key)
+    return rows.join(known, key, "left_semi")
 
 
-def not_in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def not_in_table(
+    rows: DataFrame, table: DataFrame, key: str, probe: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key does not occur in `table`. A null key never does."""
-    return rows.join(likely_keys(table, rows, key), key, "left_anti")
+    known = likely_keys(table, rows if probe is None else probe, key)
+    return rows.join(known, key, "left_anti")
 
 
-def flag_known(rows: DataFrame, table: DataFrame, key: str, flag: str) -> DataFrame:
+def flag_known(
+    rows: DataFrame, table: DataFrame, key: str, flag: str, probe: DataFrame | None = None
+) -> DataFrame:
     """All rows, each once, with a boolean telling whether the key is in `table`."""
-    known = likely_keys(table, rows, key).withColumn(flag, F.lit(True))
+    known = likely_keys(table, rows if probe is None else probe, key)
+    known = known.withColumn(flag, F.lit(True))
     flagged = rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     return flagged.select(*rows.columns, flag)

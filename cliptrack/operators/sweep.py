@@ -30,7 +30,7 @@ def sweep(
     """
     rows = publishable(inventory, tuple(statuses)).withColumn("turn", queue_key())
     by_path = rows.groupBy("path_local").agg(F.min("turn").alias("turn"))
-    found = on_disk(by_path, files).agg(F.min("turn").alias("turn"))
+    found = on_disk(by_path, files, probe=rows).agg(F.min("turn").alias("turn"))
     first = F.col("first")
     outcome = (
         F.when(first.isNull() | (F.col("turn") < first), FAIL)

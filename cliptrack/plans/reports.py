@@ -29,7 +29,7 @@ def stuck_rows(inventory: DataFrame) -> DataFrame:
 def orphans(inventory: DataFrame, files: DataFrame) -> DataFrame:
     """Files without an inventory row, and rows whose file does not exist."""
     rows = inventory.filter(is_filled(F.col("path_local"))).select("path_local")
-    lost = missing_on_disk(rows.distinct(), files)
+    lost = missing_on_disk(rows.distinct(), files, probe=rows)
     return (
         unclaimed_files(files, inventory)
         .select("path", F.lit("file without row").alias("finding"))

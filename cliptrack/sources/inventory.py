@@ -251,7 +251,8 @@ class Inventory:
         ids = self._stored(now).select(KEY)
         if among is not None:
             ids = ids.filter(F.col(KEY).isin(*among))
-        folded = flag_known(_typed(fold_patches(patches, order)), ids, KEY, "matched")
+        folded = _typed(fold_patches(patches, order))
+        folded = flag_known(folded, ids, KEY, "matched", probe=patches)
         seen = Observation()
         counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
             seen,
