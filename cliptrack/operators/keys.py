@@ -4,6 +4,9 @@ The tables looked up in hold each key once, as the inventory does with ids and a
 file listing with paths; a repeated key costs time there but changes no result.
 The probing rows may repeat a key at will.
 
+A table whose keys Catalyst would broadcast anyway is joined as it is, and the rows
+stay where they are. Any other goes two steps.
+
 First the table is cut to keys whose hash occurs among the probe. The probe is
 folded to distinct 64-bit hashes before it is shuffled, and where it is small
 Catalyst broadcasts it, so that the table is scanned in place. Then the rows
@@ -21,11 +24,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fits_broadcast(rows: DataFrame) -> bool:
+    """Whether the session's limit lets Catalyst broadcast rows of its estimated size."""
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def likely_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
     """Keys of `table` that occur in `probe`, each once, and rarely some others."""
     some = F.col(key).isNotNull()
+    keys = table.filter(some).select(key)
+    if fits_broadcast(keys):
+        return keys.distinct()
     hashes = probe.filter(some).select(F.xxhash64(key).alias("hash")).distinct()
-    keys = table.filter(some).select(key, F.xxhash64(key).alias("hash"))
+    keys = keys.withColumn("hash", F.xxhash64(key))
     # Grouped by the hash as well, which the rows are partitioned by already.
     return keys.join(hashes, "hash", "left_semi").distinct().select(key)
 

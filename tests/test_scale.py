@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cliptrack.operators import append, candidates, patches
 from cliptrack.operators.files import flag_on_disk, missing_on_disk, on_disk
+from cliptrack.operators.keys import not_in_table
 from cliptrack.plans import ingest
 
 SMALL = "/root/testdata/sf0.001"
@@ -68,6 +69,23 @@ def test_append_moves_only_keys_of_the_table(spark, no_broadcast):
     assert keys == ["o_orderkey:bigint,o_orderstatus:string,o_totalprice:double"]
 
 
+def test_small_table_is_broadcast_and_big_one_is_not_shuffled(spark):
+    """Three sizes of the table looked up in, against many or few rows."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("video_id"))
+    few = spark.range(10).select(F.col("id").cast("string").alias("video_id"))
+    text = plan_of(not_in_table(rows, few, "video_id"))
+    assert text.count("BroadcastHashJoin") == 1 and "xxhash64" not in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        # The table does not fit, the hashes of the few probing rows do.
+        text = plan_of(not_in_table(few, rows, "video_id"))
+        assert "BroadcastHashJoin [hash" in text
+        table_side = text[text.index("BroadcastHashJoin [hash") :].split("BroadcastExchange")[0]
+        assert "Exchange" not in table_side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture
 def hot(spark, no_broadcast):
     """Settings under which the test's hot key counts as skewed."""
