@@ -75,7 +75,8 @@ def first_in_group(rows: DataFrame, group: str, position: str, tie: str, n: int)
     For a small n Spark cuts each task's rows to n per group before the shuffle.
     Above that limit a group is ranked in slices of positions: counts per slice
     give each slice its starting rank, slices that start beyond n are dropped,
-    and no task ever sorts a whole group.
+    and no task ever sorts a whole group. (A position repeats within a source
+    only as often as the source was listed.)
     """
     pushed_limit = int(
         rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
