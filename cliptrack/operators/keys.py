@@ -31,12 +31,12 @@ def fits_broadcast(rows: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
-def likely_keys(table: DataFrame, probe: DataFrame, key: str) -> DataFrame:
-    """Keys of `table` that occur in `probe`, each once, and rarely some others."""
+def likely_keys(table: DataFrame, probe: DataFrame, key: str, once: bool = False) -> DataFrame:
+    """Keys of `table` with at least those that occur in `probe`; `once` for no repeats."""
     some = F.col(key).isNotNull()
     keys = table.filter(some).select(key)
     if fits_broadcast(keys):
-        return keys.distinct()
+        return keys.distinct() if once else keys
     hashes = probe.filter(some).select(F.xxhash64(key).alias("hash")).distinct()
     keys = keys.withColumn("hash", F.xxhash64(key))
     # Grouped by the hash as well, which the rows are partitioned by already.
@@ -63,7 +63,7 @@ def flag_known(
     rows: DataFrame, table: DataFrame, key: str, flag: str, probe: DataFrame | None = None
 ) -> DataFrame:
     """All rows, each once, with a boolean telling whether the key is in `table`."""
-    known = likely_keys(table, rows if probe is None else probe, key)
+    known = likely_keys(table, rows if probe is None else probe, key, once=True)
     known = known.withColumn(flag, F.lit(True))
     flagged = rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     return flagged.select(*rows.columns, flag)

@@ -42,7 +42,12 @@ def test_stream_equals_batch(spark, stored, tmp_path):
     draw = random.Random(2)
     events = [
         # One item holds a third of the events, some items are unknown.
-        ("0" if draw.random() < 0.33 else str(draw.randint(0, 10)), draw.choice(STATES), at(draw.randint(0, 50)), n)
+        (
+            "0" if draw.random() < 0.33 else str(draw.randint(0, 10)),
+            draw.choice(STATES),
+            at(draw.randint(0, 50)),
+            n,
+        )
         for n in range(300)
     ]
     for part in range(3):
@@ -117,7 +122,12 @@ def test_arrivals_keep_the_first(spark, stored, tmp_path):
         writer.trigger(availableNow=True).start().awaitTermination()
 
     offer("a", item("1", title="late"), item("x", title="first", minutes=5))
-    offer("b", item("x", title="second", minutes=1), item("y", title="b", minutes=2), item("y", title="a", minutes=2))
+    offer(
+        "b",
+        item("x", title="second", minutes=1),
+        item("y", title="b", minutes=2),
+        item("y", title="a", minutes=2),
+    )
     offer("c", item("y", title="0", minutes=0), item("z"))
     rows = by_id(stored.read())
     assert rows["1"].title == "Sample"

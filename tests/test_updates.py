@@ -54,7 +54,8 @@ def test_patches_do_not_widen_the_table(spark):
 
 def test_update_by_ids(spark):
     table = inventory(spark, item("a"), item("b"), item("c"))
-    after = by_id(ops.update_by_ids(table, ids(spark, "a", "c", "c", None, "x"), {"status_fb": "failed"}, at(1)))
+    some = ids(spark, "a", "c", "c", None, "x")
+    after = by_id(ops.update_by_ids(table, some, {"status_fb": "failed"}, at(1)))
     assert {v: r.status_fb for v, r in after.items()} == {
         "a": "failed",
         "b": "pending",
