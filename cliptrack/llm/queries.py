@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from cliptrack.llm.context_trees import op2_context_trees
 from cliptrack.llm.html_blocks import op9_html
+from cliptrack.llm.jaccard_join import op4_ngram_join
+from cliptrack.llm.lattice_dups import op10_lattice
 from cliptrack.llm.mixing import OP6_SQL, op6_mixing
+from cliptrack.llm.piece_lattice import op5_pieces
 from cliptrack.llm.pii import op3_pii
-from cliptrack.llm.sharding import op8_sharding
+from cliptrack.llm.rotated_codes import op7_nearest
 from cliptrack.llm.shared import visible
+from cliptrack.llm.sharding import op8_sharding
 from cliptrack.llm.toxicity import op1_toxicity
 
 
-
 def _query(run):
     def call(spark, sf_dir):
         visible(spark)
@@ -19,14 +23,20 @@ def _query(run):
     return call
 
 
-_RUNS = {
-    "op1_toxicity": op1_toxicity,
-    "op3_pii": op3_pii,
-    "op6_mixing": op6_mixing,
-    "op8_sharding": op8_sharding,
-    "op9_html": op9_html,
+QUERIES = {
+    run.__name__: _query(run)
+    for run in (
+        op1_toxicity,
+        op2_context_trees,
+        op3_pii,
+        op4_ngram_join,
+        op5_pieces,
+        op6_mixing,
+        op7_nearest,
+        op8_sharding,
+        op9_html,
+        op10_lattice,
+    )
 }
 
-QUERIES = {name: _query(run) for name, run in _RUNS.items()}
-
 SQL: dict[str, str] = {"op6_mixing": OP6_SQL}
