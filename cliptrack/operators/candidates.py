@@ -11,8 +11,8 @@ from cliptrack.schema import KEY
 
 ENTRY_COLUMNS = ("source_url", "pos", "video_id", "url", "webpage_url")
 
-#: Positions covered by one ranking group. Bounds what a single task sorts.
-RANK_WIDTH = 100_000
+#: Positions covered by one ranking group, which bounds what a single task sorts.
+RANK_WIDTH = 1000
 
 
 def listing_entries(listings: DataFrame) -> DataFrame:
@@ -72,19 +72,12 @@ def first_per_source(entries: DataFrame, per_source: int = 1) -> DataFrame:
 def first_in_group(rows: DataFrame, group: str, position: str, tie: str, n: int) -> DataFrame:
     """The n rows of each group with the smallest position.
 
-    For a small n Spark cuts each task's rows to n per group before the shuffle.
-    Above that limit a group is ranked in slices of positions: counts per slice
-    give each slice its starting rank, slices that start beyond n are dropped,
-    and no task ever sorts a whole group. (A position repeats within a source
-    only as often as the source was listed.)
+    A group is ranked in slices of positions: counts per slice give each slice its
+    starting rank, slices that start beyond n are dropped, and each other slice is
+    ranked by itself, so that no task sorts a whole group. A position repeats within
+    a source only as often as the source was listed. Rows without a position come
+    first, in a slice of their own.
     """
-    pushed_limit = int(
-        rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if n <= pushed_limit:
-        order = Window.partitionBy(group).orderBy(position, tie)
-        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-
     sliced = rows.withColumn("slice", F.floor(F.col(position) / F.lit(RANK_WIDTH)))
     before = Window.partitionBy(group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -92,12 +85,15 @@ def first_in_group(rows: DataFrame, group: str, position: str, tie: str, n: int)
         .agg(F.count("*").alias("size"))
         .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
         .filter(F.col("start") < n)
-        .drop("size")
+        .select(F.col(group).alias("_group"), F.col("slice").alias("_slice"), "start")
     )
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("slice").eqNullSafe(F.col("_slice"))
     inside = Window.partitionBy(group, "slice").orderBy(position, tie)
     return (
-        sliced.join(starts, [group, "slice"])
-        .withColumn("rank", F.col("start") + F.row_number().over(inside))
+        sliced.join(starts, same)
+        .withColumn("inside", F.row_number().over(inside))
+        .filter(F.col("inside") <= n)
+        .withColumn("rank", F.col("start") + F.col("inside"))
         .filter(F.col("rank") <= n)
-        .drop("slice", "start")
+        .select(*rows.columns, "rank")
     )

@@ -19,14 +19,12 @@ def flag_on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
     return flag_known(rows, _as_paths(files), "path_local", "on_disk")
 
 
-def on_disk(rows: DataFrame, files: DataFrame, probe: DataFrame | None = None) -> DataFrame:
-    return in_table(rows, _as_paths(files), "path_local", probe)
+def on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
+    return in_table(rows, _as_paths(files), "path_local")
 
 
-def missing_on_disk(
-    rows: DataFrame, files: DataFrame, probe: DataFrame | None = None
-) -> DataFrame:
-    return not_in_table(rows, _as_paths(files), "path_local", probe)
+def missing_on_disk(rows: DataFrame, files: DataFrame) -> DataFrame:
+    return not_in_table(rows, _as_paths(files), "path_local")
 
 
 def unclaimed_files(files: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -36,9 +34,13 @@ def unclaimed_files(files: DataFrame, inventory: DataFrame) -> DataFrame:
     return files.join(claimed, "path", "left_anti")
 
 
-def file_for_id(files: DataFrame, folder: str = RAW_DIR) -> DataFrame:
+def file_for_id(
+    files: DataFrame, folder: str = RAW_DIR, ids: DataFrame | None = None
+) -> DataFrame:
     """Smallest path per id, for files called `<id>.<anything>` in the folder.
 
+    With `ids`, only for those: other files are left out before anything is grouped.
+
     An id may hold dots itself, so a file counts for every part of its name
     that ends before a dot: `a.b.mp4` serves `a` and `a.b`. Partial downloads
     serve nobody.
@@ -47,9 +49,9 @@ def file_for_id(files: DataFrame, folder: str = RAW_DIR) -> DataFrame:
     direct = F.col("path") == F.concat(F.lit(folder + "/"), file_name(F.col("path")))
     ends = F.sequence(F.lit(1), F.size(parts) - 1)
     stems = F.transform(ends, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
-    return (
-        files.filter(direct & ~is_partial(F.col("path")) & (F.size(parts) > 1))
-        .select("path", F.explode(stems).alias("video_id"))
-        .groupBy("video_id")
-        .agg(F.min("path").alias("path_local"))
+    named = files.filter(direct & ~is_partial(F.col("path")) & (F.size(parts) > 1)).select(
+        "path", F.explode(stems).alias("video_id")
     )
+    if ids is not None:
+        named = in_table(named, ids, "video_id")
+    return named.groupBy("video_id").agg(F.min("path").alias("path_local"))

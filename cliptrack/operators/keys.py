@@ -1,21 +1,8 @@
-"""Membership by key, shaped so that a big table moves as little as possible.
+"""Membership by key, as plain semi, anti and left joins.
 
-The tables looked up in hold each key once, as the inventory does with ids and a
-file listing with paths; a repeated key costs time there but changes no result.
-The probing rows may repeat a key at will.
-
-A table whose keys Catalyst would broadcast anyway is joined as it is, and the rows
-stay where they are. Any other goes two steps.
-
-First the table is cut to keys whose hash occurs among the probe. The probe is
-folded to distinct 64-bit hashes before it is shuffled, and where it is small
-Catalyst broadcasts it, so that the table is scanned in place. Then the rows
-meet the few keys that are left, by the key itself, so equal hashes of different
-keys change nothing. Both sides of this second join come from a shuffle of their
-own, which is what lets Spark split a hot key at run time.
-
-Where the rows come out of an aggregate by the key, `probe` names the input of that
-aggregate, whose hashes are had without it.
+Spark picks the join: it broadcasts a side that its statistics show to be small,
+cuts the other by a filter at run time, and splits a hot key of the rows. A null key
+is never in a table; a repeated key of the table counts once.
 """
 
 from __future__ import annotations
@@ -24,46 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits_broadcast(rows: DataFrame) -> bool:
-    """Whether the session's limit lets Catalyst broadcast rows of its estimated size."""
-    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def likely_keys(table: DataFrame, probe: DataFrame, key: str, once: bool = False) -> DataFrame:
-    """Keys of `table` with at least those that occur in `probe`; `once` for no repeats."""
-    some = F.col(key).isNotNull()
-    keys = table.filter(some).select(key)
-    if fits_broadcast(keys):
-        return keys.distinct() if once else keys
-    hashes = probe.filter(some).select(F.xxhash64(key).alias("hash")).distinct()
-    keys = keys.withColumn("hash", F.xxhash64(key))
-    # Grouped by the hash as well, which the rows are partitioned by already.
-    return keys.join(hashes, "hash", "left_semi").distinct().select(key)
-
-
-def in_table(
-    rows: DataFrame, table: DataFrame, key: str, probe: DataFrame | None = None
-) -> DataFrame:
-    """Rows whose key occurs in `table`. A null key never does."""
-    known = likely_keys(table, rows if probe is None else probe, key)
-    return rows.join(known, key, "left_semi")
+def in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs in `table`."""
+    return rows.join(table.select(key), key, "left_semi")
 
 
-def not_in_table(
-    rows: DataFrame, table: DataFrame, key: str, probe: DataFrame | None = None
-) -> DataFrame:
-    """Rows whose key does not occur in `table`. A null key never does."""
-    known = likely_keys(table, rows if probe is None else probe, key)
-    return rows.join(known, key, "left_anti")
+def not_in_table(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows whose key does not occur in `table`, also those without a key."""
+    return rows.join(table.select(key), key, "left_anti")
 
 
-def flag_known(
-    rows: DataFrame, table: DataFrame, key: str, flag: str, probe: DataFrame | None = None
-) -> DataFrame:
+def flag_known(rows: DataFrame, table: DataFrame, key: str, flag: str) -> DataFrame:
     """All rows, each once, with a boolean telling whether the key is in `table`."""
-    known = likely_keys(table, rows if probe is None else probe, key, once=True)
-    known = known.withColumn(flag, F.lit(True))
-    flagged = rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    return flagged.select(*rows.columns, flag)
+    # Grouped by a hash as well, so that the join shuffles the keys itself: Spark
+    # splits a hot key only between shuffles that a join has asked for.
+    known = table.filter(F.col(key).isNotNull()).groupBy(key, F.xxhash64(key)).agg(
+        F.lit(True).alias(flag)
+    )
+    flagged = rows.join(known.select(key, flag), key, "left")
+    return flagged.withColumn(flag, F.coalesce(flag, F.lit(False))).select(*rows.columns, flag)

@@ -66,7 +66,7 @@ def ingest(
     done = results.filter(F.col("error").isNull())
     first = keep_first(done.filter(is_filled(F.col(KEY))), KEY, ROUND_ORDER)
     return Ingest(
-        rows=_inventory_rows(first.join(file_for_id(files), KEY, "left"), at),
+        rows=_inventory_rows(first.join(file_for_id(files, ids=first), KEY, "left"), at),
         rejects=done.filter(~is_filled(F.col(KEY))).select("listing", "pos", "entry_id"),
         failures=failure_patches(results.filter(F.col("error").isNotNull()), at),
     )

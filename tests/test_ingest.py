@@ -79,54 +79,56 @@ def test_first_new_entry_per_source(spark):
     ]
 
 
-@pytest.mark.parametrize("n", [2, 7, 40, 10**6])
-def test_first_in_group_in_slices(spark, monkeypatch, n):
+@pytest.mark.parametrize("n", [1, 2, 7, 40, 10**6])
+def test_first_in_group(spark, monkeypatch, n):
+    """Some rows have no position, and some no group."""
     monkeypatch.setattr(candidates, "RANK_WIDTH", 5)
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
-    try:
-        draw = random.Random(n)
-        rows = [(g, draw.randint(0, 60), str(i)) for i in range(400) for g in [draw.choice("aab")]]
-        table = spark.createDataFrame(rows, "g string, pos bigint, tie string")
-        got = candidates.first_in_group(table, "g", "pos", "tie", n).collect()
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    want = [r for g in "ab" for r in sorted(x for x in rows if x[0] == g)[:n]]
-    assert sorted((r.g, r.pos, r.tie) for r in got) == sorted(want)
-    ranks = sorted((r.g, r.pos, r.tie, r["rank"]) for r in got)
+    draw = random.Random(n)
+    rows = [
+        (g, draw.choice([None, *range(-5, 60)]), str(i))
+        for i in range(400)
+        for g in [draw.choice(["a", "a", "b", None])]
+    ]
+    table = spark.createDataFrame(rows, "g string, pos bigint, tie string")
+    got = candidates.first_in_group(table, "g", "pos", "tie", n).collect()
+    low = lambda r: (r[0] or "", -(10**9) if r[1] is None else r[1], r[2])
+    want = [r for g in ("a", "b", None) for r in sorted((x for x in rows if x[0] == g), key=low)[:n]]
+    assert sorted(((r.g, r.pos, r.tie) for r in got), key=low) == sorted(want, key=low)
+    ranks = [(*low(r), r["rank"]) for r in sorted(got, key=low)]
     assert [r[3] for r in ranks] == [
-        i + 1 for g in "ab" for i in range(sum(r[0] == g for r in ranks))
+        i + 1 for g in ["", "a", "b"] for i in range(sum(r[0] == g for r in ranks))
     ]
 
 
 def test_ingest_one_new_item(spark):
     listed = listings(
-        spark, {"source_url": "https://example.com/source", "entries": [entry("VID123", "u")]}
+        spark, {"source_url": "https://feed.example.org/boats", "entries": [entry("tug-7", "u")]}
     )
     wanted = ingest.to_download_from_listings(listed, inventory(spark))
     got = downloads(
         spark,
         {
-            "source_url": "https://example.com/source",
-            "entry_id": "VID123",
-            "id": "VID123",
-            "webpage_url": "https://example.com/watch/VID123",
-            "title": "Test Title",
-            "duration": 12.0,
+            "source_url": "https://feed.example.org/boats",
+            "entry_id": "tug-7",
+            "id": "tug-7",
+            "webpage_url": "https://feed.example.org/boats/tug-7",
+            "title": "Tug in the lock",
+            "duration": 95.5,
         },
     )
-    done = ingest.ingest(wanted, got, files(spark, "videos/raw/VID123.mp4"), at(5))
+    done = ingest.ingest(wanted, got, files(spark, "videos/raw/tug-7.mp4"), at(5))
     rows = append.append(inventory(spark), done.rows, ingest.ROUND_ORDER).collect()
     assert len(rows) == 1
     row = rows[0]
     assert (row.video_id, row.status_fb, row.path_local) == (
-        "VID123",
+        "tug-7",
         "pending",
-        "videos/raw/VID123.mp4",
+        "videos/raw/tug-7.mp4",
     )
     assert (row.source_url, row.title, row.duration) == (
-        "https://example.com/watch/VID123",
-        "Test Title",
-        12,
+        "https://feed.example.org/boats/tug-7",
+        "Tug in the lock",
+        95,
     )
     assert utc(row.created_at) == utc(row.updated_at) == at(5)
     assert done.rejects.isEmpty() and done.failures.isEmpty()
