@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,12 +15,21 @@ PARTIAL_SUFFIXES = (".part", ".ytdl")
 
 
 def below(base: str, path: Column) -> Column:
-    """Path relative to `base`, where listings report `file:/...` addresses."""
-    bare = F.regexp_replace(path, r"^file:(//)?(?=/)", "")
-    prefix = base.rstrip("/") + "/"
+    """Path relative to `base`; an error for a path that doesn't lie below it.
+
+    Listings write the same file as `/x`, `file:/x` or `file:///x`, and these are
+    equal here on either side. A base without a scheme stands for itself in any file
+    system; any other scheme and authority must be the base's.
+    """
+    local = r"^file:/+"
+    root = re.sub(local, "/", base).rstrip("/")
+    bare = F.regexp_replace(path, local, "/")
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", base):
+        bare = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    outside = F.raise_error(F.concat(F.lit(f"not below {base}: "), path))
     return F.when(
-        F.startswith(bare, F.lit(prefix)), F.substr(bare, F.lit(len(prefix) + 1))
-    ).otherwise(bare)
+        F.startswith(bare, F.lit(root + "/")), F.substr(bare, F.lit(len(root) + 2))
+    ).when(path.isNotNull(), outside)
 
 
 def file_name(path: Column) -> Column:

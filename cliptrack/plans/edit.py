@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from cliptrack.functions import changes_picture, crop_box, edit_plan, output_path
 from cliptrack.operators.files import flag_on_disk
-from cliptrack.operators.patches import moment, patch_for
+from cliptrack.operators.patches import (
+    apply_patches,
+    fold_patches,
+    moment,
+    patch_for,
+    unmatched,
+)
 from cliptrack.operators.selection import editable, first_rows
 from cliptrack.schema import FAILED, KEY, READY
 
@@ -66,3 +72,24 @@ def edit_patches(results: DataFrame, at: datetime | None = None) -> DataFrame:
         .alias("set_cols"),
         moment(at).alias("at"),
     )
+
+
+class EditsRecorded(NamedTuple):
+    """The inventory after the results, and the results for unknown items."""
+
+    inventory: DataFrame
+    unmatched: DataFrame
+
+
+def folded_results(results: DataFrame, at: datetime | None = None) -> DataFrame:
+    """One patch per item. Of several results for an item a success counts, and of
+    several successes the last path."""
+    return fold_patches(edit_patches(results, at), ("status_fb", "path_local"))
+
+
+def apply_edit_results(
+    inventory: DataFrame, results: DataFrame, at: datetime | None = None
+) -> EditsRecorded:
+    """Fold the results, apply them, and return those for unknown items."""
+    patches = folded_results(results, at)
+    return EditsRecorded(apply_patches(inventory, patches), unmatched(patches, inventory))

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from cliptrack.operators.selection import editable, first_rows, publishable
-from cliptrack.operators.sweep import LEAVE, NEXT, sweep
+from cliptrack.operators.selection import editable, first_rows
+from cliptrack.operators.sweep import LEAVE, sweep
 from cliptrack.plans import edit, ingest
 from cliptrack.plans.publish import publication
 from cliptrack.schema import FAILED, KEY, PENDING, POSTED
@@ -20,9 +20,6 @@ from cliptrack.sources.inventory import (
     repeat_on_conflict,
 )
 
-#: Rows of the queue that `take_next` tries before it sweeps all of it.
-FRONT = 1000
-
 
 class Workflow:
     """Ingest, edit and publish steps, each one or two commits."""
@@ -68,15 +65,24 @@ class Workflow:
     def plan_edits(
         self, files: DataFrame, n: int | None = 1, exclude_processed: bool = False, **options
     ) -> DataFrame:
-        """The edits to render, written down; rows without their file are failed."""
-        rows = editable(self.inventory.read(statuses=(PENDING,)), exclude_processed)
-        with self.inventory.staged(first_rows(rows, n)) as chosen:
-            plan = edit.plan_edits(chosen, files, None, **options)
-            self._patch(plan.failures)
-            return self.inventory.hand_over("edits", plan.edits)
+        """The edits to render, written down; rows without their file are failed.
+
+        Reading, deciding and marking are one step, see `take_next`.
+        """
+
+        def step() -> DataFrame:
+            now = self.inventory.version().number
+            rows = editable(self.inventory.read(now, (PENDING,)), exclude_processed)
+            with self.inventory.staged(first_rows(rows, n)) as chosen:
+                plan = edit.plan_edits(chosen, files, None, **options)
+                edits = self.inventory.hand_over("edits", plan.edits)
+                self.inventory.patch(plan.failures, base=now)
+            return edits
+
+        return repeat_on_conflict(step)
 
     def record_edits(self, results: DataFrame, at: datetime | None = None) -> PatchResult:
-        return self._patch(edit.edit_patches(results, at))
+        return self._patch(edit.folded_results(results, at))
 
     def take_next(
         self,
@@ -86,24 +92,25 @@ class Workflow:
     ) -> Row | None:
         """Id and path to publish, or None; missing files before it are failed.
 
-        The front of the queue is swept first: a hit there is the hit of the
-        whole queue, and spares matching all of it against the files. Without
-        one the whole queue is swept.
+        The decision and the marks belong to one version: if another writer commits
+        in between, all of it is done anew on the newest version.
         """
         statuses = tuple(statuses)
         if self.inventory.latest() is None:
             return None
-        rows = self.inventory.read(statuses=statuses)
-        queue = publishable(rows, statuses).select(KEY, "path_local", "status_fb", "created_at")
-        with self.inventory.staged(first_rows(queue, FRONT)) as front:
-            swept = sweep(front, files, statuses)
-            if swept.filter(F.col("outcome") == NEXT).isEmpty():
-                swept = sweep(queue, files, statuses)
-            with self.inventory.staged(swept.filter(F.col("outcome") != LEAVE)) as touched:
+
+        def step() -> Row | None:
+            now = self.inventory.version().number
+            rows = self.inventory.read(now, statuses)
+            queue = rows.select(KEY, "path_local", "status_fb", "created_at")
+            swept = sweep(queue, files, statuses).filter(F.col("outcome") != LEAVE)
+            with self.inventory.staged(swept) as touched:
                 found = publication(touched, rows, at)
                 chosen = found.chosen.first()
-                self._patch(found.failures)
-        return chosen
+                self.inventory.patch(found.failures, base=now)
+            return chosen
+
+        return repeat_on_conflict(step)
 
     def mark_posted(
         self, ids: DataFrame | Iterable[str], at: datetime | None = None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from functools import cache
 
@@ -31,7 +33,8 @@ def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The shared folder the cluster names; in local mode else a
+    temporary one, which goes with the process."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
@@ -42,4 +45,6 @@ def scratch_root(spark: SparkSession) -> str:
 
 @cache
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="cliptrack-")
+    folder = tempfile.mkdtemp(prefix="cliptrack-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

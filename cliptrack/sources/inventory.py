@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from cliptrack.operators.append import fresh_rows
-from cliptrack.operators.keys import flag_known
+from cliptrack.operators.keys import flag_known, in_table
 from cliptrack.operators.patches import apply_patches, fold_patches, is_set, patch_for
 from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
 
@@ -163,6 +163,19 @@ class Inventory:
         writer.parquet(f"{self.root}/{kind}/batch={name}")
         return name
 
+    def _drop(self, name: str) -> None:
+        """Delete a folder that no version names."""
+        path, fs = self._hadoop_path(name)
+        fs.delete(path, True)
+
+    def _publish(self, version: Version, folder: str) -> int:
+        """Commit, or delete the folder that was written for it."""
+        try:
+            return self._commit(version)
+        except ConcurrentCommit:
+            self._drop(folder)
+            raise
+
     def _stored(self, version: Version, queues: Iterable[str] | None = None) -> DataFrame:
         rows = self._read("rows", version.rows, STORED_ROWS)
         if queues is not None:
@@ -177,26 +190,39 @@ class Inventory:
     ) -> DataFrame:
         """The inventory at a version, optionally only rows in some states.
 
-        Only the folders of these states are read, unless an outstanding patch
-        moved items into one of them. Reading never writes.
+        Only the folders of these states are read, and of the others the items that
+        an outstanding patch moved into one of them. Reading never writes.
         """
         at = self.version(version)
         wanted = None if statuses is None else tuple(statuses)
         queues = None if wanted is None else {_queue_name(s) for s in wanted}
-        if queues is not None and queues & set(at.moved_into):
-            queues = None
         rows = self._stored(at, queues)
         if at.patches:
-            patches = self._patches(at.patches).filter("matched")
-            rows = apply_patches(rows, fold_patches(patches, ("version",)))
+            patches = fold_patches(self._patches(at.patches).filter("matched"), ("version",))
+            if queues is not None and queues & set(at.moved_into):
+                moved = patches.filter(is_set("status_fb") & F.col("status_fb").isin(*wanted))
+                others = self._stored(at, set(QUEUES) - queues)
+                rows = rows.unionByName(in_table(others, moved, KEY))
+            rows = apply_patches(rows, patches)
         return rows if wanted is None else rows.filter(F.col("status_fb").isin(*wanted))
 
     def transitions(self, unmatched: bool = False) -> DataFrame:
-        """Every patch ever committed, with the version that brought it."""
+        """Every patch ever committed, with the version that brought it.
+
+        The folders of patches meet the commits that name them in a join, so that
+        folders of writers that lost are left out and nothing comes to the driver.
+        """
+        base, fs = self._hadoop_path("patches")
+        wanted = F.col("matched") != F.lit(unmatched)
+        if not fs.exists(base):
+            return self._patches([]).filter(wanted).drop("matched")
         commits = self.spark.read.schema("brought string").json(f"{self.root}/commits")
-        names = [r.brought for r in commits.filter("brought is not null").collect()]
-        wanted = self._patches(names)
-        return wanted.filter(F.col("matched") != F.lit(unmatched)).drop("matched")
+        fields = [*STORED_PATCHES, StructField("batch", StringType())]
+        written = self.spark.read.schema(StructType(fields)).parquet(f"{self.root}/patches")
+        named = commits.select(F.col("brought").alias("batch"))
+        return in_table(written.filter(wanted), named, "batch").select(
+            *(c for c in STORED_PATCHES.names if c != "matched")
+        )
 
     # -- writing ----------------------------------------------------------
 
@@ -226,11 +252,13 @@ class Inventory:
         name = self._write_rows(fresh)
         inserted = seen.get.get("inserted", 0)
         batches = _mark(now, writer, number)
-        if not inserted and batches == now.batches:
-            return AppendResult(0, now.number)
+        if not inserted:
+            self._drop(f"rows/batch={name}")
+            if batches == now.batches:
+                return AppendResult(0, now.number)
         rows = now.rows + [name] if inserted else now.rows
         step = now.after(rows=rows, batches=batches)
-        return AppendResult(inserted, self._commit(step))
+        return AppendResult(inserted, self._publish(step, f"rows/batch={name}"))
 
     def patch(
         self,
@@ -239,20 +267,25 @@ class Inventory:
         writer: str | None = None,
         number: int | None = None,
         among: Sequence[str] | None = None,
+        base: int | None = None,
     ) -> PatchResult:
         """Record patches. Those for unknown ids are kept apart and never apply.
 
         Where all ids are at hand, `among` turns the check of the ids into a
-        filter that the scan can answer from its statistics.
+        filter that the scan can answer from its statistics. Patches that follow
+        from what was read name that version as `base`: if it isn't the newest any
+        more, nothing is recorded and ConcurrentCommit tells the caller to decide anew.
         """
         now = self.version()
+        if base is not None and now.number != base:
+            raise ConcurrentCommit(f"decided on version {base}, newest is {now.number}")
         if _taken(now, writer, number):
             return PatchResult(0, 0, now.number)
         ids = self._stored(now).select(KEY)
         if among is not None:
             ids = ids.filter(F.col(KEY).isin(*among))
         folded = _typed(fold_patches(patches, order))
-        folded = flag_known(folded, ids, KEY, "matched", probe=patches)
+        folded = flag_known(folded, ids, KEY, "matched")
         seen = Observation()
         counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
             seen,
@@ -264,15 +297,17 @@ class Inventory:
         counts = seen.get
         hits, misses = (counts.get(n, 0) for n in ("matched", "unmatched"))
         batches = _mark(now, writer, number)
-        if not (hits or misses) and batches == now.batches:
-            return PatchResult(0, 0, now.number)
+        if not (hits or misses):
+            self._drop(f"patches/batch={name}")
+            if batches == now.batches:
+                return PatchResult(0, 0, now.number)
         step = now.after(
             patches=now.patches + [name] if hits else now.patches,
             moved_into=[q for q in QUEUES if q in now.moved_into or counts.get(q)],
             brought=name if hits or misses else None,
             batches=batches,
         )
-        return PatchResult(hits, misses, self._commit(step))
+        return PatchResult(hits, misses, self._publish(step, f"patches/batch={name}"))
 
     def hand_over(self, kind: str, rows: DataFrame) -> DataFrame:
         """Rows written down below the root, for an outside step to read."""
@@ -287,8 +322,7 @@ class Inventory:
         try:
             yield self.hand_over(kind, rows)
         finally:
-            path, fs = self._hadoop_path(kind)
-            fs.delete(path, True)
+            self._drop(kind)
 
     def set_values(
         self,
@@ -308,7 +342,8 @@ class Inventory:
         """Fold outstanding patches and small folders into one set of rows."""
         now = self.version()
         name = self._write_rows(self.read(now.number))
-        return self._commit(now.after(rows=[name], patches=[], moved_into=[]))
+        step = now.after(rows=[name], patches=[], moved_into=[])
+        return self._publish(step, f"rows/batch={name}")
 
 
 def _queue_name(status: str) -> str:

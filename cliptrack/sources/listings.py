@@ -13,17 +13,22 @@ from cliptrack.operators.append import check_schema
 from cliptrack.schema import DOWNLOAD, EDIT_RESULT, INVENTORY, LISTING
 
 
+def _strict(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    """JSON lines; a line that is cut off or holds a value of another type is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """Fetched listings as JSON lines, one listing per line."""
-    return spark.read.schema(LISTING).json(path)
+    return _strict(spark, LISTING, path)
 
 
 def read_downloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOWNLOAD).json(path)
+    return _strict(spark, DOWNLOAD, path)
 
 
 def read_edit_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EDIT_RESULT).json(path)
+    return _strict(spark, EDIT_RESULT, path)
 
 
 def rows_from_records(

@@ -12,10 +12,15 @@ from cliptrack.schema import MEDIA_FILE
 def list_media(spark: SparkSession, base: str, *folders: str) -> DataFrame:
     """Files below the folders, by path relative to `base`. Contents are not read.
 
+    The base is qualified by its file system, as the listed paths are, so that it may
+    be given with or without scheme and authority.
     The driver lists folders (in parallel tasks once there are many), so this
     suits folders of up to some millions of files. Beyond that write a manifest
     where the files are produced and use `read_manifest`.
     """
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(path).toString()
     roots = [f"{base.rstrip('/')}/{f}" for f in folders] or [base]
     return (
         spark.read.format("binaryFile")

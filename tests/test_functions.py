@@ -69,11 +69,14 @@ def test_path_below_a_base(spark):
         ("file:/srv/m/videos/raw/a.mp4",),
         ("file:///srv/m/videos/raw/a.mp4",),
         ("/srv/m/videos/raw/a.mp4",),
-        ("/srv/media/a.mp4",),
-        ("videos/raw/a.mp4",),
+        (None,),
     ]
-    got = values(spark, "p string", rows, below("/srv/m", F.col("p")))
-    assert got == ["videos/raw/a.mp4"] * 3 + ["/srv/media/a.mp4", "videos/raw/a.mp4"]
+    for base in ("/srv/m", "/srv/m/", "file:/srv/m", "file:///srv/m/"):
+        got = values(spark, "p string", rows, below(base, F.col("p")))
+        assert got == ["videos/raw/a.mp4"] * 3 + [None]
+    for outside in ("/srv/media/a.mp4", "videos/raw/a.mp4", "hdfs://name/srv/m/a.mp4"):
+        with pytest.raises(Exception, match="not below"):
+            values(spark, "p string", [(outside,)], below("file:/srv/m", F.col("p")))
     remote = [("hdfs://name:8020/m/videos/raw/a.mp4",)]
     assert values(spark, "p string", remote, below("hdfs://name:8020/m/", F.col("p"))) == [
         "videos/raw/a.mp4"

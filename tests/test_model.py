@@ -5,7 +5,6 @@ import random
 import pytest
 
 from cliptrack import Inventory, Workflow
-from cliptrack.plans import workflow
 from helpers import at, by_id, files, ids, inventory, item, patches, utc
 
 
@@ -47,8 +46,7 @@ class Model:
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_workflow_follows_the_model(spark, tmp_path, monkeypatch, seed):
-    monkeypatch.setattr(workflow, "FRONT", 2)
+def test_workflow_follows_the_model(spark, tmp_path, seed):
     draw = random.Random(seed)
     stored = Inventory(spark, f"file:{tmp_path}/inventory")
     flow, model = Workflow(stored), Model()

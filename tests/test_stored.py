@@ -1,5 +1,6 @@
 import json
 import re
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cliptrack import ConcurrentCommit, Inventory, Workflow
 from cliptrack.operators.selection import with_id
-from cliptrack.plans import workflow
+from cliptrack.plans.edit import apply_edit_results
 from cliptrack.plans.reports import orphans, status_census, stuck_rows
 from cliptrack.schema import INVENTORY
 from cliptrack.session import scratch_root
@@ -97,8 +98,8 @@ def test_states_nothing_moved_into_stay_cheap_to_read(spark, stored):
         text = rows._jdf.queryExecution().executedPlan().toString()
         return re.search(r"PartitionFilters: \[[^\]]*queue", text) is not None
 
-    assert cut("pending") and cut("pending", "ready")
-    assert not cut("posted") and not cut("pending", "odd")
+    # Of other folders only what was moved is read, so the cut stays everywhere.
+    assert cut("pending") and cut("pending", "ready") and cut("posted") and cut("pending", "odd")
     assert statuses(stored.read(statuses=("pending",))) == {"b": "pending"}
     assert statuses(stored.read(statuses=("posted", "ready"))) == {"a": "posted"}
     assert statuses(stored.read(statuses=("strange", "pending"))) == {
@@ -279,12 +280,13 @@ def test_media_listing(spark, tmp_path):
         path = tmp_path / "videos" / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(b"data")
-    media = list_media(spark, str(tmp_path), "videos/raw", "videos/processed")
-    assert sorted(r.path for r in media.collect()) == [
-        "videos/processed/x/y.mp4",
-        "videos/raw/a.mp4",
-        "videos/raw/b c.mp4",
-    ]
+    for base in (f"{tmp_path}", f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}"):
+        media = list_media(spark, base, "videos/raw", "videos/processed")
+        assert sorted(r.path for r in media.collect()) == [
+            "videos/processed/x/y.mp4",
+            "videos/raw/a.mp4",
+            "videos/raw/b c.mp4",
+        ]
     assert {r.length for r in media.collect()} == {4}
     plan = media._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1]
@@ -381,25 +383,85 @@ def test_missing_files_fail_in_the_store(spark, stored):
     assert statuses(stored.read()) == {"m1": "failed", "e1": "failed", "raw": "failed"}
 
 
-@pytest.mark.parametrize("front", [1, 2, 3, 50])
-def test_front_of_the_queue_decides_like_the_whole(spark, stored, monkeypatch, front):
-    monkeypatch.setattr(workflow, "FRONT", front)
-    flow = Workflow(stored)
-    rows = [item(f"v{i}", path=f"videos/processed/v{i}.mp4", minutes=i) for i in range(6)]
+def test_a_decision_is_made_anew_when_another_writer_was_first(spark, stored, monkeypatch):
+    """An item that is marked between the decision and the commit keeps its mark."""
+    flow, other = Workflow(stored), Inventory(spark, stored.root)
+    rows = [item(f"v{i}", path=f"videos/processed/v{i}.mp4", minutes=i) for i in range(3)]
     stored.append(inventory(spark, *rows), ORDER)
-    found = files(spark, "videos/processed/v2.mp4", "videos/processed/v4.mp4")
+    found = files(spark, "videos/processed/v2.mp4")
+    patch, done = stored.patch, []
+
+    def interfere(*args, **options):
+        if not done:
+            done.append(other.set_values(["v0"], {"status_fb": "posted"}, at(5)).matched)
+        return patch(*args, **options)
+
+    monkeypatch.setattr(stored, "patch", interfere)
     assert flow.take_next(found, at(9)).video_id == "v2"
-    assert {v for v, s in statuses(stored.read()).items() if s == "failed"} == {"v0", "v1"}
-    assert flow.take_next(files(spark), at(10)) is None
-    assert set(statuses(stored.read()).values()) == {"failed"}
+    assert statuses(stored.read()) == {"v0": "posted", "v1": "failed", "v2": "pending"}
+    done.clear()
+    stored.append(inventory(spark, item("v3", minutes=0), item("v4", minutes=1)), ORDER)
+    edits = flow.plan_edits(files(spark), n=None, at=at(10))
+    assert edits.isEmpty()
+    assert statuses(stored.read())["v0"] == "posted"
+
+
+def test_folders_of_steps_without_a_commit_are_deleted(spark, stored, monkeypatch):
+    stored.append(inventory(spark, item("a")), ORDER)
+    root = Path(stored.root.removeprefix("file:"))
+    assert stored.append(inventory(spark, item("a")), ORDER).inserted == 0
+    assert stored.set_values([], {"status_fb": "x"}) == (0, 0, 1)
+    now = stored.version()
+    Inventory(spark, stored.root).append(inventory(spark, item("b")), ORDER)
+    monkeypatch.setattr(stored, "version", lambda number=None: now)
+    with pytest.raises(ConcurrentCommit):
+        stored.append(inventory(spark, item("c")), ORDER)
+    with pytest.raises(ConcurrentCommit):
+        stored.patch(patches(spark, {"video_id": "a", "set_cols": [], "at": at(1)}), base=0)
+    assert len(list((root / "rows").glob("batch=*"))) == 2
+    assert list((root / "patches").glob("batch=*")) == []
+
+
+def test_bad_input_is_an_error(spark, tmp_path):
+    good = json.dumps({"source_url": "s", "id": "v", "url": "u"})
+    for read, text in (
+        (read_listings, good + "\n" + good[:-9]),
+        (read_downloads, json.dumps({"source_url": "s", "entry_id": "v", "duration": "12.5"})),
+        (read_edit_results, json.dumps({"video_id": "v", "ok": "yes"})),
+    ):
+        path = tmp_path / read.__name__
+        path.write_text(text)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read(spark, str(path)).collect()
+
+
+def test_repeated_edit_results_are_one(spark):
+    table = inventory(spark, item("a"), item("b"), item("c"))
+    done = results(
+        spark,
+        {"video_id": "a", "path_local": "x", "ok": False},
+        {"video_id": "a", "path_local": "videos/processed/a1.mp4", "ok": True},
+        {"video_id": "a", "path_local": "videos/processed/a2.mp4", "ok": True},
+        {"video_id": "b", "ok": False},
+        {"video_id": "b", "ok": None},
+        {"video_id": "ghost", "ok": True, "path_local": "g"},
+    )
+    after, lost = apply_edit_results(table, done, at(1))
+    assert after.count() == 3
+    assert {v: (r.status_fb, r.path_local) for v, r in by_id(after).items()} == {
+        "a": ("ready", "videos/processed/a2.mp4"),
+        "b": ("failed", "videos/raw/dusk.mov"),
+        "c": ("pending", "videos/raw/dusk.mov"),
+    }
+    assert [r.video_id for r in lost.collect()] == ["ghost"]
 
 
 def test_failed_edit(spark, stored):
     flow = Workflow(stored)
-    stored.append(inventory(spark, item("vid-err")), ORDER)
-    flow.record_edits(results(spark, {"video_id": "vid-err", "ok": False}), at(1))
-    row = by_id(stored.read())["vid-err"]
-    assert (row.status_fb, row.path_local) == ("failed", "videos/raw/input.mp4")
+    stored.append(inventory(spark, item("lost-1")), ORDER)
+    flow.record_edits(results(spark, {"video_id": "lost-1", "ok": False}), at(1))
+    row = by_id(stored.read())["lost-1"]
+    assert (row.status_fb, row.path_local) == ("failed", "videos/raw/dusk.mov")
 
 
 def test_reports(spark):
@@ -425,7 +487,7 @@ def test_reports(spark):
     assert {tuple(r) for r in orphans(table, found).collect()} == {
         ("videos/raw/extra.mp4", "file without row"),
         ("videos/processed/d.mp4", "row without file"),
-        ("videos/raw/input.mp4", "row without file"),
+        ("videos/raw/dusk.mov", "row without file"),
     }
 
 

@@ -130,8 +130,8 @@ def test_arrivals_keep_the_first(spark, stored, tmp_path):
     )
     offer("c", item("y", title="0", minutes=0), item("z"))
     rows = by_id(stored.read())
-    assert rows["1"].title == "Sample"
-    assert (rows["x"].title, rows["y"].title, rows["z"].title) == ("first", "a", "Sample")
+    assert rows["1"].title == "Harbour at dusk"
+    assert (rows["x"].title, rows["y"].title, rows["z"].title) == ("first", "a", "Harbour at dusk")
     assert stored.read().count() == len(rows) == 11
 
 

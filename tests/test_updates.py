@@ -85,7 +85,7 @@ def test_null_is_a_value_and_absence_is_not(spark):
     )
     after = by_id(ops.apply_patches(table, patch))
     assert (after["a"].title, after["a"].status_fb) == (None, "pending")
-    assert (after["b"].title, after["b"].status_fb) == ("Sample", "x")
+    assert (after["b"].title, after["b"].status_fb) == ("Harbour at dusk", "x")
 
 
 def test_fold_equals_updates_one_by_one(spark):
@@ -214,7 +214,7 @@ def test_all_missing_all_fail(spark):
 
 def test_nothing_to_publish(spark):
     assert swept(inventory(spark), files(spark, "x")) == ([], [])
-    assert swept(inventory(spark, item("a")), files(spark, "videos/raw/input.mp4")) == ([], [])
+    assert swept(inventory(spark, item("a")), files(spark, "videos/raw/dusk.mov")) == ([], [])
 
 
 def test_statuses_are_a_choice(spark):
@@ -277,14 +277,14 @@ def test_edit_planning(spark):
 
 def test_two_rows_may_share_a_file(spark):
     table = inventory(spark, item("a"), item("b"))
-    plan = edit.plan_edits(table, files(spark, "videos/raw/input.mp4"), None)
+    plan = edit.plan_edits(table, files(spark, "videos/raw/dusk.mov"), None)
     assert sorted(r.video_id for r in plan.edits.collect()) == ["a", "b"]
     assert plan.failures.isEmpty()
 
 
 def test_a_file_listed_twice_counts_once(spark):
     table = inventory(spark, item("a"), item("b", path="videos/raw/gone.mp4"))
-    found = files(spark, *["videos/raw/input.mp4"] * 3)
+    found = files(spark, *["videos/raw/dusk.mov"] * 3)
     plan = edit.plan_edits(table, found, None)
     assert [r.video_id for r in plan.edits.collect()] == ["a"]
     assert [r.video_id for r in plan.failures.collect()] == ["b"]
@@ -301,12 +301,12 @@ def test_edit_results(spark):
     after = by_id(ops.apply_patches(table, edit.edit_patches(done, at(2))))
     assert {v: (r.status_fb, r.path_local) for v, r in after.items()} == {
         "a": ("ready", "videos/processed/a.mp4"),
-        "b": ("failed", "videos/raw/input.mp4"),
-        "c": ("failed", "videos/raw/input.mp4"),
+        "b": ("failed", "videos/raw/dusk.mov"),
+        "c": ("failed", "videos/raw/dusk.mov"),
     }
 
 
 def test_nothing_to_edit(spark):
-    for table in (inventory(spark), inventory(spark, item("vid999", "ready"))):
-        plan = edit.plan_edits(table, files(spark, "videos/raw/input.mp4"))
+    for table in (inventory(spark), inventory(spark, item("quay-4", "ready"))):
+        plan = edit.plan_edits(table, files(spark, "videos/raw/dusk.mov"))
         assert plan.edits.isEmpty() and plan.failures.isEmpty()
