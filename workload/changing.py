@@ -9,20 +9,19 @@ from cliptrack.operators import files, patches, selection, sweep
 from cliptrack.plans import edit, ingest, publish, reports
 from cliptrack.streaming.transitions import latest_status
 from workload.registry import query
+from workload.views import SCATTERED, scattered
 
 AT = datetime(2025, 3, 1, 12, 30, 15, tzinfo=timezone.utc)
 AT_SQL = "timestamp '2025-03-01 12:30:15'"
 SEED = 42
 
-PICKED = """
-picked as (select distinct cast(l_orderkey as varchar) as video_id from lineitem
-           where l_returnflag = 'R' and l_quantity >= 49)
+PICKED = f"""
+picked as (select distinct {SCATTERED} as video_id from lineitem)
 """
 
 
 def _picked(t):
-    rows = t.lineitem.filter("l_returnflag = 'R' and l_quantity >= 49")
-    return rows.select(F.col("l_orderkey").cast("string").alias("video_id"))
+    return t.lineitem.select(scattered(t.lineitem).alias("video_id"))
 
 
 @query(
@@ -81,14 +80,14 @@ def fold_patches(t):
 
 @query(
     """select video_id, "at" from folded
-       where video_id not in (select video_id from inv where status_fb = 'pending')""",
+       where video_id not in (select video_id from spread)""",
     "inv",
+    "spread",
     "patches",
 )
 def unmatched_updates(t):
     folded = patches.fold_patches(t.patches, ("at", "event_id"))
-    pending = t.inv.filter("status_fb = 'pending'")
-    return patches.unmatched(folded, pending).select("video_id", "at")
+    return patches.unmatched(folded, t.spread).select("video_id", "at")
 
 
 @query(
@@ -97,13 +96,13 @@ def unmatched_updates(t):
                               when 'error' then 'status_fb,path_local'
                               when 'view' then 'title'
                               when 'purchase' then 'duration' else '' end as changes
-       from patches where video_id in (select video_id from inv where status_fb = 'pending')""",
+       from patches where video_id in (select video_id from spread)""",
     "inv",
+    "spread",
     "patches",
 )
 def transition_audit(t):
-    pending = t.inv.filter("status_fb = 'pending'")
-    taken = patches.transitions(t.patches, pending, "run-1", ("event_id",))
+    taken = patches.transitions(t.patches, t.spread, "run-1", ("event_id",))
     return taken.withColumn("changes", F.concat_ws(",", "changes"))
 
 
@@ -119,34 +118,43 @@ def transition_fold(t):
 @query(
     f""", {PICKED}
         select i.video_id, case when p.video_id is null then status_fb else 'posted' end as status_fb
-        from inv i left join picked p on p.video_id = i.video_id
-        where i.status_fb = 'ready'""",
+        from inv i left join picked p on p.video_id = i.video_id""",
     "inv",
 )
 def mark_posted(t):
-    ready = t.inv.filter("status_fb = 'ready'")
-    return publish.mark(ready, _picked(t), "posted", AT).inventory.select("video_id", "status_fb")
+    return publish.mark(t.inv, _picked(t), "posted", AT).inventory.select("video_id", "status_fb")
 
 
 @query(
     f""", {PICKED}
         select video_id from picked
-        where video_id not in (select video_id from inv where status_fb = 'ready')""",
+        where video_id not in (select video_id from inv)""",
     "inv",
 )
 def mark_unknown(t):
-    ready = t.inv.filter("status_fb = 'ready'")
-    return publish.mark(ready, _picked(t), "failed", AT).unmatched.select("video_id")
+    return publish.mark(t.inv, _picked(t), "failed", AT).unmatched.select("video_id")
 
 
-RESULTS = """
+RESULTS = f"""
 results as (
-  select cast(l_orderkey as varchar) as video_id, max(l_quantity) < 40 as ok,
-         'videos/processed/' || cast(l_orderkey as varchar) || '_e.mp4' as path_local
-  from lineitem group by 1, 3)
+  select {SCATTERED} as video_id, bool_or(l_quantity < 20) as ok,
+         max('videos/processed/' || {SCATTERED} || '_' || cast(l_linenumber as varchar) || '.mp4')
+           filter (l_quantity < 20) as path_local
+  from lineitem group by 1)
 """
 
 
+def _results(t):
+    """A result for every line, several for many items, some for unknown ones."""
+    key = scattered(t.lineitem)
+    number = F.col("l_linenumber").cast("string")
+    return t.lineitem.select(
+        key.alias("video_id"),
+        (F.col("l_quantity") < 20).alias("ok"),
+        F.concat(F.lit("videos/processed/"), key, F.lit("_"), number, F.lit(".mp4")).alias("path_local"),
+    )
+
+
 @query(
     f""", {RESULTS}
         select i.video_id,
@@ -158,15 +166,19 @@ results as (
     "inv",
 )
 def edit_results(t):
-    key = F.col("l_orderkey").cast("string")
-    results = t.lineitem.groupBy(key.alias("video_id")).agg(
-        (F.max("l_quantity") < 40).alias("ok")
-    )
-    path = F.concat(F.lit("videos/processed/"), "video_id", F.lit("_e.mp4"))
-    done = edit.edit_patches(results.withColumn("path_local", path), AT)
-    return patches.apply_patches(t.inv, done).select(
-        "video_id", "status_fb", "path_local", "updated_at"
-    )
+    done = edit.apply_edit_results(t.inv, _results(t), AT).inventory
+    return done.select("video_id", "status_fb", "path_local", "updated_at")
+
+
+@query(
+    f""", {RESULTS}
+        select video_id, case when ok then 'ready' else 'failed' end as status_fb, path_local
+        from results where video_id not in (select video_id from inv)""",
+    "inv",
+)
+def edit_results_unmatched(t):
+    lost = edit.apply_edit_results(t.inv, _results(t), AT).unmatched
+    return lost.select("video_id", "status_fb", "path_local")
 
 
 EDITABLE = "status_fb = 'pending' and path_local <> ''"
@@ -300,19 +312,21 @@ def crop_boxes(t):
 @query(
     f"""select video_id, path_local, {OUTPUT} as output_path, {PLAN} as edits,
                {PLAN} like '%mirror%' or {PLAN} like '%zoom%' as effective,
-               case when {PLAN} like '%zoom%' then coalesce(duration // 1000, 0)
-                 - cast(trunc(duration // 1000 * 0.05) as bigint) end as x2
+               case when {PLAN} like '%zoom%' then cast(trunc(duration // 1000 * 0.05) as bigint) end as x1,
+               case when {PLAN} like '%zoom%' then cast(trunc(duration // 500 * 0.05) as bigint) end as y1,
+               case when {PLAN} like '%zoom%' then duration // 1000
+                 - cast(trunc(duration // 1000 * 0.05) as bigint) end as x2,
+               case when {PLAN} like '%zoom%' then duration // 500
+                 - cast(trunc(duration // 500 * 0.05) as bigint) end as y2
         from inv where {EDITABLE} and path_local in (select path from files)""",
     "inv",
     "files",
 )
 def planned_edits(t):
-    thousands = F.floor(F.col("duration") / 1000)
-    sizes = t.inv.select("video_id", thousands.alias("width"), thousands.alias("height"))
+    width, height = (F.floor(F.col("duration") / n) for n in (1000, 500))
+    sizes = t.inv.select("video_id", width.alias("width"), height.alias("height"))
     plan = edit.plan_edits(t.inv, t.files, None, SEED, "run-1", AT, sizes).edits
-    return plan.withColumns(
-        {"edits": F.concat_ws(",", "edits"), "x2": F.col("crop.x2")}
-    ).drop("crop")
+    return plan.withColumn("edits", F.concat_ws(",", "edits")).select("*", "crop.*").drop("crop")
 
 
 @query(

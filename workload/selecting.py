@@ -11,11 +11,6 @@ from workload.views import ARRIVAL_ORDER
 INVENTORY = "video_id, source_url, title, duration, path_local, status_fb, created_at, updated_at"
 
 
-@query(f"select {INVENTORY} from inv", "inv")
-def inventory_view(t):
-    return t.inv
-
-
 @query("select video_id, status_fb, path_local from inv where video_id = '77'", "inv")
 def lookup_by_id(t):
     return selection.with_id(t.inv, "77").select("video_id", "status_fb", "path_local")
@@ -23,15 +18,14 @@ def lookup_by_id(t):
 
 @query(
     """select distinct a.video_id, i.video_id is not null as already_exists
-       from arrivals a left join (select video_id from inv where status_fb <> 'pending') i
-         on i.video_id = a.video_id""",
+       from arrivals a left join spread i on i.video_id = a.video_id""",
     "inv",
+    "spread",
     "arrivals",
 )
 def already_exists(t):
-    known = t.inv.filter("status_fb <> 'pending'")
     offered = t.arrivals.select("video_id").distinct()
-    return keys.flag_known(offered, known, "video_id", "already_exists")
+    return keys.flag_known(offered, t.spread, "video_id", "already_exists")
 
 
 @query(
@@ -181,12 +175,33 @@ def long_batch_per_source(t):
     return candidates.first_per_source(entries, 2500).select("source_url", "pos")
 
 
+@query(
+    """select n, source_url, pos, video_id from (
+         select *, row_number() over (partition by source_url order by pos nulls first, video_id) as turn
+         from (select source_url, case when url like 'https://www%' then null else pos end as pos, video_id
+               from documents_listed)),
+       (select unnest([3, 2500]) as n) where turn <= n""",
+    "documents_listed",
+)
+def first_new_per_source_nulls(t):
+    """Entries of which some have no position; few and many of each source."""
+    entries = candidates.usable_entries(t.documents_listed)
+    entries = entries.withColumn(
+        "pos", F.when(~F.startswith("url", F.lit("https://www")), F.col("pos"))
+    )
+    few, many = (
+        candidates.first_per_source(entries, n).select(F.lit(n).alias("n"), "source_url", "pos", "video_id")
+        for n in (3, 2500)
+    )
+    return few.unionByName(many)
+
+
 FIRST_ARRIVALS = """
 first_arrivals as (
   select * from arrivals
   qualify row_number() over (partition by video_id
                              order by created_at, title, source_url, duration) = 1),
-known as (select * from inv where status_fb <> 'pending')
+known as (select * from spread)
 """
 
 
@@ -197,25 +212,26 @@ known as (select * from inv where status_fb <> 'pending')
        select {INVENTORY} from first_arrivals
        where video_id not in (select video_id from known)""",
     "inv",
+    "spread",
     "arrivals",
 )
 def append_keep_first(t):
-    known = t.inv.filter("status_fb <> 'pending'")
-    return append.append(known, t.arrivals, ARRIVAL_ORDER)
+    return append.append(t.spread, t.arrivals, ARRIVAL_ORDER)
 
 
 @query(
-    """, known as (select video_id from inv where status_fb <> 'pending')
+    """, known as (select video_id from spread)
        select count(*) as offered,
               count(distinct a.video_id) filter (where k.video_id is null) as inserted,
               count(*) filter (where a.video_id is null) as refused,
               count(*) - count(distinct a.video_id) filter (where k.video_id is null) as duplicate
        from arrivals a left join known k on k.video_id = a.video_id""",
     "inv",
+    "spread",
     "arrivals",
 )
 def append_metrics(t):
-    return append.append_metrics(t.inv.filter("status_fb <> 'pending'"), t.arrivals)
+    return append.append_metrics(t.spread, t.arrivals)
 
 
 @query("select * from inv union all select * from arrivals", "inv", "arrivals")
@@ -248,10 +264,23 @@ def duration_default(t):
     )
 
 
-@query("""select path as relative from files""", "files")
+@query(
+    """select path as bare, path as one_slash, path as three_slashes, path as authority,
+              path as other_base from files""",
+    "files",
+)
 def relative_path(t):
-    absolute = F.concat(F.lit("file:/srv/media/"), F.col("path"))
-    return t.files.select(below("/srv/media", absolute).alias("relative"))
+    """The five ways in which a listing and a base may name the same file."""
+    named = {
+        "bare": ("/srv/media", "/srv/media/"),
+        "one_slash": ("/srv/media/", "file:/srv/media/"),
+        "three_slashes": ("file:/srv/media", "file:///srv/media/"),
+        "authority": ("hdfs://name:8020/media", "hdfs://name:8020/media/"),
+        "other_base": ("file:///srv/media", "/srv/media/"),
+    }
+    return t.files.select(
+        *(below(base, F.concat(F.lit(root), "path")).alias(n) for n, (base, root) in named.items())
+    )
 
 
 REQUESTED = """
@@ -282,8 +311,9 @@ def _round(t):
                    else r.title end as title,
               coalesce(cast(trunc(r.duration) as bigint), 0) as duration,
               coalesce(s.path_local, '') as path_local, 'pending' as status_fb
-       from results r left join document_stems s on s.video_id = r.video_id
-       where r.error is null and r.video_id <> ''""",
+       from (select * from results where error is null and video_id <> ''
+             qualify row_number() over (partition by video_id order by listing, pos) = 1) r
+       left join document_stems s on s.video_id = r.video_id""",
     *INGEST_VIEWS,
 )
 def ingest_rows(t):

@@ -34,10 +34,21 @@ def _stored(t, rows) -> Inventory:
     return inventory
 
 
-def _stream(t, table: str):
-    """One test table as a stream of files."""
-    reader = t.spark.readStream.schema(getattr(t, table).schema)
-    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+#: Parts in which a table comes as a stream, each after the one before it is taken.
+PARTS = 3
+
+
+def _in_parts(t, table: str, number: str, start) -> None:
+    """Run a stream over a table that comes in parts; it goes on from its checkpoint.
+
+    The rows of a part are those of one remainder, so that later parts hold rows that
+    are earlier in every order of their own.
+    """
+    folder, rows = f"{_scratch(t)}/{table}", getattr(t, table)
+    for part in range(PARTS):
+        rows.filter(F.col(number) % PARTS == part).write.mode("append").parquet(folder)
+        reader = t.spark.readStream.schema(rows.schema).parquet(folder)
+        start(reader).trigger(availableNow=True).start().awaitTermination()
 
 
 class _Streamed:
@@ -52,19 +63,20 @@ STORED = """
   select * from arrivals
   qualify row_number() over (partition by video_id
                              order by created_at, title, source_url, duration) = 1),
-known as (select * from inv where status_fb <> 'pending'),
+known as (select * from spread),
 stored as (select * from known union all
            select * from first_arrivals where video_id not in (select video_id from known))
 """
-FOLD = """
-, fold as (select video_id, status_fb, ts from changes
-           qualify row_number() over (partition by video_id order by ts desc, event_id desc) = 1)
-"""
 
 
-@query(STORED + "select * from stored", "inv", "arrivals")
+@query("select * from inv", "inv")
+def inventory_view(t):
+    return _untyped(_stored(t, t.inv).read())
+
+
+@query(STORED + "select * from stored", "inv", "spread", "arrivals")
 def stored_append(t):
-    inventory = _stored(t, t.inv.filter("status_fb <> 'pending'"))
+    inventory = _stored(t, t.spread)
     inventory.append(_typed(t.arrivals), ARRIVAL_ORDER)
     return _untyped(inventory.read())
 
@@ -119,36 +131,56 @@ def stored_transitions(t):
 
 
 def _followed(t, by: str):
-    inventory = _stored(t, t.inv)
-    events = views.changes(_Streamed(events=_stream(t, "events")))
-    writer = transitions.fold_into(events, inventory, f"{_scratch(t)}/checkpoint", by)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    inventory, checkpoint = _stored(t, t.inv), f"{_scratch(t)}/checkpoint"
+
+    def start(events):
+        changes = views.changes(_Streamed(events=events))
+        return transitions.fold_into(changes, inventory, checkpoint, by)
+
+    _in_parts(t, "events", "event_id", start)
     return _untyped(inventory.read()).select("video_id", "status_fb", "updated_at")
 
 
-FOLLOWED = (
-    FOLD
-    + """select i.video_id, coalesce(f.status_fb, i.status_fb) as status_fb,
-                coalesce(f.ts, i.updated_at) as updated_at
-         from inv i left join fold f on f.video_id = i.video_id"""
-)
+def _followed_sql(order: str) -> str:
+    return f"""
+, fold as (select video_id, status_fb, ts from changes
+           qualify row_number() over (partition by video_id order by {order}) = 1)
+select i.video_id, coalesce(f.status_fb, i.status_fb) as status_fb,
+       coalesce(f.ts, i.updated_at) as updated_at
+from inv i left join fold f on f.video_id = i.video_id"""
 
 
-@query(FOLLOWED, "inv", "changes")
+@query(_followed_sql("ts desc, event_id desc"), "inv", "changes")
 def stream_transition_fold(t):
     return _followed(t, transitions.EVENT_TIME)
 
 
-@query(FOLLOWED, "inv", "changes")
+@query(_followed_sql(f"event_id % {PARTS} desc, ts desc, event_id desc"), "inv", "changes")
 def stream_transitions_by_arrival(t):
     return _followed(t, transitions.ARRIVAL)
 
 
-@query(STORED + "select * from stored", "inv", "arrivals")
+@query(
+    f"""
+, parted as (
+  select *, cast(split_part(title, '-', 2) as bigint) % {PARTS} as part from arrivals),
+first_arrivals as (
+  select * exclude (part) from parted
+  qualify row_number() over (partition by video_id
+                             order by part, created_at, title, source_url, duration) = 1)
+select * from spread
+union all
+select * from first_arrivals where video_id not in (select video_id from spread)""",
+    "inv",
+    "spread",
+    "arrivals",
+)
 def stream_append_keep_first(t):
-    inventory = _stored(t, t.inv.filter("status_fb <> 'pending'"))
-    offered = _typed(views.arrivals(_Streamed(lineitem=_stream(t, "lineitem"))))
-    checkpoint = f"{_scratch(t)}/checkpoint"
-    writer = arrivals.append_into(offered, inventory, checkpoint, ARRIVAL_ORDER)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    inventory, checkpoint = _stored(t, t.spread), f"{_scratch(t)}/checkpoint"
+
+    def start(lines):
+        offered = _typed(views.arrivals(_Streamed(lineitem=lines)))
+        return arrivals.append_into(offered, inventory, checkpoint, ARRIVAL_ORDER)
+
+    _in_parts(t, "lineitem", "l_linenumber", start)
     return _untyped(inventory.read())

@@ -54,13 +54,29 @@ inv as (
   from orders)"""
 
 
+def spread(t) -> DataFrame:
+    """The inventory under every second id, so that others are unknown to it."""
+    return t.inv.withColumn("video_id", (F.col("video_id").cast("bigint") * 2).cast("string"))
+
+
+SPREAD = """
+spread as (select * replace (cast(cast(video_id as bigint) * 2 as varchar) as video_id) from inv)"""
+
+
+def scattered(line: DataFrame):
+    """An order's key for some of its lines, and for others one that is further on."""
+    return (F.col("l_orderkey") * (1 + F.col("l_linenumber") % 4)).cast("string")
+
+
+SCATTERED = "cast(l_orderkey * (1 + l_linenumber % 4) as varchar)"
+
+
 def files(t) -> DataFrame:
-    """Media files: raw or processed by line status, for the large returned lines."""
+    """Media files: raw or processed by line status, for some of the inventory."""
     folder = F.when(F.col("l_linestatus") == "F", "videos/processed/").otherwise("videos/raw/")
-    path = F.concat(folder, _text("l_orderkey"), F.lit(".mp4"))
+    path = F.concat(folder, scattered(t.lineitem), F.lit(".mp4"))
     return (
-        t.lineitem.filter("l_returnflag = 'R' and l_quantity >= 49")
-        .groupBy(path.alias("path"))
+        t.lineitem.groupBy(path.alias("path"))
         .agg(
             F.sum("l_quantity").cast("bigint").alias("length"),
             F.max("l_shipdate").alias("modified"),
@@ -68,12 +84,12 @@ def files(t) -> DataFrame:
     )
 
 
-FILES = """
+FILES = f"""
 files as (
   select case when l_linestatus = 'F' then 'videos/processed/' else 'videos/raw/' end
-           || cast(l_orderkey as varchar) || '.mp4' as path,
+           || {SCATTERED} || '.mp4' as path,
          cast(sum(l_quantity) as bigint) as length, max(l_shipdate) as modified
-  from lineitem where l_returnflag = 'R' and l_quantity >= 49 group by 1)"""
+  from lineitem group by 1)"""
 
 
 def listings(t) -> DataFrame:
@@ -150,13 +166,15 @@ labelled as (select cast(doc_id as varchar) as video_id from labels)"""
 
 
 def downloads(t) -> DataFrame:
-    """What a fetcher might report for the documents, with all its gaps."""
+    """What a fetcher might report for the documents, with all its gaps, and with ids
+    that two sources may share."""
     lang = F.col("lang")
     own = F.concat(F.lit("v"), _text("doc_id"))
+    shared = F.concat(F.lit("v"), F.floor(F.col("doc_id") / 2).cast("string"))
     return t.documents.select(
         F.col("source").alias("source_url"),
         _text("doc_id").alias("entry_id"),
-        F.when(lang == "es", "").when(lang == "en", own).alias("id"),
+        F.when(lang == "es", "").when(lang == "en", shared).alias("id"),
         F.when(lang == "fr", "")
         .when(lang == "de", F.concat(F.lit("https://cdn.example/"), own))
         .alias("webpage_url"),
@@ -170,7 +188,7 @@ def downloads(t) -> DataFrame:
 DOWNLOADS = """
 downloads as (
   select source as source_url, cast(doc_id as varchar) as entry_id,
-         case when lang = 'es' then '' when lang = 'en' then 'v' || cast(doc_id as varchar) end as id,
+         case when lang = 'es' then '' when lang = 'en' then 'v' || cast(doc_id // 2 as varchar) end as id,
          case when lang = 'fr' then ''
               when lang = 'de' then 'https://cdn.example/v' || cast(doc_id as varchar) end as webpage_url,
          case when lang <> 'fr' then lang end as title,
@@ -319,6 +337,7 @@ SPARK_VIEWS = {
     f.__name__: f
     for f in (
         inv,
+        spread,
         files,
         listings,
         documents_listed,
@@ -333,6 +352,7 @@ SPARK_VIEWS = {
 
 SQL_VIEWS = {
     "inv": INV,
+    "spread": SPREAD,
     "files": FILES,
     "entries": LINKS,
     "documents_listed": DOCUMENTS_LISTED,
