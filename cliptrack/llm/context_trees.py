@@ -322,7 +322,9 @@ def scored(documents: DataFrame, learn: Column, depth: int = DEPTH, block: int =
     spark = documents.sparkSession
     visible(spark)
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn")
+        F.col("doc_id").cast("string").alias("doc_id"),  # whole beside nulls in pandas
+        "text",
+        F.coalesce(learn, F.lit(False)).alias("learn"),
     )
     totals = rows.agg(
         F.sum(F.octet_length("text")), F.sum(F.col("learn").cast("long"))
@@ -355,9 +357,9 @@ def scored(documents: DataFrame, learn: Column, depth: int = DEPTH, block: int =
     )
     return dealt.cogroup(answers.groupBy("block")).applyInPandas(
         _scores(depth, parts, ends, tokens, distinct),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double",
-    )
+    ).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op2_context_trees(spark, sf_dir: str) -> DataFrame:

@@ -199,10 +199,10 @@ _TABLE = (
 )
 
 
-def labelled() -> tuple[np.ndarray, np.ndarray]:
+def labelled(table: tuple[str, ...] = _TABLE) -> tuple[np.ndarray, np.ndarray]:
     """The labelled table's features and labels, by the parser that reads the pages."""
     rows, labels = [], []
-    for line in _TABLE:
+    for line in table:
         out, open_tags = [], []
         for token in line.split():
             if token == "]":

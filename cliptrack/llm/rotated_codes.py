@@ -93,7 +93,8 @@ def _nearest(k: int):
             data, queries = units(data), units(queries)
             for q, query_id in enumerate(query_ids):
                 at = np.flatnonzero(again[q])
-                score = data[at] @ queries[q]
+                # Row by row, so that equal vectors have equal scores wherever they lie.
+                score = (data[at] * queries[q]).sum(axis=1)
                 best = np.lexsort((ids[at], -score))[:k]
                 out += zip([query_id] * len(best), ids[at[best]], score[best], strict=True)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
