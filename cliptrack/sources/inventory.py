@@ -1,6 +1,6 @@
 """The inventory on plain Parquet folders that are written once and never changed.
 
-    root/rows/batch=<name>     inventory rows, by state
+    root/rows/batch=<name>     inventory rows, by state, bucketed by id
     root/patches/batch=<name>  folded patches, split into matched and unmatched
     root/commits/<n>           which of these folders make up version n
 
@@ -10,6 +10,10 @@ so of two writers that start from the same version one gets ConcurrentCommit and
 nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append
 writes only the new rows and an update only its patches; `compact` folds them into
 the rows.
+
+Buckets are Spark's own. Its readers know them from a catalog only, so every folder of
+rows is registered in the session's catalog as an external table when it is read. Then
+only patches and new rows are shuffled, never the rows that are there.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
+from functools import reduce
 from typing import Any, NamedTuple, TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -52,6 +57,10 @@ FIND_BY_ID = {
 }
 
 
+#: Buckets of a new inventory; some ten thousand rows each is few, some million many.
+BUCKETS = 8
+
+
 class ConcurrentCommit(RuntimeError):
     """Another writer committed first; read again and repeat."""
 
@@ -87,6 +96,7 @@ class Version:
     #: The patches this very version brought, also those that matched nothing.
     brought: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
+    buckets: int = BUCKETS
 
     def after(self, **changes) -> Version:
         """The next version, with some things changed."""
@@ -96,9 +106,11 @@ class Version:
 class Inventory:
     """Reads and writes the inventory below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        """`buckets` counts where the inventory is created; later it keeps its own."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- versions ---------------------------------------------------------
 
@@ -148,7 +160,7 @@ class Inventory:
     def create(self) -> int:
         """Make version 0 with no rows; leaves an existing table alone."""
         number = self.latest()
-        return self._commit(Version(0)) if number is None else number
+        return self._commit(Version(0, buckets=self.buckets)) if number is None else number
 
     def _read(self, kind: str, names: Sequence[str], schema: StructType) -> DataFrame:
         if not names:
@@ -168,16 +180,31 @@ class Inventory:
         path, fs = self._hadoop_path(name)
         fs.delete(path, True)
 
-    def _publish(self, version: Version, folder: str) -> int:
-        """Commit, or delete the folder that was written for it."""
+    def _publish(self, version: Version, undo: Callable[[], None]) -> int:
+        """Commit, or delete what was written for it."""
         try:
             return self._commit(version)
         except ConcurrentCommit:
-            self._drop(folder)
+            undo()
             raise
 
+    def _folder(self, version: Version, name: str) -> DataFrame:
+        """A folder of rows, as a table of the session's catalog."""
+        table = _table(name)
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED_ROWS)
+            self.spark.sql(
+                f"create table if not exists {table} ({columns}) using parquet"
+                f" options (path '{self.root}/rows/batch={name}') partitioned by (queue)"
+                f" clustered by ({KEY}) sorted by ({KEY}) into {version.buckets} buckets"
+            )
+            self.spark.sql(f"msck repair table {table}")
+        return self.spark.table(table)
+
     def _stored(self, version: Version, queues: Iterable[str] | None = None) -> DataFrame:
-        rows = self._read("rows", version.rows, STORED_ROWS)
+        if not version.rows:
+            return self.spark.createDataFrame([], STORED_ROWS).drop("queue")
+        rows = reduce(DataFrame.unionByName, (self._folder(version, n) for n in version.rows))
         if queues is not None:
             rows = rows.filter(F.col("queue").isin(*sorted(queues)))
         return rows.drop("queue")
@@ -226,9 +253,18 @@ class Inventory:
 
     # -- writing ----------------------------------------------------------
 
-    def _write_rows(self, rows: DataFrame) -> str:
+    def _write_rows(self, rows: DataFrame, version: Version) -> str:
+        name = uuid.uuid4().hex
         by_state = rows.withColumn("queue", _queue(F.col("status_fb")))
-        return self._write("rows", by_state, "queue", **FIND_BY_ID)
+        writer = by_state.write.partitionBy("queue").bucketBy(version.buckets, KEY).sortBy(KEY)
+        writer.options(**FIND_BY_ID, path=f"{self.root}/rows/batch={name}").saveAsTable(
+            _table(name), format="parquet"
+        )
+        return name
+
+    def _drop_rows(self, name: str) -> None:
+        self.spark.sql(f"drop table if exists {_table(name)}")
+        self._drop(f"rows/batch={name}")
 
     def append(
         self,
@@ -246,19 +282,18 @@ class Inventory:
         now = self.version()
         if _taken(now, writer, number):
             return AppendResult(0, now.number)
-        seen = Observation()
         fresh = fresh_rows(self._stored(now), batch, order)
-        fresh = fresh.observe(seen, F.count("*").alias("inserted"))
-        name = self._write_rows(fresh)
-        inserted = seen.get.get("inserted", 0)
+        # One task a bucket, so that a bucket of a folder is one file a state.
+        name = self._write_rows(fresh.repartition(now.buckets, KEY), now)
+        inserted = self._folder(now, name).count()  # from the files' footers
         batches = _mark(now, writer, number)
         if not inserted:
-            self._drop(f"rows/batch={name}")
+            self._drop_rows(name)
             if batches == now.batches:
                 return AppendResult(0, now.number)
         rows = now.rows + [name] if inserted else now.rows
         step = now.after(rows=rows, batches=batches)
-        return AppendResult(inserted, self._publish(step, f"rows/batch={name}"))
+        return AppendResult(inserted, self._publish(step, lambda: self._drop_rows(name)))
 
     def patch(
         self,
@@ -307,7 +342,8 @@ class Inventory:
             brought=name if hits or misses else None,
             batches=batches,
         )
-        return PatchResult(hits, misses, self._publish(step, f"patches/batch={name}"))
+        drop = lambda: self._drop(f"patches/batch={name}")
+        return PatchResult(hits, misses, self._publish(step, drop))
 
     def hand_over(self, kind: str, rows: DataFrame) -> DataFrame:
         """Rows written down below the root, for an outside step to read."""
@@ -341,9 +377,14 @@ class Inventory:
     def compact(self) -> int:
         """Fold outstanding patches and small folders into one set of rows."""
         now = self.version()
-        name = self._write_rows(self.read(now.number))
+        name = self._write_rows(self.read(now.number), now)
         step = now.after(rows=[name], patches=[], moved_into=[])
-        return self._publish(step, f"rows/batch={name}")
+        return self._publish(step, lambda: self._drop_rows(name))
+
+
+def _table(name: str) -> str:
+    """Name of a folder of rows in the catalog."""
+    return f"inventory_rows_{name}"
 
 
 def _queue_name(status: str) -> str:
