@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from cliptrack.operators.append import fresh_rows
-from cliptrack.operators.keys import flag_known, in_table
+from cliptrack.operators.keys import in_table, not_in_table
 from cliptrack.operators.patches import apply_patches, fold_patches, is_set, patch_for
 from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
 
@@ -201,13 +201,27 @@ class Inventory:
             self.spark.sql(f"msck repair table {table}")
         return self.spark.table(table)
 
-    def _stored(self, version: Version, queues: Iterable[str] | None = None) -> DataFrame:
-        if not version.rows:
-            return self.spark.createDataFrame([], STORED_ROWS).drop("queue")
-        rows = reduce(DataFrame.unionByName, (self._folder(version, n) for n in version.rows))
-        if queues is not None:
-            rows = rows.filter(F.col("queue").isin(*sorted(queues)))
-        return rows.drop("queue")
+    def _folders(
+        self, version: Version, queues: Iterable[str] | None = None
+    ) -> list[DataFrame]:
+        """The rows of each folder, which joins by id can use as they are bucketed."""
+        some = F.lit(True) if queues is None else F.col("queue").isin(*sorted(queues))
+        return [self._folder(version, n).filter(some).drop("queue") for n in version.rows]
+
+    def _union(self, parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts or [self.spark.createDataFrame([], INVENTORY)])
+
+    def _flagged(
+        self, patches: DataFrame, version: Version, among: Sequence[str] | None
+    ) -> DataFrame:
+        """Patches with `matched`: whether a folder has their id. An id is in one at most."""
+        found = F.lit(False)
+        for n, folder in enumerate(self._folders(version)):
+            ids = folder.select(KEY) if among is None else folder.select(KEY).filter(F.col(KEY).isin(*among))
+            patches = patches.join(ids.withColumn(f"in_{n}", F.lit(True)), KEY, "left")
+            found = found | F.coalesce(f"in_{n}", F.lit(False))
+        names = [c for c in patches.columns if not c.startswith("in_")]
+        return patches.select(*names, found.alias("matched"))
 
     def _patches(self, names: Sequence[str]) -> DataFrame:
         return self._read("patches", names, STORED_PATCHES)
@@ -223,14 +237,15 @@ class Inventory:
         at = self.version(version)
         wanted = None if statuses is None else tuple(statuses)
         queues = None if wanted is None else {_queue_name(s) for s in wanted}
-        rows = self._stored(at, queues)
+        parts = self._folders(at, queues)
         if at.patches:
             patches = fold_patches(self._patches(at.patches).filter("matched"), ("version",))
             if queues is not None and queues & set(at.moved_into):
                 moved = patches.filter(is_set("status_fb") & F.col("status_fb").isin(*wanted))
-                others = self._stored(at, set(QUEUES) - queues)
-                rows = rows.unionByName(in_table(others, moved, KEY))
-            rows = apply_patches(rows, patches)
+                others = self._folders(at, set(QUEUES) - queues)
+                parts += [in_table(part, moved, KEY) for part in others]
+            parts = [apply_patches(part, patches) for part in parts]
+        rows = self._union(parts)
         return rows if wanted is None else rows.filter(F.col("status_fb").isin(*wanted))
 
     def transitions(self, unmatched: bool = False) -> DataFrame:
@@ -282,7 +297,9 @@ class Inventory:
         now = self.version()
         if _taken(now, writer, number):
             return AppendResult(0, now.number)
-        fresh = fresh_rows(self._stored(now), batch, order)
+        fresh = fresh_rows(self._union([]), batch, order)
+        for folder in self._folders(now):
+            fresh = not_in_table(fresh, folder, KEY)
         # One task a bucket, so that a bucket of a folder is one file a state.
         name = self._write_rows(fresh.repartition(now.buckets, KEY), now)
         inserted = self._folder(now, name).count()  # from the files' footers
@@ -316,11 +333,7 @@ class Inventory:
             raise ConcurrentCommit(f"decided on version {base}, newest is {now.number}")
         if _taken(now, writer, number):
             return PatchResult(0, 0, now.number)
-        ids = self._stored(now).select(KEY)
-        if among is not None:
-            ids = ids.filter(F.col(KEY).isin(*among))
-        folded = _typed(fold_patches(patches, order))
-        folded = flag_known(folded, ids, KEY, "matched")
+        folded = self._flagged(_typed(fold_patches(patches, order)), now, among)
         seen = Observation()
         counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
             seen,
@@ -371,13 +384,16 @@ class Inventory:
         if not isinstance(ids, DataFrame):
             few = list(ids)
             ids = self.spark.createDataFrame([(i,) for i in few], f"{KEY} string")
-        patches = patch_for(ids, self._stored(self.version()), updates, at)
+        patches = patch_for(ids, self._union([]), updates, at)
         return self.patch(patches, among=few)
 
     def compact(self) -> int:
         """Fold outstanding patches and small folders into one set of rows."""
         now = self.version()
-        name = self._write_rows(self.read(now.number), now)
+        rows = self.read(now.number)
+        if not now.patches:  # no join that keeps the rows by bucket
+            rows = rows.repartition(now.buckets, KEY)
+        name = self._write_rows(rows, now)
         step = now.after(rows=[name], patches=[], moved_into=[])
         return self._publish(step, lambda: self._drop_rows(name))
 

@@ -139,6 +139,51 @@ def test_patches_apply_and_compact(spark, stored):
     assert [r.video_id for r in stored.transitions(unmatched=True).collect()] == ["ghost"]
 
 
+def test_stored_rows_are_not_shuffled(spark, stored):
+    """Neither for a read with patches, nor for the states that they moved rows into."""
+    stored.append(inventory(spark, *(item(f"v{i}") for i in range(40))), ORDER)
+    stored.append(inventory(spark, *(item(f"w{i}", "ready") for i in range(40))), ORDER)
+    stored.set_values(["v3", "w4"], {"status_fb": "posted"}, at(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows, scans in (
+            (stored.read(), 2),
+            (stored.read(statuses=("posted", "ready")), 4),
+        ):
+            text = rows._jdf.queryExecution().executedPlan().toString()
+            scanned = [x for x in text.splitlines() if "FileScan" in x and "inventory_rows_" in x]
+            assert len(scanned) == scans and all("Bucketed: true" in x for x in scanned)
+            # The way up from each scan meets a join before any exchange.
+            lines = text.splitlines()
+            for at_line in (i for i, x in enumerate(lines) if x in scanned):
+                depth = lines[at_line].index("FileScan")
+                for line in reversed(lines[:at_line]):
+                    name = line.lstrip(" :+-*0123456789()")
+                    if len(line) - len(name) < depth:
+                        depth = len(line) - len(name)
+                        assert not name.startswith("Exchange"), text
+                        if "Join" in name:
+                            break
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored.compact()
+    assert len(by_id(stored.read())) == 80
+    folder = Path(stored.root.removeprefix("file:")) / "rows" / f"batch={stored.version().rows[0]}"
+    assert len(list(folder.glob("queue=*/part-*"))) <= 3 * stored.buckets
+
+
+def test_another_session_finds_the_buckets(spark, stored):
+    stored.append(inventory(spark, item("a"), item("b", "ready")), ORDER)
+    stored.set_values(["a"], {"status_fb": "posted"}, at(1))
+    for name in stored.version().rows:
+        spark.sql(f"drop table inventory_rows_{name}")
+    again = Inventory(spark.newSession(), stored.root, buckets=3)
+    assert statuses(again.read()) == {"a": "posted", "b": "ready"}
+    assert again.version().buckets == stored.buckets != 3
+    again.append(inventory(spark, item("a"), item("c")), ORDER)
+    assert statuses(again.read(statuses=("pending",))) == {"c": "pending"}
+
+
 def test_few_ids_are_looked_up_by_filter(spark, stored):
     stored.append(inventory(spark, *(item(f"v{i}") for i in range(50))), ORDER)
     done = stored.set_values(["v3", "v4", "v3", "ghost"], {"status_fb": "posted"}, at(1))
