@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cliptrack.session import SETTINGS
 from workload import views
 
 
@@ -14,7 +15,8 @@ class Tables:
     """The test tables of one folder, and the views of them the queries use."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for name, value in SETTINGS.items():  # whoever has started the session
+            spark.conf.set(name, value)
         self.spark = spark
         self.folder = folder
 

@@ -4,9 +4,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from cliptrack.operators import candidates
 from cliptrack.schema import INVENTORY
 from cliptrack.session import scratch_root
 from cliptrack.sources.inventory import Inventory
+from cliptrack.sources.listings import read_listings
 from cliptrack.streaming import arrivals, transitions
 from workload import views
 from workload.registry import query
@@ -69,6 +71,14 @@ stored as (select * from known union all
 """
 
 
+@query("select source_url, pos, video_id, url, webpage_url from entries", "entries")
+def listings_read(t):
+    """The listings as JSON lines, as the fetcher hands them over."""
+    path = f"{_scratch(t)}/listings"
+    t.listings.write.json(path)
+    return candidates.listing_entries(read_listings(t.spark, path))
+
+
 @query("select * from inv", "inv")
 def inventory_view(t):
     return _untyped(_stored(t, t.inv).read())
