@@ -18,13 +18,24 @@ rank, to the power `alpha`: large values take the likeliest cuts, small ones any
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
 
 from cliptrack.llm.shared import mix, visible
 
@@ -34,8 +45,10 @@ ALPHA = 0.5
 FLAT = 100.0
 SPACE = "▁"
 #: Distinct stretches whose lattices a worker keeps; beyond it starts anew.
-MEMORY = 500_000
-_CHUNK = 2 << 20  # characters that are encoded at a time; a longer text is alone
+MEMORY = 200_000
+_AT_ONCE = 16_384  # stretches whose lattices are built at a time
+_ROWS = 500  # texts that are encoded and handed on at a time
+_CHUNK = 1 << 20  # characters that are encoded at a time; a longer text is alone
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -207,16 +220,25 @@ def lattice(v: Vocabulary, stretches: list[str]) -> Lattice:
     run = np.cumsum(share)
     before = np.concatenate([[0.0], run])[first[target]]
     small = [x.astype(np.int32) for x in (first, source, piece)]
-    return Lattice(*small, (run - before).astype(np.float32), start, start + sizes)
+    bounds = start.astype(np.int32), (start + sizes).astype(np.int32)
+    return Lattice(*small, (run - before).astype(np.float32), *bounds)
 
 
-def both(a: Lattice, b: Lattice) -> Lattice:
-    """The stretches of a, then those of b."""
-    places, edges = len(a.first) - 1, len(a.source)
-    moved = (b.first + edges, b.source + places, b.piece, b.upto, b.start + places, b.end + places)
+def joined(nets: list[Lattice]) -> Lattice:
+    """The stretches of all, one after another."""
+    places = np.cumsum([0, *(len(net.first) - 1 for net in nets)])
+    edges = np.cumsum([0, *(len(net.source) for net in nets)])
+    firsts = [net.first[:-1] + np.int32(e) for net, e in zip(nets, edges, strict=False)]
+    moved = lambda name: np.concatenate(
+        [getattr(net, name) + np.int32(p) for net, p in zip(nets, places, strict=False)]
+    )
     return Lattice(
-        np.concatenate([a.first[:-1], moved[0]]),
-        *(np.concatenate(x) for x in zip(a[1:], moved[1:], strict=True)),
+        np.concatenate([*firsts, [np.int32(edges[-1])]]),
+        moved("source"),
+        np.concatenate([net.piece for net in nets]),
+        np.concatenate([net.upto for net in nets]),
+        moved("start"),
+        moved("end"),
     )
 
 
@@ -242,7 +264,7 @@ def sampled(net: Lattice, stretch: np.ndarray, seed: np.ndarray) -> tuple[np.nda
             edge[todo] += 1
             todo = todo[(edge[todo] < end[todo]) & (net.upto[edge[todo]] <= u[todo])]
         drawn.append(net.piece[edge])
-        owner.append(active)
+        owner.append(active.astype(np.int32))
         counts[active] += 1
         place[active] = net.source[edge]
         active = active[place[active] > goal[active]]
@@ -288,10 +310,10 @@ class Sampler:
             every += map(number, stretches(text))
             upto.append(len(every))
         stretch, sizes = np.array(every, np.int64), np.diff(upto)
-        new = list(self.numbers)[had:]
-        if new:
-            net = lattice(self.v, new)
-            self.net = both(self.net, net) if self.net else net
+        new = list(islice(self.numbers, had, None))
+        nets = [lattice(self.v, new[at : at + _AT_ONCE]) for at in range(0, len(new), _AT_ONCE)]
+        if nets:
+            self.net = joined([*([self.net] if self.net else []), *nets])
         begin = np.cumsum(sizes) - sizes
         turn = (np.arange(len(stretch)) - np.repeat(begin, sizes)).astype(np.uint64)
         seed = mix(np.repeat(mix(keys.view(np.uint64) + _GOLDEN), sizes) ^ mix(turn + _GOLDEN))
@@ -334,28 +356,51 @@ def decoded(ids, v: Vocabulary) -> str | None:
 
 
 def with_ids(
-    documents: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: float = ALPHA
+    documents: DataFrame,
+    key: str = "doc_id",
+    keep: Sequence[str] | None = None,
+    model: str = MODEL,
+    alpha: float = ALPHA,
 ) -> DataFrame:
-    """Adds ids, n_tokens and lossless (whether the ids decode to the text).
+    """The columns to keep (all, unless named) with ids, n_tokens and lossless.
 
-    The model's path must be the same on all machines. Null text: null ids, no tokens,
-    lossless. Rows that share a key and a text get the same ids. Columns of those three
-    names are replaced.
+    lossless tells whether the ids decode to the text. The model's path must be the
+    same on all machines. Null text: null ids, no tokens, lossless. Rows that share a
+    key and a text get the same ids. Columns of those three names are replaced.
     """
     visible(documents.sparkSession)
+    kept = [c for c in keep or documents.columns if c not in ("ids", "n_tokens", "lossless")]
+    rows = documents.select(
+        *kept, F.col("text").alias("_text"), F.xxhash64(F.col(key)).alias("_key")
+    )
 
-    @F.pandas_udf("ids array<int>, n_tokens long, lossless boolean")
-    def encode(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(model, alpha)
-        texts = [t if isinstance(t, str) else None for t in texts]
-        ids = own.encoded(texts, keys.to_numpy(np.int64))
-        same = [decoded(i, own.v) == t for i, t in zip(ids, texts, strict=True)]
-        counts = [0 if i is None else len(i) for i in ids]
-        return pd.DataFrame({"ids": ids, "n_tokens": counts, "lossless": same})
-
-    found = encode("text", F.xxhash64(F.col(key)))
-    kept = [c for c in documents.columns if c not in ("ids", "n_tokens", "lossless")]
-    return documents.withColumn("_found", found).select(*kept, "_found.*")
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                texts = part.column("_text").to_pylist()
+                ids = own.encoded(texts, part.column("_key").to_numpy())
+                same = [decoded(i, own.v) == t for i, t in zip(ids, texts, strict=True)]
+                counts = np.array([0 if i is None else len(i) for i in ids], np.int64)
+                flat = np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)])
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)),
+                    pa.array(flat),
+                    mask=pa.array([i is None for i in ids]),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in kept), lists, pa.array(counts), pa.array(same)],
+                    names=[*kept, "ids", "n_tokens", "lossless"],
+                )
+
+    fields = [rows.schema[c] for c in kept]
+    added = [
+        StructField("ids", ArrayType(IntegerType())),
+        StructField("n_tokens", LongType()),
+        StructField("lossless", BooleanType()),
+    ]
+    return rows.mapInArrow(encode, StructType([*fields, *added]))
 
 
 def with_text(encoded_rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
@@ -372,5 +417,5 @@ def with_text(encoded_rows: DataFrame, ids: str = "ids", model: str = MODEL) ->
 
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return with_ids(documents).select("doc_id", "ids", "n_tokens", "lossless")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return with_ids(documents, keep=["doc_id"])

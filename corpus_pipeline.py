@@ -60,7 +60,7 @@ def mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as sampled pieces: doc_id, source, ids, n_tokens, lossless."""
-    return with_ids(docs).select("doc_id", "source", "ids", "n_tokens", "lossless")
+    return with_ids(docs, keep=["doc_id", "source"])
 
 
 STAGES = [
