@@ -29,9 +29,11 @@ def visible(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The folder in spark.checkpoint.dir; one of our own where a local session has none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
