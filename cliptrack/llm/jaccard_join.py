@@ -13,6 +13,7 @@ and no link between classes that are apart is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from cliptrack.llm.shared import components, mix, visible, word_hashes, written
 #: gram that shares its value with others only moves back in the order.
 BITS = 18
 _PARITY = 1024
+#: Bytes of different sets for each task that verifies pairs, on average.
+TASK = 128 << 20
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
@@ -120,43 +123,76 @@ def _least_overlap(percent: int, a: Column, b: Column) -> Column:
     return F.floor((percent * (a + b) + percent + 99) / (percent + 100)).cast("long")
 
 
-def may_link(percent: int, a: str, b: str) -> Column:
-    """Length, positional and suffix filter on two members of a gram's group.
+def filters_by_place(percent: int, a: str, b: str) -> Column:
+    """Length and positional filter on two members of a gram's group.
 
     The gram's positions split both sets in two, and the overlap is at most that of
-    the parts. For the suffix filter a set has 1024 parities: where two differ, so do
-    the sets, and more differing elements than the overlap allows rule a pair out.
+    the parts.
     """
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     at_a, at_b = F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    least = _least_overlap(percent, size_a, size_b)
     most = F.least(at_a, at_b) + 1 + F.least(size_a - at_a - 1, size_b - at_b - 1)
+    return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (
+        most >= _least_overlap(percent, size_a, size_b)
+    )
+
+
+def may_link(percent: int, a: str, b: str) -> Column:
+    """The filters by place, and the suffix filter.
+
+    For that a set has 1024 parities: where two differ, so do the sets, and more
+    differing elements than the overlap allows rule a pair out.
+    """
+    size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     differ = sum(
         (F.bit_count(F.col(f"{a}.parity")[k].bitwiseXOR(F.col(f"{b}.parity")[k])) for k in range(_PARITY // 64)),
         start=F.lit(0),
     )
-    return (
-        (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
-        & (most >= least)
-        & (differ <= size_a + size_b - 2 * least)
+    return filters_by_place(percent, a, b) & (
+        differ <= size_a + size_b - 2 * _least_overlap(percent, size_a, size_b)
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose whole sets are similar enough."""
+def _with_partner(members: DataFrame, filters, percent: int) -> DataFrame:
+    """Members that share a gram with another class that the filters let pass."""
+    both = (F.col("m.gram") == F.col("o.gram")) & (F.col("m.cid") != F.col("o.cid"))
+    return members.alias("m").join(
+        members.alias("o"), both & filters(percent, "m", "o"), "left_semi"
+    )
+
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = []
-            for left, right in zip(frame["left"], frame["right"], strict=True):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield frame.loc[keep, ["a", "b"]]
+def verified(
+    pairs: DataFrame, sets: DataFrame, families: DataFrame, tasks: int, percent: int
+) -> DataFrame:
+    """Those pairs (a, b) of classes whose whole sets are similar enough.
 
-    left = sets.select(F.col("cid").alias("a"), F.col("grams").alias("left"))
-    right = sets.select(F.col("cid").alias("b"), F.col("grams").alias("right"))
-    return written(pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long"))
+    Pairs are dealt to tasks by the families of their two classes, and a set goes once
+    to each task that has a pair of it. Families are split into parts of some 500
+    classes, and the number of tasks follows from the bytes of all sets, so a task
+    stays the same size. Any dealing is right; this one sends few sets several times,
+    as most pairs lie within a family.
+    """
+    for side in ("a", "b"):
+        own = families.select(F.col("cid").alias(side), F.col("family").alias(f"family_{side}"))
+        pairs = pairs.join(own, side)
+    task = F.pmod(F.xxhash64("family_a", "family_b"), F.lit(tasks)).alias("task")
+    dealt = pairs.select(task, "a", "b")
+    needed = dealt.select(F.col("task").alias("to"), F.explode(F.array("a", "b")).alias("cid"))
+
+    def run(own: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
+        held = {c: np.frombuffer(g, np.uint64) for c, g in zip(grams["cid"], grams["grams"], strict=True)}
+        keep = []
+        for a, b in zip(own["a"], own["b"], strict=True):
+            x, y = held[a], held[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(100 * both >= percent * (len(x) + len(y) - both))
+        return own.loc[np.array(keep, bool), ["a", "b"]]
+
+    return written(
+        dealt.groupBy("task")
+        .cogroup(needed.distinct().join(sets, "cid").groupBy("to"))
+        .applyInPandas(run, "a long, b long")
+    )
 
 
 def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -169,11 +205,12 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
     """
     spark = documents.sparkSession
     visible(spark)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Ids go through pandas as text, which keeps large ones whole beside nulls.
+    texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     read = written(
-        texts.mapInPandas(_class_rows(width), "doc_id long, size long, cid long, bucket int, seen long")
+        texts.mapInPandas(_class_rows(width), "doc_id string, size long, cid long, bucket int, seen long")
     )
-    rows = read.where("bucket < 0").select("doc_id", "size", "cid")
+    rows = read.where("bucket < 0").select(F.col("doc_id").cast("long"), "size", "cid")
     counts = read.where("bucket >= 0").groupBy("bucket").agg(F.sum("seen").alias("seen"))
     seen = np.zeros(1 << BITS, np.int64)
     for bucket, n in counts.collect():  # 2 ** BITS rows at most
@@ -199,23 +236,40 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .agg(F.min("gram").alias("gram"))
         .select("gram")
     )
-    members = written(
-        postings.join(shared, "gram").join(classes.select("cid", "parity"), "cid")
-    )
+    # Most members meet nobody that the filters let pass, and go: first by what they
+    # carry here, then by parities. Each stays once, however many it could link with.
+    members = postings.join(shared, "gram")
+    members = written(_with_partner(members, filters_by_place, percent))
+    members = members.join(classes.select("cid", "parity"), "cid")
+    members = written(_with_partner(members, may_link, percent))
 
     ids = (
         rows.groupBy("cid")
         .agg(F.min("doc_id").alias("doc_id"))
         .join(members.select("cid").distinct(), "cid", "left_semi")
     )
-    some = texts.join(ids.select(F.col("doc_id").alias("_id")), F.expr("doc_id <=> _id"), "left_semi")
-    sets = written(
-        some.mapInPandas(_set_rows(width), "cid long, grams binary")
-        .join(ids, "cid", "left_semi")
-        .dropDuplicates(["cid"])
+    some = texts.join(
+        ids.select(F.col("doc_id").cast("string").alias("_id")), F.expr("doc_id <=> _id"), "left_semi"
     )
+    # Rows that share an id may add a set that nobody asks for, or one twice.
+    sets = written(some.mapInPandas(_set_rows(width), "cid long, grams binary"))
+    held = sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    tasks = max(1, math.ceil(held / TASK))
 
     first = members.groupBy("gram").agg(F.min_by(F.struct("cid", "size", "pos", "parity"), "cid").alias("l"))
+    # A class's family: the smallest class that it shares a gram with, split where large.
+    family = (
+        members.select("gram", "cid")
+        .join(first.select("gram", F.col("l.cid").alias("top")), "gram")
+        .groupBy("cid")
+        .agg(F.min("top").alias("top"))
+    )
+    many = family.groupBy("top").agg(F.ceil(F.count("*") / 500).alias("parts"))
+    families = written(
+        family.join(many, "top").select(
+            "cid", F.xxhash64("top", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("family")
+        )
+    )
     stars = (
         members.alias("m")
         .join(first.select("gram", "l.*").alias("f"), "gram")
@@ -223,7 +277,7 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .select(F.col("f.cid").alias("a"), F.col("m.cid").alias("b"))
         .distinct()
     )
-    links = verified(stars, sets, percent)
+    links = verified(stars, sets, families, tasks, percent)
     joined = written(components(links))
 
     placed = members.join(joined, F.col("cid") == F.col("id"), "left").select(
@@ -238,7 +292,7 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b"))
         .distinct()
     )
-    more = verified(rest, sets, percent)
+    more = verified(rest, sets, families, tasks, percent)
     return rows, written(components(links.unionAll(more)))
 
 
@@ -272,23 +326,26 @@ def without_near_copies(documents: DataFrame, width: int = 5, percent: int = 80)
     def class_numbers(texts: pd.Series) -> pd.Series:
         return pd.Series([class_of(s) for s in gram_sets(texts.tolist(), width)], dtype="int64")
 
-    _, joined = near_groups(documents, width, percent)
-    columns = documents.columns
-    marked = documents.select(
-        "*", class_numbers("text").alias("_cid"), F.xxhash64(*columns).alias("_row")
-    )
-    placed = marked.join(joined, F.col("_cid") == F.col("id"), "left").withColumn(
-        "_part", F.coalesce("component", "_cid")
-    )
-    order = F.struct(F.isnull("doc_id").alias("x"), "doc_id", "_cid", "_row")
-    first = placed.where("_cid <> 0").groupBy("_part").agg(F.min(order).alias("_first"))
-    kept = (
-        placed.where("_cid <> 0")
-        .join(first.select("_part", "_first"), "_part")
-        .where(order == F.col("_first"))
-        .dropDuplicates(["_part"])
+    def key(column):
+        return F.coalesce(F.concat(F.lit("+"), F.col(column).cast("string")), F.lit("-"))
+
+    rows, joined = near_groups(documents, width, percent)
+    order = F.struct(F.isnull("doc_id").alias("x"), "doc_id", "cid")
+    first = (
+        rows.where("size > 0")
+        .join(joined, F.col("cid") == F.col("id"), "left")
+        .groupBy(F.coalesce("component", "cid").alias("part"))
+        .agg(F.min(order).alias("first"))
+        .select(key("first.doc_id").alias("key"), F.col("first.cid").alias("cid"))
     )
-    return kept.select(*columns).unionByName(placed.where("_cid = 0").select(*columns))
+    # The rows move once, by id and class; what is decided about them is small.
+    whole = F.struct(*documents.columns).alias("row")
+    marked = documents.select(
+        whole, key("doc_id").alias("key"), class_numbers("text").alias("cid"),
+        F.xxhash64(*documents.columns).alias("sum"),
+    )
+    kept = marked.join(first, ["key", "cid"]).groupBy("key", "cid").agg(F.min_by("row", "sum").alias("row"))
+    return kept.select("row.*").unionByName(marked.where("cid = 0").select("row.*"))
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
