@@ -7,8 +7,9 @@ the overlap. What is left is verified on the whole sets, once per pair.
 
 Equal sets are one class from the start. Of the pairs inside a group of documents
 that share a gram, first those with the group's smallest class are verified; then
-only pairs that are still apart. So a group of copies costs its size, not its square,
-and no link between classes that are apart is left out.
+only pairs that are still apart. So finding the components costs a group of copies its
+size, not its square. Every link lies inside a component, so the links are counted
+there, all classes of one with all, block by block; only sums leave a pair of blocks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ BITS = 18
 _PARITY = 1024
 #: Bytes of different sets for each task that verifies pairs, on average.
 TASK = 128 << 20
+#: Classes of a component that are compared at once with as many others, and the bytes
+#: of their sets, on average.
+BLOCK = 512
+BLOCK_BYTES = 16 << 20
+#: Cells of the table in which overlaps are counted at a time.
+_CELLS = 4 << 20
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
@@ -195,8 +202,76 @@ def verified(
     )
 
 
-def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Two tables: (doc_id, size, cid) of every row, and (cid, component) of every class.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of every set on the left with every one on the right."""
+    sets = [*left, *right]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, gram, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = held[gram] > 1  # a gram of one set alone is in no intersection
+    number = np.cumsum(held > 1) - 1
+    row, gram = row[kept], number[gram[kept]]
+    order = np.argsort(gram, kind="stable")
+    row, gram = row[order], gram[order]
+    out = np.zeros((len(left), len(right)))
+    wide = max(1, _CELLS // len(sets))
+    for start in range(0, int(gram[-1]) + 1 if len(gram) else 0, wide):
+        a, b = np.searchsorted(gram, [start, start + wide])
+        table = np.zeros((len(sets), min(wide, int(gram[-1]) + 1 - start)), np.float32)
+        table[row[a:b], gram[a:b] - start] = 1
+        out += table[: len(left)] @ table[len(left) :].T
+    return out.astype(np.int64)
+
+
+def link_counts(rows: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, links) of the classes in components: how many rows of other classes link.
+
+    All classes of a component meet, in pairs of blocks, and are compared on their
+    whole sets, so no link is left out. A set goes once to each of its blocks' pairs.
+    """
+    sized = rows.groupBy("cid").agg(F.count("*").alias("weight"), F.first("size").alias("size"))
+    own = written(joined.join(sized, F.col("id") == F.col("cid")).select("cid", "component", "weight", "size"))
+    large = (
+        own.groupBy("component")
+        .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+        .where("blocks > 1")
+    )
+    spread = (
+        own.join(large, "component", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "block", "cid", "weight",
+        )
+        .join(sets, "cid")
+    )
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("cid")
+        i, j = group["i"].iat[0], group["j"].iat[0]
+        x, y = group[group["block"] == i], group[group["block"] == j]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"cid": [], "links": []}, dtype="int64")
+        left, right = ([np.frombuffer(g, np.uint64) for g in side["grams"]] for side in (x, y))
+        both = overlaps(left, right)
+        sizes = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])
+        near = 100 * both >= percent * (sizes - both)
+        if i == j:
+            np.fill_diagonal(near, False)
+        out = pd.DataFrame({"cid": x["cid"], "links": near.astype(np.int64) @ y["weight"].to_numpy()})
+        if i != j:
+            more = pd.DataFrame({"cid": y["cid"], "links": near.T.astype(np.int64) @ x["weight"].to_numpy()})
+            out = pd.concat([out, more])
+        return out
+
+    counted = spread.groupBy("component", "i", "j").applyInPandas(run, "cid long, links long")
+    return written(counted.groupBy("cid").agg(F.sum("links").alias("links")))
+
+
+def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three tables: (doc_id, size, cid) of every row, (id, component) of every class,
+    and (cid, grams) of the classes that could link, some more than once.
 
     `component` is the smallest class reachable by links; classes without links have
     no row in the second table. A null text has no words. Rows may share an id.
@@ -293,25 +368,37 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .distinct()
     )
     more = verified(rest, sets, families, tasks, percent)
-    return rows, written(components(links.unionAll(more)))
+    return rows, written(components(links.unionAll(more))), sets
 
 
 def grouped(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of documents.
+    """(doc_id, n_shingles, component_id, n_links) of every row of documents.
 
     component_id is the smallest doc_id reachable by links, the row's own included;
     rows without words have their own. Null ids are never the smallest; a group of
-    them alone has a null.
+    them alone has a null. n_links counts the other rows that are similar enough, those
+    with an equal set among them; rows without words link with nothing.
     """
-    rows, joined = near_groups(documents, width, percent)
-    placed = rows.join(joined, F.col("cid") == F.col("id"), "left").select(
-        "doc_id", "size", F.coalesce("component", "cid").alias("part")
+    rows, joined, sets = near_groups(documents, width, percent)
+    known = (
+        rows.where("size > 0")
+        .groupBy("cid")
+        .agg(F.count("*").alias("weight"))
+        .join(joined, F.col("cid") == F.col("id"), "left")
+        .where("weight > 1 or component is not null")
+        .join(link_counts(rows, joined, sets, percent), "cid", "left")
+        .select("cid", "component", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
+    placed = rows.join(known, "cid", "left").select(
+        "doc_id", "size", F.coalesce("component", "cid").alias("part"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
     least = placed.where("size > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "part", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        "n_links",
     )
 
 
@@ -329,7 +416,7 @@ def without_near_copies(documents: DataFrame, width: int = 5, percent: int = 80)
     def key(column):
         return F.coalesce(F.concat(F.lit("+"), F.col(column).cast("string")), F.lit("-"))
 
-    rows, joined = near_groups(documents, width, percent)
+    rows, joined, _ = near_groups(documents, width, percent)
     order = F.struct(F.isnull("doc_id").alias("x"), "doc_id", "cid")
     first = (
         rows.where("size > 0")
@@ -349,5 +436,5 @@ def without_near_copies(documents: DataFrame, width: int = 5, percent: int = 80)
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
-    """Groups of documents whose 3-word shingles overlap by nine tenths."""
+    """Groups of documents whose 3-word shingles overlap by nine tenths, and their links."""
     return grouped(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -342,6 +342,19 @@ def test_ngram_join(spark, width, percent):
         assert (got[i + 50].n_shingles, got[i + 50].component_id) == (len(sets[i]), tops[i] + 50), i
 
 
+@pytest.mark.parametrize("block", [3, 512])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "_CELLS", 4096)
+    texts = near_texts()
+    _, _, links = plain_groups(texts, 3, 80)
+    want = Counter(i for link in links for i in link)
+    # More links than connect the groups, and a group of different texts among them.
+    assert len(links) > 5 * len(want) and len({texts[i] for i in want}) > 40
+    got = {r.doc_id: r.n_links for r in jaccard_join.grouped(documents(spark, texts), 3, 80).collect()}
+    assert got == {i: want[i] for i in range(len(texts))}
+
+
 def test_one_of_each_group_stays(spark):
     texts = near_texts()
     sets, tops, _ = plain_groups(texts, 5, 80)
