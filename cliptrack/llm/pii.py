@@ -40,7 +40,7 @@ _URL = re.compile(r"[^\s<>\"']*+")
 _USER = re.compile(r"[^\s/@<>\"']+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
 _CUE = re.compile(r"(?i:customer id|user id)|[A-Za-z]+(?:_[A-Za-z]+)*+")
 _CUE_VALUE = re.compile(
-    r"([ _-]?(?:number|no\.|nr\.|id|key)\b)?[ ]?([:=#])?[ ]?[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|[ ](?=[0-9A-Z]{2,4}\b)){5,63})",
+    r"([ _-]?(?:number\b|no\.|nr\.|id\b|key\b))?[ ]?([:=#])?[ ]?[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|[ ](?=[0-9A-Z]{2,4}\b)){3,63})",
     re.IGNORECASE,
 )
 _ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
@@ -118,18 +118,26 @@ def _address(text, at, after):
 
 
 def _account(text, at, after):
-    """What follows a cue: an IBAN, or after a sign or "number" a value with four digits."""
+    """What follows a cue: an IBAN, or after a sign or "number" a value with four digits.
+
+    Where nothing valid follows, reading goes on behind the cue, since the words after
+    it may hold the next one. A value has 64 characters at most.
+    """
     if at and text[at - 1].isalnum():
         return None
     cue = _CUE.match(text, at)
-    m = _CUE_VALUE.match(text, cue.end()) if cue else None
+    m = _CUE_VALUE.match(text, cue.end())
     if not m:
-        return None
+        return at, cue.end(), False
     value = m[3].rstrip(" _-")
-    bare = re.sub(r"[ _-]", "", value)
     announced = m[1] is not None or m[2] is not None
-    valid = iban(bare) or announced and sum(c in _DIGITS for c in bare) >= 4
-    return m.start(3), m.start(3) + len(value), valid
+    if not (announced and sum(c in _DIGITS for c in value) >= 4):
+        # Short words after an IBAN look like more of its groups.
+        while value and not iban(re.sub(r"[ _-]", "", value)):
+            value = value.rpartition(" ")[0]
+    if not value:
+        return at, cue.end(), False
+    return m.start(3), m.start(3) + len(value), True
 
 
 def _key(text, at, after):
@@ -153,7 +161,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
         at = last - length + 1
         if at < after[kind]:
             continue
-        # A kind's next match begins where its last one ended, valid or not.
+        # A kind's next match begins where its last one ended, valid or not; behind a
+        # cue without a valid value.
         if hit := _PARSERS[kind](text, at, after[kind]):
             start, end, valid = hit
             after[kind] = end

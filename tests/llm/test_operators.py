@@ -295,6 +295,30 @@ def test_personal_data(spark):
     assert pii.found_in(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("account IBAN DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+        ("account with IBAN: DE89370400440532013000", "DE89370400440532013000"),
+        ("IBAN DE89 3704 0044 0532 0130 00 and more", "DE89 3704 0044 0532 0130 00"),
+        ("account no. 12345678", "12345678"),
+        ("acct nr. 12345678", "12345678"),
+        ("Account number 1234.", "1234"),
+        ("token: 12a34", "12a34"),
+        ("account of customer id: 12345678", "12345678"),
+        ("account number: 123", None),
+        ("account notes 12345678", None),
+    ],
+)
+def test_values_behind_cues(text, value):
+    assert [(k, text[a:b]) for k, a, b in pii.spans(text)] == ([("account", value)] if value else [])
+
+
+def test_cues_are_read_in_linear_time():
+    for part in ("account_", "account ", "account IBAN ", "iban AA "):
+        pii.spans(part * 20_000)
+
+
 # -- 4 ------------------------------------------------------------------------
 
 
