@@ -34,14 +34,25 @@ _HOLDERS = frozenset(
     "article aside blockquote body details dialog div dl fieldset figure footer form header main "
     "menu nav ol section select svg table ul".split()
 )
-_AROUND = frozenset("nav footer aside form menu dialog select svg".split())
+_AROUND = frozenset("nav footer aside menu dialog select svg".split())
 #: Words in the class, id or role of what surrounds an article.
-_AROUND_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|comments?|"
+_WORDS = (
+    r"(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|comments?|"
     r"complementary|consent|contentinfo|cookies?|copyright|dialog|disqus|footer|gdpr|header|"
     r"login|masthead|menu|modal|navbar|navigation|nav|newsletter|notices?|paging|pagination|"
     r"popup|promo|promoted|recommended|related|replies|reply|respond|search|share|sharing|"
-    r"sidebar|signup|skip|social|sponsor|sponsored|subscribe|toolbar|widget|alert)(?:$|[\s_-])",
+    r"sidebar|signup|skip|social|sponsor|sponsored|subscribe|toolbar|widget|alert)"
+)
+_AROUND_WORDS = re.compile(rf"(?:^|[\s_-]){_WORDS}(?:$|[\s_-])", re.IGNORECASE)
+#: A whole name, or a part that says that articles inside are others than the page's.
+_AROUND_NAMES = re.compile(
+    rf"(?<!\S){_WORDS}(?!\S)|(?:^|[\s_-])(?:comments?|disqus|promoted|recommended|related|replies|"
+    r"reply|respond|sponsored)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+#: Names that hold such a word and say nothing: has-sidebar, article-header.
+_NO_HINT = re.compile(
+    r"(?<!\S)(?:(?:has|no|with|without)[_-]\S+|(?:article|content|entry|main|post|story)[_-]header)(?!\S)",
     re.IGNORECASE,
 )
 
@@ -60,12 +71,18 @@ class Block(NamedTuple):
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The page's text in flat blocks, in page order; white space folded, none empty."""
-    found: list[Block] = []
+    """The page's text in flat blocks, in page order; white space folded, none empty.
+
+    A hint in a part of a name, or a form, doesn't count where an article or main lies
+    inside; main is never around.
+    """
+    found: list[tuple[Block, list | None]] = []
     parts: list[str] = []
     linked: list[str] = []
-    # The holders that are open: (tag, around, in_article).
-    held: list[tuple[str, bool, bool]] = [("", False, False)]
+    # The holders that are open: (tag, around, in_article, the innermost weak hint). A
+    # weak hint is [the next one out, whether it counts]; one that doesn't has none
+    # outside that does.
+    held: list[tuple[str, bool, bool, list | None]] = [("", False, False, None)]
     in_link = heading = False
     page = page or ""
     at = 0
@@ -73,9 +90,9 @@ def blocks(page: str | None) -> list[Block]:
     def close():
         text = " ".join("".join(parts).split())
         if text:
-            _, around, in_article = held[-1]
+            _, around, in_article, weak = held[-1]
             words = len("".join(linked).split())
-            found.append(Block(text, words, around, in_article, heading))
+            found.append((Block(text, words, around, in_article, heading), weak))
         parts.clear()
         linked.clear()
 
@@ -108,15 +125,26 @@ def blocks(page: str | None) -> list[Block]:
                         del held[depth:]
                         break
             else:
-                _, around, in_article = held[-1]
-                names = " ".join("".join(n) for n in _NAMES.findall(m[4] or ""))
-                around |= tag in _AROUND or tag == "header" and not in_article
-                around |= tag != "body" and bool(_AROUND_WORDS.search(names))
-                in_article |= tag in ("article", "main")
-                held.append((tag, around, in_article))
+                _, around, in_article, weak = held[-1]
+                if tag in ("article", "main"):
+                    inner = weak
+                    while inner and inner[1]:
+                        inner[1] = False
+                        inner = inner[0]
+                    around, in_article = around and tag != "main", True
+                else:
+                    names = " ".join("".join(n) for n in _NAMES.findall(m[4] or "")) if tag != "body" else ""
+                    names = _NO_HINT.sub(" ", names)
+                    if in_article:
+                        names = " ".join(n for n in names.split() if "header" not in n.lower())
+                    around |= tag in _AROUND or tag == "header" and not in_article
+                    around |= bool(_AROUND_NAMES.search(names))
+                    if tag == "form" or _AROUND_WORDS.search(names):
+                        weak = [weak, True]
+                held.append((tag, around, in_article, weak))
     say(page[at:])
     close()
-    return found
+    return [b._replace(around=b.around or bool(weak and weak[1])) for b, weak in found]
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -195,6 +223,8 @@ _TABLE = (
     "div[ -[2] -[1] ] article[ +1 ]",
     "article[ +[6] +30 +[9] ]",
     "article[ +3 +[2] +20 +[12] +3 ] footer[ -8 -[3] ]",
+    "main.no-sidebar[ +h5 +40 +6 +25 ] div.site-footer[ -9 -[2] ]",
+    "div.search-page[ nav[ -[2] ] article.share-enabled[ div.article-header[ +h4 ] +30 +5 ] ]",
     "div.notice[ -26 ] div[ -[2] -[2] ] div[ +h4 +44 +58 ] form[ -2 -40 ] footer[ -11 ]",
 )
 

@@ -673,6 +673,33 @@ def test_main_text(spark):
     assert html_blocks.extracted(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='layout has-sidebar'>", "</div>"),
+        ("<div class='layout has-sidebar'><article>", "</article></div>"),
+        ("<main class='no-sidebar'>", "</main>"),
+        ("<div id='search-page'><article>", "</article></div>"),
+        ("<article class='post share-enabled'>", "</article>"),
+        ("<div class='page-with-nav'><form><main>", "</main></form></div>"),
+        ("<nav><a href='/'>Home</a><main>", "</main></nav>"),
+    ],
+)
+def test_wrappers_named_after_what_surrounds(before, after):
+    page = f"""{before}<div class='article-header'><h1>The title of it</h1></div>
+    <p>{"word " * 40}</p><p>{"more " * 30}</p>{after}<div class='site-footer'><p>All rights reserved</p></div>"""
+    tree = html_blocks.grown_tree(*html_blocks.labelled())
+    want = ["The title of it", ("word " * 40).strip(), ("more " * 30).strip()]
+    assert html_blocks.main_text(page, tree).split("\n") == want
+
+
+def test_articles_among_comments_stay_around():
+    page = "<article><p>{}</p></article><ol class='comment-list'><article><p>{}</p></article></ol>"
+    found = html_blocks.blocks(page.format("word " * 40, "reader " * 40))
+    assert [b.around for b in found] == [False, True]
+    html_blocks.blocks("<div class='x-nav'>" * 20_000 + "<article>" * 20_000)
+
+
 def test_the_tree_learns_its_table():
     rows, labels = html_blocks.labelled()
     tree = html_blocks.grown_tree(rows, labels)
