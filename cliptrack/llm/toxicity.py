@@ -163,7 +163,8 @@ def classifier(
     """(number of each bucket or -1, weights) learned from (doc_id, toxic) in labels.
 
     At most `sample` labelled ids are used, those of lowest hash, and at most `parts`
-    buckets; so what reaches the driver is bounded by the two. Ids labelled more than
+    buckets; so what reaches the driver is bounded by the two. Of documents that share
+    an id one teaches, that of lowest hash, then lowest text. Ids labelled more than
     once are toxic if any label is; null labels and ids are left out. Without any
     label nothing is known and every score is 0.
     """
@@ -175,8 +176,11 @@ def classifier(
     )
     rows = written(
         documents.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
-        .select("text", F.col("toxic").cast("double"))
+        .join(F.broadcast(chosen), "doc_id")
+        # One row an id, so `sample` rows at most; copies fold in every task first.
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"), F.max("toxic").alias("toxic"))
+        .select("least.text", F.col("toxic").cast("double"))
     )
 
     def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

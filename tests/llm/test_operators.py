@@ -132,6 +132,16 @@ def test_toxicity(spark):
     assert (model[0] == other[0]).all() and (model[1] == other[1]).all()
 
 
+def test_an_id_of_many_rows_teaches_once(spark):
+    docs, labels = labelled_table(spark)
+    copies = docs.where("doc_id = 8").crossJoin(spark.range(3000).select()).select(docs.columns)
+    plain = toxicity.classifier(docs, labels)
+    heavy = toxicity.classifier(docs.unionByName(copies), labels)
+    assert (plain[0] >= 0).sum() == (heavy[0] >= 0).sum() > 0
+    scores = [{r.doc_id: r.score for r in toxicity.scored(docs, m).collect()} for m in (plain, heavy)]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)
+
+
 def test_identity_terms_weigh_less_under_the_penalty(spark):
     docs, labels = labelled_table(spark)
 
