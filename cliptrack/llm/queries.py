@@ -9,6 +9,7 @@ from cliptrack.llm.lattice_dups import op10_lattice
 from cliptrack.llm.mixing import OP6_SQL, op6_mixing
 from cliptrack.llm.piece_lattice import op5_pieces
 from cliptrack.llm.pii import op3_pii
+from cliptrack.llm.prefix_trie import OP11_SQL, op11_trie
 from cliptrack.llm.rotated_codes import op7_nearest
 from cliptrack.llm.shared import visible
 from cliptrack.llm.sharding import op8_sharding
@@ -36,7 +37,8 @@ QUERIES = {
         op8_sharding,
         op9_html,
         op10_lattice,
+        op11_trie,
     )
 }
 
-SQL: dict[str, str] = {"op6_mixing": OP6_SQL}
+SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op11_trie": OP11_SQL}
