@@ -13,6 +13,7 @@ from cliptrack.llm.prefix_trie import OP11_SQL, op11_trie
 from cliptrack.llm.rotated_codes import op7_nearest
 from cliptrack.llm.shared import visible
 from cliptrack.llm.sharding import op8_sharding
+from cliptrack.llm.structure_repair import OP13_SQL, op13_repair
 from cliptrack.llm.toxicity import op1_toxicity
 
 
@@ -38,7 +39,8 @@ QUERIES = {
         op9_html,
         op10_lattice,
         op11_trie,
+        op13_repair,
     )
 }
 
-SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op11_trie": OP11_SQL}
+SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op11_trie": OP11_SQL, "op13_repair": OP13_SQL}
