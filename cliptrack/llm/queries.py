@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cliptrack.llm.arc_to_warc import OP12_SQL, op12_warc
 from cliptrack.llm.context_trees import op2_context_trees
 from cliptrack.llm.html_blocks import op9_html
 from cliptrack.llm.jaccard_join import op4_ngram_join
@@ -39,8 +40,14 @@ QUERIES = {
         op9_html,
         op10_lattice,
         op11_trie,
+        op12_warc,
         op13_repair,
     )
 }
 
-SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op11_trie": OP11_SQL, "op13_repair": OP13_SQL}
+SQL: dict[str, str] = {
+    "op6_mixing": OP6_SQL,
+    "op11_trie": OP11_SQL,
+    "op12_warc": OP12_SQL,
+    "op13_repair": OP13_SQL,
+}
