@@ -9,7 +9,7 @@ Equal sets are one class from the start. Of the pairs inside a group of document
 that share a gram, first those with the group's smallest class are verified; then
 only pairs that are still apart. So finding the components costs a group of copies its
 size, not its square. Every link lies inside a component, so the links are counted
-there, all classes of one with all, block by block; only sums leave a pair of blocks.
+there, block by block, on what sets differ in; only sums leave a pair of blocks.
 """
 
 from __future__ import annotations
@@ -32,8 +32,10 @@ _PARITY = 1024
 TASK = 128 << 20
 #: Classes of a component that are compared at once with as many others, and the bytes
 #: of their sets, on average.
-BLOCK = 512
+BLOCK = 2048
 BLOCK_BYTES = 16 << 20
+#: Bytes of the sets of components that a task takes at a time, on average.
+BUNDLE = 8 << 20
 #: Cells of the table in which overlaps are counted at a time.
 _CELLS = 4 << 20
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
@@ -222,51 +224,142 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _size_class(percent: int, size: str) -> Column:
+    """Sets that are similar enough are of the same class or of neighbouring ones.
+
+    A class is a little wider than the ratio of sizes that may link, so that rounding
+    never moves such sets two classes apart.
+    """
+    return F.floor(F.log(F.col(size)) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+
+
+def _differences(own: pd.DataFrame, hubs: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of every class of a small component; of a large one, differences to its hub."""
+    hub = {c: np.frombuffer(g, np.uint64) for c, g in zip(hubs["component"], hubs["hub"], strict=True)}
+    out = []
+    for component, group in own.drop_duplicates("cid").groupby("component", sort=False):
+        sets = [np.frombuffer(g, np.uint64) for g in group["grams"]]
+        if component in hub:
+            far = [np.setxor1d(s, hub[component], assume_unique=True).tobytes() for s in sets]
+            out.append(group.assign(links=-1, far=far))
+        else:
+            sizes = group["size"].to_numpy()
+            both, total = overlaps(sets, sets), sizes[:, None] + sizes
+            near = 100 * both >= percent * (total - both)
+            np.fill_diagonal(near, False)
+            out.append(group.assign(links=near.astype(np.int64) @ group["weight"].to_numpy(), far=b""))
+    names = ["component", "cid", "weight", "size", "links", "far"]
+    return pd.concat(out)[names] if out else pd.DataFrame(columns=names)
+
+
+def _block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between two blocks of a component, from their classes' differences to its hub.
+
+    Two sets differ where their differences to a third do: so much of both is common.
+    """
+    first = group.iloc[0]
+    one = (group["k"] == first["ik"]) & (group["b"] == first["ib"])
+    two = (group["k"] == first["jk"]) & (group["b"] == first["jb"])
+    x, y = group[one], group[two]
+    if not len(x) or not len(y):
+        return pd.DataFrame({"cid": [], "links": []}, dtype="int64")
+    left, right = ([np.frombuffer(g, np.uint64) for g in side["far"]] for side in (x, y))
+    lengths = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])
+    sizes = x["size"].to_numpy()[:, None] + y["size"].to_numpy()
+    both = (sizes - (lengths - 2 * overlaps(left, right))) // 2
+    near = 100 * both >= percent * (sizes - both)
+    same = bool((one == two).all())
+    if same:
+        np.fill_diagonal(near, False)
+    out = pd.DataFrame({"cid": x["cid"], "links": near.astype(np.int64) @ y["weight"].to_numpy()})
+    if not same:
+        more = pd.DataFrame({"cid": y["cid"], "links": near.T.astype(np.int64) @ x["weight"].to_numpy()})
+        out = pd.concat([out, more])
+    return out
+
+
 def link_counts(rows: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(cid, links) of the classes in components: how many rows of other classes link.
 
-    All classes of a component meet, in pairs of blocks, and are compared on their
-    whole sets, so no link is left out. A set goes once to each of its blocks' pairs.
+    A whole set goes to one task. Small components are compared there. The classes of a
+    large one are there reduced to their differences from its smallest class, the hub,
+    whose set goes to each task of the component: near copies differ in little, and two
+    of them overlap by what their sizes and differences say, exactly. Only differences
+    then meet in pairs of blocks; by the length filter, a class of sizes meets itself and
+    its neighbours only.
     """
     sized = rows.groupBy("cid").agg(F.count("*").alias("weight"), F.first("size").alias("size"))
     own = written(joined.join(sized, F.col("id") == F.col("cid")).select("cid", "component", "weight", "size"))
-    large = (
+    bytes_of = F.sum("size") * 8
+    large = written(
         own.groupBy("component")
-        .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
-        .where("blocks > 1")
+        .agg(F.count("*").alias("n"), F.ceil(bytes_of / BLOCK_BYTES).cast("int").alias("parts"))
+        .where((F.col("n") > BLOCK) | (F.col("parts") > 1))
     )
-    spread = (
-        own.join(large, "component", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            "block", "cid", "weight",
-        )
+    held = own.agg(bytes_of).first()[0] or 0
+    bundles = max(1, math.ceil(held / BUNDLE))
+    bundle = lambda part: F.pmod(F.xxhash64("component", part), F.lit(bundles))
+    whole = (
+        own.join(large.select("component", "parts"), "component", "left")
+        .withColumn("part", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))).cast("int"))
+        .select(bundle(F.col("part")).alias("bundle"), "component", "cid", "weight", "size")
         .join(sets, "cid")
-    )
+    )
+    hubs = (
+        large.select("component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        .select(bundle(F.col("part")).alias("to"), "component")
+        .distinct()
+        .join(sets.select(F.col("cid").alias("component"), F.col("grams").alias("hub")), "component")
+    )
+    found = written(
+        whole.groupBy("bundle")
+        .cogroup(hubs.groupBy("to"))
+        .applyInPandas(
+            lambda own, hubs: _differences(own, hubs, percent),
+            "component long, cid long, weight long, size long, links long, far binary",
+        )
+    )
+    done = found.where("links >= 0").select("cid", "links")
+    if large.isEmpty():
+        return done
+    spread = found.where("links < 0").withColumn("k", _size_class(percent, "size"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("far")) / BLOCK_BYTES)).cast("int")
+    # At most some hundred classes of sizes a component.
+    classes = (
+        spread.groupBy("component", "k")
+        .agg(blocks.alias("n"))
+        .groupBy("component")
+        .agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("blocks"))
+    )
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("cid")
-        i, j = group["i"].iat[0], group["j"].iat[0]
-        x, y = group[group["block"] == i], group[group["block"] == j]
-        if not len(x) or not len(y):
-            return pd.DataFrame({"cid": [], "links": []}, dtype="int64")
-        left, right = ([np.frombuffer(g, np.uint64) for g in side["grams"]] for side in (x, y))
-        both = overlaps(left, right)
-        sizes = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])
-        near = 100 * both >= percent * (sizes - both)
-        if i == j:
-            np.fill_diagonal(near, False)
-        out = pd.DataFrame({"cid": x["cid"], "links": near.astype(np.int64) @ y["weight"].to_numpy()})
-        if i != j:
-            more = pd.DataFrame({"cid": y["cid"], "links": near.T.astype(np.int64) @ x["weight"].to_numpy()})
-            out = pd.concat([out, more])
-        return out
-
-    counted = spread.groupBy("component", "i", "j").applyInPandas(run, "cid long, links long")
-    return written(counted.groupBy("cid").agg(F.sum("links").alias("links")))
+    def pairs(at: Column, pair) -> Column:
+        many = F.try_element_at("blocks", at)
+        some = F.transform(F.sequence(F.lit(0), many - 1), pair)
+        return F.when(many.isNotNull(), some).otherwise(F.array().cast("array<struct<ik:int,ib:int,jk:int,jb:int>>"))
+
+    def pair(ik, ib, jk, jb):
+        return F.struct(ik.alias("ik"), ib.alias("ib"), jk.alias("jk"), jb.alias("jb"))
+
+    k, b = F.col("k"), F.col("b")
+    dealt = (
+        spread.join(classes, "component")
+        .withColumn("b", F.pmod(F.xxhash64("cid"), F.try_element_at("blocks", k)).cast("int"))
+        .withColumn(
+            "pair",
+            F.explode(
+                F.concat(
+                    pairs(k, lambda o: pair(k, F.least(b, o), k, F.greatest(b, o))),
+                    pairs(k + 1, lambda o: pair(k, b, k + 1, o)),
+                    pairs(k - 1, lambda o: pair(k - 1, o, k, b)),
+                )
+            ),
+        )
+        .select("component", "pair.*", "k", "b", "cid", "weight", "size", "far")
+    )
+    counted = dealt.groupBy("component", "ik", "ib", "jk", "jb").applyInPandas(
+        lambda group: _block_links(group, percent), "cid long, links long"
+    )
+    return written(done.unionAll(counted.groupBy("cid").agg(F.sum("links").alias("links"))))
 
 
 def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
