@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cliptrack.llm.sequences import chained, numbered
+from cliptrack.llm.sequences import chained, laid_out, numbered
 from cliptrack.llm.shared import written
 
 #: Turns of a sequence that one graft meets at a time; a longer stretch is cut.
@@ -45,7 +45,8 @@ def turns_of(conversations: DataFrame) -> DataFrame:
         _digest(whole.cast("binary")).alias("token"),
         F.octet_length(text).cast("bigint").alias("size"),
     )
-    return numbered(rows, "conv_id", [F.col("turn").asc_nulls_first(), F.col("token")]).drop("turn")
+    laid = laid_out(rows, "conv_id", [F.col("turn").asc_nulls_first(), F.col("token")])
+    return numbered(laid.drop("turn"), "conv_id").drop("_at")
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

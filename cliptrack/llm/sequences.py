@@ -23,20 +23,26 @@ PIECE = 1 << 14
 MANY = 512
 
 
-def numbered(rows: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
-    """The rows with `pos`, from 0 within their group, and the group's number of rows `len`.
-
-    Ties in the order are numbered in some way. The group must not be null. The columns
-    pos, len, _at, _first, _before and _range must not be there yet.
-    """
+def laid_out(rows: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
+    """The rows as a table sorted by range, with `_at`: each row's own number in that order."""
     # Equal rows have to spread over ranges too.
     spread = rows.withColumn("_at", F.monotonically_increasing_id())
     keys = [F.col(group).asc(), *order, F.col("_at").asc()]
-    laid = written(
+    return written(
         spread.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
-    ).withColumn("_range", F.shiftright("_at", 33))
+    )
+
+
+def numbered(laid: DataFrame, group: str) -> DataFrame:
+    """Rows that were laid out, with `pos`, from 0 within their group, and its size `len`.
+
+    Ties in the order are numbered in some way. The group must not be null. The columns
+    pos, len, n, _first, _before and _range must not be there yet. What the caller drops
+    from the rows before does not move.
+    """
+    laid = laid.withColumn("_range", F.shiftright("_at", 33))
     runs = laid.groupBy(group, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
     # One row a range that the group reaches into.
     whole = Window.partitionBy(group)
@@ -51,7 +57,7 @@ def numbered(rows: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
     return (
         laid.join(runs, [group, "_range"])
         .withColumn("pos", F.col("_at") - F.col("_first") + F.col("_before"))
-        .drop("_at", "_range", "_first", "_before")
+        .drop("_range", "_first", "_before")
     )
 
 

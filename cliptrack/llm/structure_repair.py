@@ -17,6 +17,7 @@ of this. The answer is the same wherever the cuts lie.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliptrack.llm.sequences import _batch, chained, numbered
+from cliptrack.llm.sequences import _batch, chained, laid_out, numbered
 from cliptrack.llm.shared import visible, written
 
 #: Rows of a conversation that one search looks at.
 BLOCK = 256
-#: Characters of repaired text in one piece, where a conversation has several blocks.
+#: Neighbouring rows (2 ** RUN) whose texts go to one task, and the characters of repaired
+#: text after which a piece is handed on.
+RUN = 10
 PIECE = 1 << 16
 
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -226,46 +229,48 @@ def lines(role: str, text: str, actions: str) -> list[str]:
 
 # -- on Spark -----------------------------------------------------------------
 
-_INK = r"[^\x20\x09-\x0D]"
+def laid(rows: DataFrame) -> DataFrame:
+    """Rows (key, turn, role, text) in order: by turn, null first, then the digest of role
+    and text. Added: _at, _same (that digest) and ink, the last character that is no
+    white space."""
+    whole = F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text"))
+    last = F.regexp_extract("text", r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z", 1)
+    marked = rows.withColumn("_same", F.sha2(whole.cast("binary"), 256)).withColumn("ink", last)
+    return laid_out(marked, "key", [F.col("turn").asc_nulls_first(), F.col("_same")])
 
 
 def faults(rows: DataFrame, size: int = BLOCK) -> DataFrame:
-    """Numbered rows with `fault`: blank, duplicate, truncated or null, and their `code`.
+    """Rows that were laid, without their texts: key, turn, pos, len, `fault` (blank,
+    duplicate, truncated or null), `kind` and `code`, and block, of `size` rows.
 
-    rows: key, turn, role, text. Order: turn, null first, then the digest of role and
-    text. Added: pos, len, block. A row is a duplicate if an earlier one has its role
-    and text.
+    A row is a duplicate if an earlier one has its role and text.
     """
-    digest = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")).cast("binary"), 256)
-    order = [F.col("turn").asc_nulls_first(), F.col("_same")]
-    placed = written(numbered(rows.withColumn("_same", digest), "key", order))
-    # Of equal rows the first is no duplicate; only keys met twice go into the join.
+    initial = F.substring("role", 1, 1)
+    kind = F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("kind")
+    placed = written(numbered(rows.select("key", "turn", "_at", "_same", "ink", kind), "key"))
+    # Of equal rows the first is no duplicate; only what is met twice goes into the join.
     again = (
         placed.groupBy("key", "_same")
         .agg(F.min("pos").alias("_earliest"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
-    ink = F.regexp_replace(F.regexp_extract("text", rf"{_INK}[\x20\x09-\x0D]*\z", 0), r"[\x20\x09-\x0D]+", "")
-    initial = F.substring("role", 1, 1)
-    kind = F.when(initial.isin("s", "u", "a"), initial).otherwise("o")
+    fault = (
+        F.when(F.col("ink") == "", "blank")
+        .when(F.col("pos") > F.col("_earliest"), "duplicate")
+        .when(~F.col("ink").isin(".", "!", "?"), "truncated")
+    )
     return (
         placed.join(again, ["key", "_same"], "left")
-        .withColumn(
-            "fault",
-            F.when(ink == "", "blank")
-            .when(F.col("pos") > F.col("_earliest"), "duplicate")
-            .when(~ink.isin(".", "!", "?"), "truncated"),
-        )
+        .withColumn("fault", fault)
         .withColumn(
             "code",
             F.when(F.col("fault").isin("blank", "duplicate"), GONE)
-            .when(F.col("fault") == "truncated", F.upper(kind))
-            .otherwise(kind),
+            .when(F.col("fault") == "truncated", F.upper("kind"))
+            .otherwise(F.col("kind")),
         )
-        .withColumn("kind", kind)
         .withColumn("block", F.floor(F.col("pos") / size))
-        .drop("_same", "_earliest")
+        .drop("_same", "_earliest", "ink")
     )
 
 
@@ -379,40 +384,46 @@ def edits(marked: DataFrame, size: int = BLOCK) -> DataFrame:
 _PIECES = "key string, number long, whole boolean, text string"
 
 
-def _repaired(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
-    """Repaired lines of each block, in pieces of bounded size; a conversation of one
-    block comes as one hash. A piece's number lies below that of the next block's."""
-    import hashlib
-
+def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repaired lines of rows in order, in pieces of bounded size; a short conversation
+    comes as its hash. Before each text comes a row that says what becomes of it. A
+    piece's number is the place of the first row that it holds a line of."""
     schema = pa.schema(
         [("key", pa.string()), ("number", pa.int64()), ("whole", pa.bool_()), ("text", pa.string())]
     )
-    names = ("key", "pos", "len", "role", "text", "action", "tail")
-    state, held, size, number = None, [], 0, 0
+    names = ("_at", "key", "pos", "len", "action", "tail", "role", "text")
+    run, mark, begun, held, size, number = None, None, False, [], 0, 0
     for batch in batches:
         out = []
-        for key, pos, n, role, text, action, tail in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if pos % block == 0:
-                state, held, size, number = None, [], 0, 2 * pos
+        for at, key, pos, n, action, tail, role, text in zip(
+            *(batch.column(c).to_pylist() for c in names), strict=True
+        ):
+            if text is None:
+                if (at >> RUN, key) != run:
+                    # Rows of a run that goes on elsewhere.
+                    if held:
+                        out.append((run[1], number, False, "\n".join(held)))
+                    run, begun, held, size = (at >> RUN, key), pos == 0, [], 0
+                mark = pos, n, action, tail
+                continue
+            pos, n, action, tail = mark
             more = lines(role, text, action)
-            end = pos + 1 == n or (pos + 1) % block == 0
-            if end:
+            if pos + 1 == n:
                 more += lines("", "", tail)
-            if n <= block:
-                for line in more:
-                    if state is None:
-                        state = hashlib.sha256(line.encode("utf-8", "surrogatepass"))
-                    else:
-                        state.update(("\n" + line).encode("utf-8", "surrogatepass"))
-                if end:
-                    out.append((key, 0, True, (state or hashlib.sha256()).hexdigest()))
-                continue
+            if more and not held:
+                number = pos
             held += more
             size += sum(map(len, more))
-            if held and (end or size > PIECE):
-                out.append((key, number, False, "\n".join(held)))
-                held, size, number = [], 0, number + 1
+            if pos + 1 == n and begun:
+                whole = "\n".join(held).encode("utf-8", "surrogatepass")
+                out.append((run[1], 0, True, hashlib.sha256(whole).hexdigest()))
+                held, size = [], 0
+            elif size > PIECE or (held and pos + 1 == n):
+                out.append((run[1], number, False, "\n".join(held)))
+                begun, held, size = False, [], 0
         yield _batch(out, schema)
+    if held:
+        yield _batch([(run[1], number, False, "\n".join(held))], schema)
 
 
 def repaired(rows: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -421,6 +432,7 @@ def repaired(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Empty and very long texts are texts like any other; a table without rows gives none.
     """
+    rows = laid(rows)
     marked = written(faults(rows, block))
     # One row a conversation leaves each task: few turns fold before the shuffle.
     counts = marked.groupBy("key").agg(
@@ -443,14 +455,19 @@ def repaired(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         "illegal",
         F.translate(F.array_join("parts.a", ""), "uaUA", "IIRR").alias("audit"),
     )
-    pieces = written(
-        marked.select("key", "block", "pos", "len", "role", "text")
+    fates = (
+        marked.select("_at", "key", "block", "pos", "len")
         .join(chosen.select("key", "block", "actions"), ["key", "block"])
         .withColumn("action", F.element_at("actions", (F.col("pos") % block + 1).cast("int")))
         .withColumn("tail", F.element_at("actions", -1))
-        .drop("actions")
-        .sortWithinPartitions("key", "block", "pos")
-        .mapInArrow(lambda batches: _repaired(batches, block), _PIECES)
+        .drop("block", "actions")
+    )
+    # The texts move once, with what becomes of them, in runs of neighbours.
+    pieces = written(
+        fates.unionByName(rows.select("_at", "role", "text"), allowMissingColumns=True)
+        .repartition(F.shiftright("_at", RUN))
+        .sortWithinPartitions("_at", F.col("text").isNotNull())
+        .mapInArrow(_repaired, _PIECES)
     )
     whole = pieces.where("whole").select("key", F.col("text").alias("sha256"))
     long = chained(pieces.where("not whole"), ["key"], "number", "text", "\n")
