@@ -321,6 +321,8 @@ def convert(spark: SparkSession, arcs: str, warcs: str) -> None:
         .groupBy("volume")
         .agg(F.collect_list(F.struct("number", "first.id", "first.uri", "first.date")).alias("firsts"))
     )
+    # Written, so that Spark knows its size: where it is small, no volume moves for it.
+    again = written(again)
     _write(_volumes(spark, arcs).join(again, "volume", "left").mapInArrow(_convert, _RECORDS), warcs)
 
 
