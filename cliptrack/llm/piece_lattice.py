@@ -26,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -44,11 +45,14 @@ ALPHA = 0.5
 #: Constant that is added to a rank in Zipf's law.
 FLAT = 100.0
 SPACE = "▁"
-#: Distinct stretches whose lattices a worker keeps; beyond it starts anew.
-MEMORY = 200_000
-_AT_ONCE = 16_384  # stretches whose lattices are built at a time
-_ROWS = 500  # texts that are encoded and handed on at a time
-_CHUNK = 1 << 20  # characters that are encoded at a time; a longer text is alone
+#: Bytes of lattices that a worker keeps; beyond it starts anew.
+MEMORY = 32 << 20
+#: Characters of a stretch. A longer one (without any space) is cut into such stretches,
+#: and no piece spans the cut.
+LONGEST = 4096
+_AT_ONCE = 1 << 15  # characters of stretches whose lattices are built at a time
+_CHUNK = 1 << 18  # characters that are encoded at a time; a longer text is cut between stretches
+_SLICE = 1 << 16  # ids that are decoded at a time
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -224,25 +228,42 @@ def lattice(v: Vocabulary, stretches: list[str]) -> Lattice:
     return Lattice(*small, (run - before).astype(np.float32), *bounds)
 
 
-def joined(nets: list[Lattice]) -> Lattice:
-    """The stretches of all, one after another."""
-    places = np.cumsum([0, *(len(net.first) - 1 for net in nets)])
-    edges = np.cumsum([0, *(len(net.source) for net in nets)])
-    firsts = [net.first[:-1] + np.int32(e) for net, e in zip(nets, edges, strict=False)]
-    moved = lambda name: np.concatenate(
-        [getattr(net, name) + np.int32(p) for net, p in zip(nets, places, strict=False)]
-    )
-    return Lattice(
-        np.concatenate([*firsts, [np.int32(edges[-1])]]),
-        moved("source"),
-        np.concatenate([net.piece for net in nets]),
-        np.concatenate([net.upto for net in nets]),
-        moved("start"),
-        moved("end"),
-    )
-
-
-def sampled(net: Lattice, stretch: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Store:
+    """Lattices one behind another, in arrays that grow in place."""
+
+    def __init__(self):
+        self.places = self.edges = self.stretches = 0
+        self.first = np.zeros(1, np.int32)
+        self.source = self.piece = np.zeros(0, np.int32)
+        self.upto = np.zeros(0, np.float32)
+        self.start = self.end = np.zeros(0, np.int32)
+
+    @property
+    def bytes(self) -> int:
+        return 4 * self.places + 12 * self.edges + 8 * self.stretches
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        have = getattr(self, name)
+        if at + len(values) > len(have):
+            grown = np.zeros(max(at + len(values), len(have) + len(have) // 4), have.dtype)
+            grown[:at] = have[:at]
+            setattr(self, name, have := grown)
+        have[at : at + len(values)] = values
+
+    def add(self, net: Lattice) -> None:
+        place, edge = np.int32(self.places), np.int32(self.edges)
+        self._put("first", self.places, net.first + edge)
+        self._put("source", self.edges, net.source + place)
+        self._put("piece", self.edges, net.piece)
+        self._put("upto", self.edges, net.upto)
+        self._put("start", self.stretches, net.start + place)
+        self._put("end", self.stretches, net.end + place)
+        self.places += len(net.first) - 1
+        self.edges += len(net.source)
+        self.stretches += len(net.start)
+
+
+def sampled(net: Store, stretch: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pieces of all occurrences in order, how many each has).
 
     Backward sampling: an occurrence of a stretch starts at its end and draws edges by
@@ -278,12 +299,39 @@ def sampled(net: Lattice, stretch: np.ndarray, seed: np.ndarray) -> tuple[np.nda
 _STRETCH = re.compile(rf" +[^ {SPACE}]*|[^ {SPACE}]+|{SPACE}")
 
 
+def _cut(stretch: str) -> list[str]:
+    """A stretch as lattice() takes it, in parts of LONGEST characters where it is longer."""
+    if len(stretch) <= LONGEST:
+        return [stretch]
+    parts = [stretch[at : at + LONGEST] for at in range(0, len(stretch), LONGEST)]
+    return [parts[0], *(SPACE + p for p in parts[1:])]
+
+
 def stretches(text: str) -> list[str]:
     """The text, with a space before it, in stretches as lattice() takes them."""
     if "  " not in text and SPACE not in text and text[:1] != " ":
-        return text.split(" ")
-    found = _STRETCH.findall(" " + text)
-    return [s[1:] if s[0] == " " and s[1:2] != " " else SPACE + s for s in found]
+        found = text.split(" ")
+    else:
+        found = _STRETCH.findall(" " + text)
+        found = [s[1:] if s[0] == " " and s[1:2] != " " else SPACE + s for s in found]
+    if max(map(len, found)) <= LONGEST:
+        return found
+    return [part for s in found for part in _cut(s)]
+
+
+def passages(text: str) -> Iterator[str]:
+    """The text without the spaces between its passages: each of some _CHUNK characters, and
+    of the same stretches as it has in the whole text. A text without spaces is one."""
+    at = 0
+    while len(text) - at > _CHUNK:
+        cut = text.find(" ", at + _CHUNK)
+        while cut > 0 and text[cut - 1] == " ":
+            cut = text.find(" ", cut + 1)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
 
 
 class _Numbers(dict):
@@ -298,33 +346,66 @@ class Sampler:
     """Encodes texts and keeps the lattices of the stretches that it has met."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.numbers, self.net = v, _Numbers(), None
+        self.v, self.numbers, self.store = v, _Numbers(), Store()
+
+    def _known(self, found: list[str]) -> np.ndarray:
+        """Numbers of stretches in the store, which gets those that it lacks."""
+        had = len(self.numbers)
+        out = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+        new, size = [], 0
+        for stretch in islice(self.numbers, had, None):
+            new.append(stretch)
+            size += len(stretch)
+            if size > _AT_ONCE:
+                self.store.add(lattice(self.v, new))
+                new, size = [], 0
+        if new:
+            self.store.add(lattice(self.v, new))
+        return out
+
+    def _drawn(self, found: list[str], key: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces in order, how many each stretch has), from the keys of their rows and
+        their places in them. Stretches go on in groups, none of them large."""
+        ids, counts = [], []
+        at = 0
+        sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        while at < len(found):
+            if self.store.bytes > MEMORY:
+                self.numbers, self.store = _Numbers(), Store()
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _CHUNK)))
+            seed = mix(mix(key[at:end] + _GOLDEN) ^ mix(turn[at:end] + _GOLDEN))
+            some, many = sampled(self.store, self._known(found[at:end]), seed)
+            ids.append(some)
+            counts.append(many)
+            at = end
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _long(self, text: str, key: np.ndarray) -> np.ndarray:
+        out, turn = [], 0
+        for passage in passages(text):
+            found = stretches(passage)
+            places = np.arange(turn, turn + len(found)).astype(np.uint64)
+            out.append(self._drawn(found, np.repeat(key, len(found)), places)[0])
+            turn += len(found)
+        return np.concatenate(out)
 
     def _chunk(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
-        if len(self.numbers) > MEMORY:
-            self.numbers, self.net = _Numbers(), None
-        had, number = len(self.numbers), self.numbers.__getitem__
-        every: list[int] = []
+        found: list[str] = []
         upto = [0]
         for text in texts:
-            every += map(number, stretches(text))
-            upto.append(len(every))
-        stretch, sizes = np.array(every, np.int64), np.diff(upto)
-        new = list(islice(self.numbers, had, None))
-        nets = [lattice(self.v, new[at : at + _AT_ONCE]) for at in range(0, len(new), _AT_ONCE)]
-        if nets:
-            self.net = joined([*([self.net] if self.net else []), *nets])
-        begin = np.cumsum(sizes) - sizes
-        turn = (np.arange(len(stretch)) - np.repeat(begin, sizes)).astype(np.uint64)
-        seed = mix(np.repeat(mix(keys.view(np.uint64) + _GOLDEN), sizes) ^ mix(turn + _GOLDEN))
-        ids, counts = sampled(self.net, stretch, seed)
-        return np.split(ids, np.cumsum(np.add.reduceat(counts, begin))[:-1])
+            found += stretches(text)
+            upto.append(len(found))
+        sizes = np.diff(upto)
+        turn = np.arange(len(found)) - np.repeat(np.array(upto[:-1]), sizes)
+        ids, counts = self._drawn(found, np.repeat(keys, sizes), turn.astype(np.uint64))
+        return np.split(ids, np.cumsum(np.add.reduceat(counts, upto[:-1]))[:-1])
 
     def encoded(self, texts: list[str | None], keys: np.ndarray) -> list[np.ndarray | None]:
         """Sampled ids of each whole text; null for null, none for the empty text.
 
         keys: a 64-bit number for each row, from which its draws follow.
         """
+        keys = keys.view(np.uint64)
         out: list[np.ndarray | None] = [
             None if text is None else np.zeros(0, np.int32) for text in texts
         ]
@@ -336,7 +417,9 @@ class Sampler:
                 for i, ids in zip(held, found, strict=True):
                     out[i] = ids
                 held, size = [], 0
-            if row is not None:
+            if row is not None and len(texts[row]) > _CHUNK:
+                out[row] = self._long(texts[row], keys[row : row + 1])
+            elif row is not None:
                 held.append(row)
                 size += len(texts[row])
         return out
@@ -351,8 +434,24 @@ def decoded(ids, v: Vocabulary) -> str | None:
     """The text of a sequence of ids; the very one that was encoded."""
     if ids is None:
         return None
-    raw = b"".join(map(v.texts.__getitem__, np.asarray(ids).tolist())).decode("utf-8", "replace")
-    return raw[1:]
+    ids = np.asarray(ids)
+    raw = b"".join(
+        b"".join(map(v.texts.__getitem__, ids[at : at + _SLICE].tolist()))
+        for at in range(0, len(ids), _SLICE)
+    )
+    return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")[1:]
+
+
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Slices of a batch's rows that hold some _CHUNK characters, or one longer text."""
+    at, size = 0, 0
+    for row, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if row > at and size + length > _CHUNK:
+            yield at, row
+            at, size = row, 0
+        size += length
+    if len(texts) > at:
+        yield at, len(texts)
 
 
 def with_ids(
@@ -365,7 +464,8 @@ def with_ids(
     """The columns to keep (all, unless named) with ids, n_tokens and lossless.
 
     lossless tells whether the ids decode to the text. The model's path must be the
-    same on all machines. Null text: null ids, no tokens, lossless. Rows that share a
+    same on all machines. Null text: null ids, no tokens, lossless. A very long text is
+    encoded in passages, with the ids that it would have as a whole. Rows that share a
     key and a text get the same ids. Columns of those three names are replaced.
     """
     visible(documents.sparkSession)
@@ -377,8 +477,8 @@ def with_ids(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(model, alpha)
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
+            for at, end in _parts(batch.column("_text")):
+                part = batch.slice(at, end - at)
                 texts = part.column("_text").to_pylist()
                 ids = own.encoded(texts, part.column("_key").to_numpy())
                 same = [decoded(i, own.v) == t for i, t in zip(ids, texts, strict=True)]

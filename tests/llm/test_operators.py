@@ -728,3 +728,29 @@ def test_the_tree_learns_its_table():
 def test_broken_markup_is_read_in_linear_time():
     for part in ("<p title='", "<!--", "<a href=\"", "<div><", "&#", "<script>", "</p", "< "):
         html_blocks.blocks(part * 20_000)
+
+
+def test_long_texts_are_encoded_as_a_whole(monkeypatch):
+    """In passages and from a small store, with the same ids as at once."""
+    rng = random.Random(14)
+    texts = [prose(rng, 4000), "a  b " * 3000, "  x" * 2000 + " ", "", None, "▁ é▁▁x " * 900, prose(rng, 30)]
+    keys = np.arange(len(texts)) * 31 + 7
+    whole = piece_lattice.Sampler(VOCABULARY).encoded(texts, keys)
+    monkeypatch.setattr(piece_lattice, "_CHUNK", 700)
+    monkeypatch.setattr(piece_lattice, "_AT_ONCE", 50)
+    monkeypatch.setattr(piece_lattice, "MEMORY", 20_000)
+    sampler = piece_lattice.Sampler(VOCABULARY)
+    cut = sampler.encoded(texts, keys)
+    for a, b, text in zip(whole, cut, texts, strict=True):
+        assert piece_lattice.decoded(b, VOCABULARY) == text
+        assert (a is None and b is None) or (a == b).all()
+    assert sampler.store.bytes < 200_000
+    assert sum(len(p) + 1 for p in piece_lattice.passages(texts[0])) == len(texts[0]) + 1
+
+
+def test_texts_without_spaces_are_cut_and_stay_whole():
+    text = "abcxyz漢字ab" * 3000
+    found = piece_lattice.stretches(text)
+    assert max(map(len, found)) <= piece_lattice.LONGEST + 1 and len(found) == 8
+    ids = piece_lattice.Sampler(VOCABULARY).encoded([text], np.array([1]))[0]
+    assert piece_lattice.decoded(ids, VOCABULARY) == text
