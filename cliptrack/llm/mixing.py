@@ -87,32 +87,35 @@ def mixed(
     Adds rate, copies, copy (from 1) and shuffle_key, by which the rows are ordered
     over all partitions. A document's count follows from its doc_id and its source's
     rate, so a task that runs again repeats it, and rows that repeat an id get the
-    same count. Without an id the text stands for it. A null source is a source of its
-    own, without weight if weights are given. Other columns stay as they are; columns
-    named like those added are replaced.
+    same count and key; their place in the input decides between them, so that many of
+    them spread over many tasks. Without an id the text stands for it. A null source is
+    a source of its own, without weight if weights are given. Very long texts are texts
+    like any other. Other columns stay as they are, whatever their names; columns named
+    like those added are replaced.
     """
     rates = repetition_rates(documents, weights, power, total)
-    key = F.coalesce(
-        F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    )
+    added = ("rate", "copies", "copy", "shuffle_key")
+    kept = [c for c in documents.columns if c not in added]
     marked = F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-"))
+    # The row stays in one column, beside which any name is free.
+    rows = documents.select(
+        F.struct(*kept).alias("row"),
+        marked.alias("mark"),
+        F.coalesce(
+            F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+        ).alias("key"),
+        F.monotonically_increasing_id().alias("number"),
+    )
     # Plain equi-join: Spark broadcasts the rates if their measured size allows it,
     # and else splits a hot source at run time.
-    joined = (
-        documents.drop("rate", "copies", "copy", "shuffle_key")
-        .withColumn("_source", marked)
-        .join(
-            rates.select(marked.alias("_source"), "rate", chances(F.col("rate")).alias("_reached")),
-            "_source",
-        )
-    )
+    joined = rows.join(rates.select(marked.alias("mark"), "rate", chances(F.col("rate")).alias("reached")), "mark")
     return (
-        joined.withColumn("copies", poisson(F.col("_reached"), uniform(seed, key)))
-        .select("*", F.posexplode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy", "_one"))
-        .withColumn("copy", F.col("copy") + 1)
-        .withColumn("shuffle_key", uniform(seed + "-order", key, F.col("copy")))
-        .drop("_source", "_reached", "_one")
-        .orderBy("shuffle_key", "doc_id", "copy")
+        joined.withColumn("copies", poisson(F.col("reached"), uniform(seed, F.col("key"))))
+        .withColumn("copy", F.explode(F.expr("sequence(1, greatest(copies, 1))")))
+        .where("copies > 0")
+        .withColumn("shuffle_key", uniform(seed + "-order", F.col("key"), F.col("copy")))
+        .orderBy("shuffle_key", "number", "copy")
+        .select("row.*", *added)
     )
 
 

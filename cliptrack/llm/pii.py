@@ -25,11 +25,11 @@ PLACEHOLDER = {kind: f"<{kind.upper()}>" for kind in KINDS}
 
 _DIGITS = "0123456789"
 _SCHEMES = ("http://", "https://", "ftp://", "mailto:")
-#: Cues are matched as written here, capitalised and in capitals.
-_CUES = (
+#: Cues of numbers and of secrets; matched in any case.
+_NUMBERS = (
     "account", "acct", "iban", "passport", "ssn", "routing", "customer id", "user id",
-    "password", "passwd", "token", "api_key", "apikey", "secret",
 )
+_SECRETS = ("password", "passwd", "token", "api_key", "api-key", "api key", "apikey", "secret")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -38,23 +38,29 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"']*+")
 _USER = re.compile(r"[^\s/@<>\"']+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
-_CUE = re.compile(r"(?i:customer id|user id)|[A-Za-z]+(?:_[A-Za-z]+)*+")
-_CUE_VALUE = re.compile(
-    r"([ _-]?(?:number\b|no\.|nr\.|id\b|key\b))?[ ]?([:=#])?[ ]?[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|[ ](?=[0-9A-Z]{2,4}\b)){3,63})",
-    re.IGNORECASE,
+_CUE = re.compile(r"(?i:customer id|user id|api[ -]key)|[A-Za-z]+(?:_[A-Za-z]+)*+")
+_LINK = re.compile(
+    r"([ _-]?(?:number|no|nr|id|key)\b\.?)?[ ]?([:=#])?[ ]?[\"']?", re.IGNORECASE
 )
+# Groups that follow a space are short, and in capitals or with a digit.
+_VALUE = re.compile(
+    r"[A-Za-z0-9](?:[A-Za-z0-9_-]|[ ](?=[0-9A-Z]{2,4}\b|[A-Za-z]{0,3}[0-9][0-9A-Za-z]{0,3}\b))*+"
+)
+_IBAN = re.compile(r"[A-Z][ _-]?[A-Z][ _-]?[0-9][ _-]?[0-9]")
+_SECRET = re.compile(r"[^\s\"'<>]++")
+_LOWER = {i: i + 32 for i in range(65, 91)}
 _ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 
 
 @cache
 def anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    keys = {"@": "email", "AKIA": "key"}
+    keys = {"@": "email", "akia": "key"}
     keys |= {f"+{d}": "phone" for d in _DIGITS}
     keys |= {f"{a}.{b}": "ip" for a in _DIGITS for b in _DIGITS}
     keys |= {f"{a}{s}{b}": "card" for a in _DIGITS for s in ("", " ", "-") for b in _DIGITS}
     keys |= {s: "address" for s in _SCHEMES}
-    keys |= {form: "account" for c in _CUES for form in (c, c.capitalize(), c.upper())}
+    keys |= {c: "account" for c in _NUMBERS} | {c: "secret" for c in _SECRETS}
     for key, kind in keys.items():
         found.add_word(key, (kind, len(key)))
     found.make_automaton()
@@ -109,7 +115,7 @@ def _phone(text, at, after):
 def _address(text, at, after):
     """A mailto: address, or an address that names its user."""
     colon = text.index(":", at)
-    if text.startswith("mailto:", at):
+    if text[at:colon].lower() == "mailto":
         m = _USER.match(text, colon + 1)
         return m and (at, m.end(), True)
     whole = _URL.match(text, colon + 3)
@@ -117,27 +123,92 @@ def _address(text, at, after):
     return at, end, bool(_USER.match(text, colon + 3, end))
 
 
-def _account(text, at, after):
-    """What follows a cue: an IBAN, or after a sign or "number" a value with four digits.
+class _Runs:
+    """The last run of value characters that was read, so that none is read twice.
+
+    A run's digits are known by their last places: so many of them follow a place.
+    """
+
+    def __init__(self, pattern: re.Pattern):
+        self.pattern, self.start, self.end = pattern, 0, 0
+        self.digits: list[int] = []
+        self.letter = -1
+
+    def at(self, text: str, start: int) -> bool:
+        """Whether a run holds the place; then this is the run that is known."""
+        if self.start <= start < self.end:
+            return True
+        m = self.pattern.match(text, start)
+        if not m:
+            return False
+        self.start, self.end, self.digits, self.letter = start, m.end(), [], -1
+        for i in range(m.end() - 1, start - 1, -1):
+            if text[i] in _DIGITS and len(self.digits) < 6:
+                self.digits.append(i)
+            elif self.letter < 0 and text[i].isalpha():
+                self.letter = i
+            if len(self.digits) == 6 and self.letter >= 0:
+                break
+        return True
+
+    def has_digits(self, start: int, n: int) -> bool:
+        return len(self.digits) >= n and self.digits[n - 1] >= start
+
+
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where an IBAN ends whose groups begin at the start; short words may follow it."""
+    if not _IBAN.match(text, start):
+        return None
+    value = text[start : min(end, start + 70)]  # 34 characters and what sets them apart
+    cuts = [i for i, c in enumerate(value) if c == " "] + [len(value)] * (start + len(value) == end)
+    for cut in reversed(cuts):
+        if iban(re.sub(r"[ _-]", "", value[:cut])):
+            return start + len(value[:cut].rstrip(" _-"))
+    return None
+
+
+def _account(text, at, runs):
+    """What follows a cue: an IBAN; after a sign or "number" a value with four digits; or
+    a value that begins with a digit and has six.
 
     Where nothing valid follows, reading goes on behind the cue, since the words after
-    it may hold the next one. A value has 64 characters at most.
+    it may hold the next one. A value is as long as it is.
     """
     if at and text[at - 1].isalnum():
         return None
-    cue = _CUE.match(text, at)
-    m = _CUE_VALUE.match(text, cue.end())
-    if not m:
-        return at, cue.end(), False
-    value = m[3].rstrip(" _-")
-    announced = m[1] is not None or m[2] is not None
-    if not (announced and sum(c in _DIGITS for c in value) >= 4):
-        # Short words after an IBAN look like more of its groups.
-        while value and not iban(re.sub(r"[ _-]", "", value)):
-            value = value.rpartition(" ")[0]
-    if not value:
-        return at, cue.end(), False
-    return m.start(3), m.start(3) + len(value), True
+    cue = _CUE.match(text, at).end()
+    link = _LINK.match(text, cue)
+    start = link.end()
+    if not runs.at(text, start):
+        return at, cue, False
+    end = runs.end
+    while text[end - 1] in " _-":
+        end -= 1
+    announced = link[1] is not None or link[2] is not None
+    if not (announced and end - start >= 4 and runs.has_digits(start, 4)) and not (
+        text[start] in _DIGITS and runs.has_digits(start, 6)
+    ):
+        end = _iban_end(text, start, end)
+    return (at, cue, False) if end is None else (start, end, True)
+
+
+def _secret(text, at, runs):
+    """What follows a secret's cue and a sign: six characters or more without white space,
+    a letter and a digit among them; or after a sign or "id" four digits or more."""
+    if at and text[at - 1].isalnum():
+        return None
+    cue = _CUE.match(text, at).end()
+    link = _LINK.match(text, cue)
+    start = link.end()
+    if (link[1] is None and link[2] is None) or not runs.at(text, start):
+        return at, cue, False
+    end = runs.end
+    while text[end - 1] in ".,;:!?)]}":
+        end -= 1
+        if end == start:
+            return at, cue, False
+    mixed = link[2] is not None and end - start >= 6 and runs.has_digits(start, 1) and runs.letter >= start
+    return (start, end, True) if mixed or runs.has_digits(start, 4) else (at, cue, False)
 
 
 def _key(text, at, after):
@@ -147,7 +218,7 @@ def _key(text, at, after):
 
 _PARSERS = {
     "email": _email, "ip": _ip, "card": _card, "phone": _phone,
-    "address": _address, "account": _account, "key": _key,
+    "address": _address, "account": _account, "secret": _secret, "key": _key,
 }
 
 
@@ -156,18 +227,19 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     if not text:
         return []
     after = dict.fromkeys(_PARSERS, 0)
+    runs = {"account": _Runs(_VALUE), "secret": _Runs(_SECRET)}
     found = []
-    for last, (kind, length) in anchors().iter(text):
+    for last, (kind, length) in anchors().iter(text.translate(_LOWER)):
         at = last - length + 1
         if at < after[kind]:
             continue
         # A kind's next match begins where its last one ended, valid or not; behind a
         # cue without a valid value.
-        if hit := _PARSERS[kind](text, at, after[kind]):
+        if hit := _PARSERS[kind](text, at, runs.get(kind, after[kind])):
             start, end, valid = hit
             after[kind] = end
             if valid:
-                found.append(("account" if kind == "key" else kind, start, end))
+                found.append(("account" if kind in ("key", "secret") else kind, start, end))
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

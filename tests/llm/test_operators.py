@@ -35,6 +35,14 @@ def _workers(spark):
     shared.visible(spark)
 
 
+@pytest.fixture
+def coalescing_off(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
 def words_of(text):
     return WORD.findall((text or "").translate(LOWER))
 
@@ -318,6 +326,16 @@ def test_personal_data(spark):
         ("account of customer id: 12345678", "12345678"),
         ("account number: 123", None),
         ("account notes 12345678", None),
+        ("SSN 123-45-6789", "123-45-6789"),
+        ("password=hunter2!abc99", "hunter2!abc99"),
+        ("api-key: 8f3a99bc01d2", "8f3a99bc01d2"),
+        ("passport no: C01X00T47", "C01X00T47"),
+        ("account 1234 5678 9012", "1234 5678 9012"),
+        ("aCcOuNt no. 12345678", "12345678"),
+        ("account 2024", None),
+        ("Password: please enter", None),
+        ("user id: " + "a1b2" * 50 + " end", "a1b2" * 50),
+        ("secret: " + "x9!" * 5000 + "z end", "x9!" * 5000 + "z"),
     ],
 )
 def test_values_behind_cues(text, value):
@@ -325,10 +343,17 @@ def test_values_behind_cues(text, value):
 
 
 def test_cues_are_read_in_linear_time():
-    for part in ("account_", "account ", "account IBAN ", "iban AA "):
+    parts = ("account_", "account ", "account IBAN ", "iban AA ", "iban DE12 ", "secret=", "token:a", "api-key")
+    for part in parts:
         pii.spans(part * 20_000)
 
 
+def test_long_values_are_masked_whole(spark):
+    texts = ["account number: " + "1234abcd" * 25 + " stays", "password=" + "p4ss" * 10_000 + " stays"]
+    got = {r.doc_id: r.text for r in pii.without(documents(spark, texts)).collect()}
+    assert got == {0: "account number: <ACCOUNT> stays", 1: "password=<ACCOUNT> stays"}
+
+
 # -- 4 ------------------------------------------------------------------------
 
 
@@ -754,3 +779,17 @@ def test_texts_without_spaces_are_cut_and_stay_whole():
     assert max(map(len, found)) <= piece_lattice.LONGEST + 1 and len(found) == 8
     ids = piece_lattice.Sampler(VOCABULARY).encoded([text], np.array([1]))[0]
     assert piece_lattice.decoded(ids, VOCABULARY) == text
+
+
+def test_mixing_spreads_repeated_ids_and_keeps_clashing_columns(spark, coalescing_off):
+    rows = [(7, "the same text", "en", "s", 13)] * 3000 + [(i, f"t{i} and more", "en", "s", 9) for i in range(3000)]
+    docs = spark.createDataFrame(rows, DOCUMENTS).repartition(8)
+    names = ("_reached", "_source", "mark", "key", "number", "row", "reached")
+    docs = docs.withColumns({n: F.lit("clash") for n in names})
+    out = mixing.mixed(docs, power=1.0, total=5 * 3000 * 30.0)
+    assert out.columns == [*docs.columns, "rate", "copies", "copy", "shuffle_key"]
+    assert all(out.where(F.col(n) != "clash").isEmpty() for n in names)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+    again = Counter(tuple(r) for r in out.collect())
+    assert again == Counter(tuple(r) for r in mixing.mixed(docs, power=1.0, total=5 * 3000 * 30.0).collect())
