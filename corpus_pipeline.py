@@ -26,11 +26,9 @@ def toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     visible(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = classifier(docs, taught_rows(labels))
-    columns = docs.columns
-    marked = docs.withColumn("_text", F.col("text")).select(
-        F.struct(*columns).alias("_row"), F.col("_text").alias("text")
-    )
-    return scored(marked, model).where(F.col("score") < THRESHOLD).select("_row.*")
+    # The row stays in one column, beside which any name is free.
+    marked = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return scored(marked, model).where(F.col("score") < THRESHOLD).select("row.*")
 
 
 def near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
