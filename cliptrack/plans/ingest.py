@@ -53,16 +53,24 @@ def ingest(
     Where several sources brought the same id, the first in ROUND_ORDER stays,
     as the append would have it, before any join by id.
     """
-    asked = requested.select(
+    got = downloads.withColumnRenamed("source_url", "listing")
+    return from_results(asked(requested).join(got, ["listing", "entry_id"]), files, at)
+
+
+def asked(requested: DataFrame, *more: str) -> DataFrame:
+    """What was requested, under the names that results have."""
+    return requested.select(
         F.col("source_url").alias("listing"),
         "pos",
         F.col(KEY).alias("entry_id"),
         F.col("webpage_url").alias("entry_page"),
+        *more,
     )
-    got = downloads.withColumnRenamed("source_url", "listing")
-    results = asked.join(got, ["listing", "entry_id"]).withColumn(
-        KEY, F.coalesce("id", "entry_id")
-    )
+
+
+def from_results(results: DataFrame, files: DataFrame, at: datetime | None = None) -> Ingest:
+    """Inventory rows for requests that have met their downloads, however they did."""
+    results = results.withColumn(KEY, F.coalesce("id", "entry_id"))
     done = results.filter(F.col("error").isNull())
     first = keep_first(done.filter(is_filled(F.col(KEY))), KEY, ROUND_ORDER)
     return Ingest(

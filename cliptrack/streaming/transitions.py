@@ -12,13 +12,15 @@ from pyspark.sql.streaming import DataStreamWriter
 from cliptrack.schema import KEY
 from cliptrack.sources.inventory import Inventory, repeat_on_conflict
 from cliptrack.streaming.batches import stream_id
+from cliptrack.streaming.timed import newest_status
 
 EVENT_TIME = "event_time"
 ARRIVAL = "arrival"
 
 
 def latest_status(events: DataFrame) -> DataFrame:
-    """Last status per item by event time, for batch and stream alike."""
+    """Last status per item by event time; on a stream the newest of each item stays in
+    state for ever, see `newest_status` for state that ends."""
     last = F.max(F.struct("ts", "event_id", "status_fb")).alias("last")
     return events.groupBy(KEY).agg(last).select(KEY, "last.*")
 
@@ -34,13 +36,18 @@ def status_patches(latest: DataFrame) -> DataFrame:
 
 
 def fold_into(
-    events: DataFrame, inventory: Inventory, checkpoint: str, by: str = EVENT_TIME
+    events: DataFrame,
+    inventory: Inventory,
+    checkpoint: str,
+    by: str = EVENT_TIME,
+    lateness: str = "7 days",
 ) -> DataStreamWriter:
     """A stream writer that keeps the inventory at the latest status.
 
-    By event time, state holds one row per item and only items that moved are
-    emitted, so an event that comes late never overrides a newer one. By
-    arrival no state is kept and a later micro-batch wins. Either way a
+    By event time, state holds the items that moved within `lateness` and only items
+    that moved are emitted, so an event that comes late never overrides a newer one, and
+    one that comes later than that is dropped. By arrival no state is kept and a later
+    micro-batch wins. Either way a
     micro-batch is one commit of patches, and a repeated one is skipped. The
     batch is written down first, because checking its ids reads it a second
     time and must not touch the state again.
@@ -55,7 +62,7 @@ def fold_into(
             stream = stream_id(batch)
             repeat_on_conflict(lambda: inventory.patch(patches, order, stream, number))
 
-    rows = latest_status(events) if by == EVENT_TIME else events
+    rows = newest_status(events, lateness) if by == EVENT_TIME else events
     return (
         rows.writeStream.outputMode("update" if by == EVENT_TIME else "append")
         .option("checkpointLocation", checkpoint)
