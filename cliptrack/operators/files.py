@@ -55,3 +55,38 @@ def file_for_id(
     if ids is not None:
         named = in_table(named, ids, "video_id")
     return named.groupBy("video_id").agg(F.min("path").alias("path_local"))
+
+
+#: What may become of a file between two manifests.
+APPEARED, VANISHED, CHANGED = "appeared", "vanished", "changed"
+
+
+def manifest_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """path, change, length and modified (of the newer side) of every file that differs.
+
+    Both are manifests with one row a file. A file has changed if its length or its time
+    is another one; nulls are equal to each other.
+    """
+    facts = ("length", "modified")
+    old = before.select("path", F.struct(*facts).alias("old"))
+    new = after.select("path", F.struct(*facts).alias("new"))
+    change = (
+        F.when(F.col("old").isNull(), APPEARED)
+        .when(F.col("new").isNull(), VANISHED)
+        .when(~F.col("old").eqNullSafe(F.col("new")), CHANGED)
+    )
+    now = F.coalesce("new", "old")
+    return (
+        old.join(new, "path", "full_outer")
+        .select("path", change.alias("change"), *(now[f].alias(f) for f in facts))
+        .filter(F.col("change").isNotNull())
+    )
+
+
+def recheck(rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """Rows that point at a file that differs, with what became of it: a file check that
+    looks at the changed paths only. Every row has its answer as of the earlier check but
+    these."""
+    return rows.join(changes.select(F.col("path").alias("path_local"), "change"), "path_local").select(
+        *rows.columns, "change"
+    )

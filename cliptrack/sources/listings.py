@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from cliptrack.operators.append import check_schema
 from cliptrack.schema import DOWNLOAD, EDIT_RESULT, INVENTORY, LISTING
@@ -18,6 +18,30 @@ def _strict(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+class Lines(NamedTuple):
+    """Rows of the lines that fit, and the others: file, line, as it stands."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def read_lines(spark: SparkSession, schema: StructType, path: str) -> Lines:
+    """JSON lines of which some may be broken: cut off, or with a value of another type.
+
+    A line is either a row or a reject, never both; a blank one is neither. For input of
+    which a part may be bad; `read_listings` and its like stop at the first bad line.
+    """
+    bad = "_bad_line"
+    whole = StructType([*schema.fields, StructField(bad, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
+    )
+    read = lines.filter(F.trim("line") != "").withColumn("row", F.from_json("line", whole, options))
+    rows = read.filter(F.col(f"row.{bad}").isNull()).select(*(f"row.{n}" for n in schema.names))
+    return Lines(rows, read.filter(F.col(f"row.{bad}").isNotNull()).select("file", "line"))
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """Fetched listings as JSON lines, one listing per line."""
     return _strict(spark, LISTING, path)

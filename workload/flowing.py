@@ -6,9 +6,11 @@ from cliptrack.operators import candidates
 from cliptrack.operators.keys import not_in_table
 from cliptrack.sources.inventory import Inventory
 from cliptrack.sources.media import latest_sightings, manifest_into, read_manifest, watch_media
-from cliptrack.streaming import meetings, timed
+from cliptrack.streaming import arrivals, meetings, timed
 from workload.registry import query
-from workload.storing import PARTS, _scratch, _typed
+from workload import views
+from workload.storing import PARTS, _in_parts, _scratch, _stored, _Streamed, _typed
+from workload.views import ARRIVAL_ORDER
 
 #: Each part lies wholly behind the one before it in time.
 APART = "make_interval(0, 0, 0, 4000 * part)"
@@ -186,3 +188,43 @@ def stream_files_into_manifest(t):
     return seen.groupBy(
         name("folder").alias("folder"), name("part").cast("long").alias("part"), name("month").alias("month")
     ).agg(F.sum("length").alias("length"))
+
+
+# -- what becomes of arrivals ---------------------------------------------------------
+
+
+@query(
+    f"""
+, parted as (
+  select cast(split_part(title, '-', 2) as bigint) % {PARTS} as part,
+         case when duration % 50 <> 0 then video_id end as video_id
+  from arrivals),
+firsts as (select video_id, min(part) as part from parted
+           where video_id is not null and video_id not in (select video_id from spread) group by video_id),
+counted as (
+  select p.part, count(*) as offered, count(*) filter (p.video_id is null) as refused,
+         (select count(*) from firsts f where f.part = p.part) as inserted
+  from parted p group by p.part)
+select part::int as part, offered, inserted, refused, offered - inserted - refused as duplicate from counted""",
+    "inv",
+    "spread",
+    "arrivals",
+)
+def stream_arrival_metrics(t):
+    """Counts of each micro-batch, some rows without id among them; one part each."""
+    inventory, checkpoint = _stored(t, t.spread), f"{_scratch(t)}/checkpoint"
+    told, metrics = [], arrivals.ArrivalMetrics()
+
+    def start(lines):
+        offered = _typed(views.arrivals(_Streamed(lineitem=lines)))
+        some = F.when(F.col("duration") % 50 != 0, F.col("video_id")).alias("video_id")
+        offered = offered.select(some, *offered.columns[1:])
+        return arrivals.append_into(offered, inventory, checkpoint, ARRIVAL_ORDER, metrics)
+
+    t.spark.streams.addListener(metrics)
+    try:
+        _in_parts(t, "lineitem", "l_linenumber", start, lambda part: told.extend(metrics.taken()))
+    finally:
+        t.spark.streams.removeListener(metrics)
+    names = "part int, offered long, inserted long, refused long, duplicate long"
+    return t.spark.createDataFrame(told, names)

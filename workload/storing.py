@@ -40,7 +40,7 @@ def _stored(t, rows) -> Inventory:
 PARTS = 3
 
 
-def _in_parts(t, table: str, number: str, start) -> None:
+def _in_parts(t, table: str, number: str, start, after=lambda part: None) -> None:
     """Run a stream over a table that comes in parts; it goes on from its checkpoint.
 
     The rows of a part are those of one remainder, so that later parts hold rows that
@@ -51,6 +51,7 @@ def _in_parts(t, table: str, number: str, start) -> None:
         rows.filter(F.col(number) % PARTS == part).write.mode("append").parquet(folder)
         reader = t.spark.readStream.schema(rows.schema).parquet(folder)
         start(reader).trigger(availableNow=True).start().awaitTermination()
+        after(part)
 
 
 class _Streamed:
