@@ -13,6 +13,7 @@ from cliptrack.schema import MEDIA_FILE
 
 def list_media(spark: SparkSession, base: str, *folders: str) -> DataFrame:
     """Files below the folders, by path relative to `base`. Contents are not read.
+    Spark's reader passes over files of no bytes; a manifest may name them.
 
     The base is qualified by its file system, as the listed paths are, so that it may
     be given with or without scheme and authority.
@@ -40,7 +41,7 @@ def watch_media(
     spark: SparkSession, base: str, *folders: str, per_batch: int = 100_000
 ) -> DataFrame:
     """Files below the folders as a stream: each once, when it is first seen. Contents are
-    not read.
+    not read. Files of no bytes are passed over, as by `list_media`.
 
     The checkpoint remembers what was seen, so a restart goes on from there. A micro-batch
     takes `per_batch` files of a folder at most and leaves the others to the next. Each
