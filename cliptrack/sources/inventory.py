@@ -1,55 +1,47 @@
-"""The inventory on plain Parquet folders that are written once and never changed.
-
-    root/rows/batch=<name>     inventory rows, by state, bucketed by id
-    root/patches/batch=<name>  folded patches, split into matched and unmatched
-    root/commits/<n>           which of these folders make up version n
-
-A version exists once its commit file does. That file never replaces another (on
-a file system whose rename refuses to, such as HDFS; elsewhere keep to one writer),
-so of two writers that start from the same version one gets ConcurrentCommit and
-nothing it wrote is visible; `repeat_on_conflict` lets it try again. An append
-writes only the new rows and an update only its patches; `compact` folds them into
-the rows.
-
-Buckets are Spark's own. Its readers know them from a catalog only, so every folder of
-rows is registered in the session's catalog as an external table when it is read. Then
-only patches and new rows are shuffled, never the rows that are there.
+"""The inventory as snapshots on plain Parquet, one folder a version, written once.
+
+    root/rows/batch=<name>      all rows of the inventory at some version
+    root/changes/batch=<name>   the folded patches a version brought, matched or not
+    root/versions/number=<n>    one line of JSON: which folders make up version n
+
+A step reads one folder, joins what is new to it and writes the next one, so plans stay
+the same however many steps there were. It holds for the version that it was decided on:
+if another writer made the next version first, it gets ConcurrentCommit, and
+`repeat_on_conflict` lets it decide anew. Spark refuses to write a version that is there;
+should two write one at the same moment, the file that is older counts, for all readers.
+
+A step rewrites the table, as it suits tables that are written now and then, by large
+steps. Where many small ones are wanted, keep the rows in a table format and use the
+operators on them. Folders that no version you need names can be deleted.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime
-from functools import reduce
 from typing import Any, NamedTuple, TypeVar
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from cliptrack.operators.append import fresh_rows
-from cliptrack.operators.keys import in_table, not_in_table
-from cliptrack.operators.patches import apply_patches, fold_patches, is_set, patch_for
-from cliptrack.schema import INVENTORY, KEY, PATCH, STATUSES
+from cliptrack.operators.keys import flag_known, in_table
+from cliptrack.operators.patches import apply_patches, fold_patches, patch_for
+from cliptrack.schema import INVENTORY, KEY, PATCH
+from cliptrack.session import scratch_root
 
 T = TypeVar("T")
 
-OTHER = "other"
-#: Folders that rows are kept apart in.
-QUEUES = (*STATUSES, OTHER)
-
-#: Inventory rows with the folder they lie in.
-STORED_ROWS = StructType([*INVENTORY, StructField("queue", StringType())])
 #: Patches with the version that brought them, by whether the item existed.
-STORED_PATCHES = StructType(
+CHANGES = StructType(
     [*PATCH, StructField("version", LongType()), StructField("matched", BooleanType())]
 )
-
-
+_RECORD = "rows string, changes string, batches map<string, bigint>"
 #: Lets a lookup by id skip row groups without it.
 FIND_BY_ID = {
     f"parquet.bloom.filter.enabled#{KEY}": "true",
@@ -57,10 +49,6 @@ FIND_BY_ID = {
 }
 
 
-#: Buckets of a new inventory; some ten thousand rows each is few, some million many.
-BUCKETS = 8
-
-
 class ConcurrentCommit(RuntimeError):
     """Another writer committed first; read again and repeat."""
 
@@ -89,204 +77,120 @@ class PatchResult(NamedTuple):
 @dataclass(frozen=True)
 class Version:
     number: int
-    rows: list[str] = field(default_factory=list)
-    patches: list[str] = field(default_factory=list)
-    #: Folders of the states that outstanding patches set.
-    moved_into: list[str] = field(default_factory=list)
-    #: The patches this very version brought, also those that matched nothing.
-    brought: str | None = None
+    #: Folder of the rows; None while there are none.
+    rows: str | None = None
+    #: Folder of the patches that this very version brought.
+    changes: str | None = None
+    #: Last batch taken of each numbered writer.
     batches: dict[str, int] = field(default_factory=dict)
-    buckets: int = BUCKETS
 
-    def after(self, **changes) -> Version:
-        """The next version, with some things changed."""
-        return replace(self, **{"number": self.number + 1, "brought": None, **changes})
+    def taken(self, writer: str | None, number: int | None) -> bool:
+        return None not in (writer, number) and self.batches.get(writer, -1) >= number
+
+    def after(self, writer: str | None, number: int | None, **changes) -> Version:
+        marks = {} if None in (writer, number) else {writer: number}
+        batches = {**self.batches, **marks}
+        return replace(self, **{"number": self.number + 1, "changes": None, "batches": batches, **changes})
 
 
 class Inventory:
     """Reads and writes the inventory below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        """`buckets` counts where the inventory is created; later it keeps its own."""
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
 
     # -- versions ---------------------------------------------------------
 
-    def _hadoop_path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _versions(self) -> DataFrame | None:
+        """One row a version; None where there is no table yet."""
+        try:
+            lines = self.spark.read.schema(f"{_RECORD}, number bigint").json(f"{self.root}/versions")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        first = F.struct("_metadata.file_modification_time", "_metadata.file_name")
+        record = F.min_by(F.struct("rows", "changes", "batches"), first).alias("record")
+        return lines.groupBy("number").agg(record).select("number", "record.*")
+
+    def _found(self, number: int | None = None) -> Version | None:
+        versions = self._versions()
+        if versions is None:
+            return None
+        some = versions if number is None else versions.filter(F.col("number") == number)
+        row = some.orderBy(F.desc("number")).first()
+        return row and Version(row.number, row.rows, row.changes, row.batches or {})
 
     def latest(self) -> int | None:
         """Number of the newest version; None where there is no table yet."""
-        path, fs = self._hadoop_path("commits")
-        if not fs.exists(path):
-            return None
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        numbers = [int(n) for n in names if n.isdigit()]
-        return max(numbers, default=None)
+        found = self._found()
+        return found and found.number
 
     def version(self, number: int | None = None) -> Version:
-        number = self.latest() if number is None else number
-        if number is None:
-            raise FileNotFoundError(f"no inventory at {self.root}")
-        line = self.spark.read.text(f"{self.root}/commits/{number:020d}").first()
-        return Version(**json.loads(line["value"]))
-
-    def _commit(self, version: Version) -> int:
-        """Publish a version: written aside, then renamed, which fails if it exists."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        final, fs = self._hadoop_path(f"commits/{version.number:020d}")
-        aside, _ = self._hadoop_path(f"commits/.{uuid.uuid4().hex}")
-        out = fs.create(aside, False)
-        out.writeBytes(json.dumps(asdict(version)))
-        out.close()
-        names = hadoop.FileContext.getFileContext(
-            final.toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        keep_existing = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-        try:
-            names.rename(aside, final, keep_existing)
-        except Exception as failure:
-            fs.delete(aside, False)
-            if fs.exists(final):
-                raise ConcurrentCommit(f"version {version.number} exists") from failure
-            raise
-        return version.number
+        found = self._found(number)
+        if found is None:
+            raise FileNotFoundError(f"no version {number or ''} of an inventory at {self.root}")
+        return found
 
-    # -- reading ----------------------------------------------------------
+    def _commit(self, step: Version) -> int:
+        record = self.spark.createDataFrame([(step.rows, step.changes, step.batches)], _RECORD)
+        try:
+            record.coalesce(1).write.json(f"{self.root}/versions/number={step.number}")
+        except AnalysisException as there:
+            if there.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise ConcurrentCommit(f"version {step.number} exists") from there
+        if self._found(step.number) != step:
+            raise ConcurrentCommit(f"version {step.number} is another writer's")
+        return step.number
 
     def create(self) -> int:
         """Make version 0 with no rows; leaves an existing table alone."""
         number = self.latest()
-        return self._commit(Version(0, buckets=self.buckets)) if number is None else number
-
-    def _read(self, kind: str, names: Sequence[str], schema: StructType) -> DataFrame:
-        if not names:
-            return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/{kind}"
-        reader = self.spark.read.schema(schema).option("basePath", base)
-        return reader.parquet(*(f"{base}/batch={n}" for n in names)).select(*schema.names)
+        return self._commit(Version(0)) if number is None else number
 
-    def _write(self, kind: str, rows: DataFrame, split: str, **options: str) -> str:
-        name = uuid.uuid4().hex
-        writer = rows.write.partitionBy(split).options(**options)
-        writer.parquet(f"{self.root}/{kind}/batch={name}")
-        return name
+    # -- reading ----------------------------------------------------------
 
-    def _drop(self, name: str) -> None:
-        """Delete a folder that no version names."""
-        path, fs = self._hadoop_path(name)
-        fs.delete(path, True)
+    def _rows(self, version: Version) -> DataFrame:
+        if version.rows is None:
+            return self.spark.createDataFrame([], INVENTORY)
+        return self.spark.read.schema(INVENTORY).parquet(f"{self.root}/rows/batch={version.rows}")
 
-    def _publish(self, version: Version, undo: Callable[[], None]) -> int:
-        """Commit, or delete what was written for it."""
-        try:
-            return self._commit(version)
-        except ConcurrentCommit:
-            undo()
-            raise
-
-    def _folder(self, version: Version, name: str) -> DataFrame:
-        """A folder of rows, as a table of the session's catalog."""
-        table = _table(name)
-        if not self.spark.catalog.tableExists(table):
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED_ROWS)
-            self.spark.sql(
-                f"create table if not exists {table} ({columns}) using parquet"
-                f" options (path '{self.root}/rows/batch={name}') partitioned by (queue)"
-                f" clustered by ({KEY}) sorted by ({KEY}) into {version.buckets} buckets"
-            )
-            self.spark.sql(f"msck repair table {table}")
-        return self.spark.table(table)
-
-    def _folders(
-        self, version: Version, queues: Iterable[str] | None = None
-    ) -> list[DataFrame]:
-        """The rows of each folder, which joins by id can use as they are bucketed."""
-        some = F.lit(True) if queues is None else F.col("queue").isin(*sorted(queues))
-        return [self._folder(version, n).filter(some).drop("queue") for n in version.rows]
-
-    def _union(self, parts: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, parts or [self.spark.createDataFrame([], INVENTORY)])
-
-    def _flagged(
-        self, patches: DataFrame, version: Version, among: Sequence[str] | None
-    ) -> DataFrame:
-        """Patches with `matched`: whether a folder has their id. An id is in one at most."""
-        found = F.lit(False)
-        for n, folder in enumerate(self._folders(version)):
-            ids = folder.select(KEY) if among is None else folder.select(KEY).filter(F.col(KEY).isin(*among))
-            patches = patches.join(ids.withColumn(f"in_{n}", F.lit(True)), KEY, "left")
-            found = found | F.coalesce(f"in_{n}", F.lit(False))
-        names = [c for c in patches.columns if not c.startswith("in_")]
-        return patches.select(*names, found.alias("matched"))
-
-    def _patches(self, names: Sequence[str]) -> DataFrame:
-        return self._read("patches", names, STORED_PATCHES)
-
-    def read(
-        self, version: int | None = None, statuses: Iterable[str] | None = None
-    ) -> DataFrame:
-        """The inventory at a version, optionally only rows in some states.
-
-        Only the folders of these states are read, and of the others the items that
-        an outstanding patch moved into one of them. Reading never writes.
-        """
-        at = self.version(version)
-        wanted = None if statuses is None else tuple(statuses)
-        queues = None if wanted is None else {_queue_name(s) for s in wanted}
-        parts = self._folders(at, queues)
-        if at.patches:
-            patches = fold_patches(self._patches(at.patches).filter("matched"), ("version",))
-            if queues is not None and queues & set(at.moved_into):
-                moved = patches.filter(is_set("status_fb") & F.col("status_fb").isin(*wanted))
-                others = self._folders(at, set(QUEUES) - queues)
-                parts += [in_table(part, moved, KEY) for part in others]
-            parts = [apply_patches(part, patches) for part in parts]
-        rows = self._union(parts)
-        return rows if wanted is None else rows.filter(F.col("status_fb").isin(*wanted))
+    def read(self, version: int | None = None, statuses: Iterable[str] | None = None) -> DataFrame:
+        """The inventory at a version, optionally only rows in some states. Rows lie by
+        state in their files, so that a reader skips most of the others."""
+        rows = self._rows(self.version(version))
+        return rows if statuses is None else rows.filter(F.col("status_fb").isin(*statuses))
 
     def transitions(self, unmatched: bool = False) -> DataFrame:
         """Every patch ever committed, with the version that brought it.
 
-        The folders of patches meet the commits that name them in a join, so that
-        folders of writers that lost are left out and nothing comes to the driver.
+        The folders meet the versions that name them in a join, so that those of writers
+        that lost are left out.
         """
-        base, fs = self._hadoop_path("patches")
-        wanted = F.col("matched") != F.lit(unmatched)
-        if not fs.exists(base):
-            return self._patches([]).filter(wanted).drop("matched")
-        commits = self.spark.read.schema("brought string").json(f"{self.root}/commits")
-        fields = [*STORED_PATCHES, StructField("batch", StringType())]
-        written = self.spark.read.schema(StructType(fields)).parquet(f"{self.root}/patches")
-        named = commits.select(F.col("brought").alias("batch"))
-        return in_table(written.filter(wanted), named, "batch").select(
-            *(c for c in STORED_PATCHES.names if c != "matched")
-        )
+        names = [c for c in CHANGES.names if c != "matched"]
+        versions = self._versions()
+        brought = None if versions is None else versions.select(F.col("changes").alias("batch")).dropna()
+        if brought is None or brought.isEmpty():
+            return self.spark.createDataFrame([], CHANGES).select(*names)
+        fields = StructType([*CHANGES, StructField("batch", StringType())])
+        written = self.spark.read.schema(fields).parquet(f"{self.root}/changes")
+        wanted = written.filter(F.col("matched") != F.lit(unmatched))
+        return in_table(wanted, brought, "batch").select(*names)
 
     # -- writing ----------------------------------------------------------
 
-    def _write_rows(self, rows: DataFrame, version: Version) -> str:
+    def _write(self, kind: str, rows: DataFrame, **options: str) -> str:
         name = uuid.uuid4().hex
-        by_state = rows.withColumn("queue", _queue(F.col("status_fb")))
-        writer = by_state.write.partitionBy("queue").bucketBy(version.buckets, KEY).sortBy(KEY)
-        writer.options(**FIND_BY_ID, path=f"{self.root}/rows/batch={name}").saveAsTable(
-            _table(name), format="parquet"
-        )
+        rows.write.options(**options).parquet(f"{self.root}/{kind}/batch={name}")
         return name
 
-    def _drop_rows(self, name: str) -> None:
-        self.spark.sql(f"drop table if exists {_table(name)}")
-        self._drop(f"rows/batch={name}")
+    def _write_rows(self, rows: DataFrame) -> str:
+        return self._write("rows", rows.sortWithinPartitions("status_fb", KEY), **FIND_BY_ID)
 
     def append(
-        self,
-        batch: DataFrame,
-        order: Sequence[str],
-        writer: str | None = None,
-        number: int | None = None,
+        self, batch: DataFrame, order: Sequence[str], writer: str | None = None, number: int | None = None
     ) -> AppendResult:
         """Add the rows whose id is new; the first in `order` per id wins.
 
@@ -295,22 +199,16 @@ class Inventory:
         """
         self.create()
         now = self.version()
-        if _taken(now, writer, number):
+        if now.taken(writer, number):
+            return AppendResult(0, now.number)
+        rows, step = self._rows(now), now.after(writer, number)
+        with self.staged(fresh_rows(rows, batch, order)) as fresh:
+            inserted = fresh.count()  # from the files' footers
+            if inserted:
+                step = replace(step, rows=self._write_rows(rows.unionByName(fresh)))
+        if step.rows == now.rows and step.batches == now.batches:
             return AppendResult(0, now.number)
-        fresh = fresh_rows(self._union([]), batch, order)
-        for folder in self._folders(now):
-            fresh = not_in_table(fresh, folder, KEY)
-        # One task a bucket, so that a bucket of a folder is one file a state.
-        name = self._write_rows(fresh.repartition(now.buckets, KEY), now)
-        inserted = self._folder(now, name).count()  # from the files' footers
-        batches = _mark(now, writer, number)
-        if not inserted:
-            self._drop_rows(name)
-            if batches == now.batches:
-                return AppendResult(0, now.number)
-        rows = now.rows + [name] if inserted else now.rows
-        step = now.after(rows=rows, batches=batches)
-        return AppendResult(inserted, self._publish(step, lambda: self._drop_rows(name)))
+        return AppendResult(inserted, self._commit(step))
 
     def patch(
         self,
@@ -318,119 +216,56 @@ class Inventory:
         order: Sequence[str] = ("at",),
         writer: str | None = None,
         number: int | None = None,
-        among: Sequence[str] | None = None,
         base: int | None = None,
     ) -> PatchResult:
-        """Record patches. Those for unknown ids are kept apart and never apply.
+        """Apply patches. Those for unknown ids are kept apart and never apply.
 
-        Where all ids are at hand, `among` turns the check of the ids into a
-        filter that the scan can answer from its statistics. Patches that follow
-        from what was read name that version as `base`: if it isn't the newest any
-        more, nothing is recorded and ConcurrentCommit tells the caller to decide anew.
+        Patches that follow from what was read name that version as `base`: if it isn't
+        the newest any more, nothing is written and ConcurrentCommit tells the caller to
+        decide anew.
         """
         now = self.version()
         if base is not None and now.number != base:
             raise ConcurrentCommit(f"decided on version {base}, newest is {now.number}")
-        if _taken(now, writer, number):
+        if now.taken(writer, number):
             return PatchResult(0, 0, now.number)
-        folded = self._flagged(_typed(fold_patches(patches, order)), now, among)
-        seen = Observation()
-        counted = folded.withColumn("version", F.lit(now.number + 1).cast("long")).observe(
-            seen,
-            F.count_if("matched").alias("matched"),
-            F.count_if(~F.col("matched")).alias("unmatched"),
-            *(F.count_if(F.col("matched") & _moves_into(folded, q)).alias(q) for q in QUEUES),
-        )
-        name = self._write("patches", counted, "matched")
-        counts = seen.get
-        hits, misses = (counts.get(n, 0) for n in ("matched", "unmatched"))
-        batches = _mark(now, writer, number)
-        if not (hits or misses):
-            self._drop(f"patches/batch={name}")
-            if batches == now.batches:
-                return PatchResult(0, 0, now.number)
-        step = now.after(
-            patches=now.patches + [name] if hits else now.patches,
-            moved_into=[q for q in QUEUES if q in now.moved_into or counts.get(q)],
-            brought=name if hits or misses else None,
-            batches=batches,
-        )
-        drop = lambda: self._drop(f"patches/batch={name}")
-        return PatchResult(hits, misses, self._publish(step, drop))
-
-    def hand_over(self, kind: str, rows: DataFrame) -> DataFrame:
-        """Rows written down below the root, for an outside step to read."""
-        path = f"{self.root}/{kind}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    @contextmanager
-    def staged(self, rows: DataFrame) -> Iterator[DataFrame]:
-        """Rows written down for a while, so that nothing upstream runs twice."""
-        kind = f"incoming/{uuid.uuid4().hex}"
-        try:
-            yield self.hand_over(kind, rows)
-        finally:
-            self._drop(kind)
+        rows, step = self._rows(now), now.after(writer, number)
+        typed = _typed(fold_patches(patches, order)).withColumn("version", F.lit(step.number).cast("long"))
+        with self.staged(flag_known(typed, rows, KEY, "matched")) as folded:
+            seen = folded.agg(F.count_if("matched"), F.count_if(~F.col("matched"))).first()
+            hits, misses = seen
+            if hits:
+                step = replace(step, rows=self._write_rows(apply_patches(rows, folded.filter("matched"))))
+            if hits or misses:
+                step = replace(step, changes=self._write("changes", folded))
+        if step.changes is None and step.batches == now.batches:
+            return PatchResult(0, 0, now.number)
+        return PatchResult(hits, misses, self._commit(step))
 
     def set_values(
-        self,
-        ids: DataFrame | Iterable[str],
-        updates: Mapping[str, Any],
-        at: datetime | None = None,
+        self, ids: DataFrame | Iterable[str], updates: Mapping[str, Any], at: datetime | None = None
     ) -> PatchResult:
         """Give every id the same values; ids are a table, or a few at hand."""
-        few = None
         if not isinstance(ids, DataFrame):
-            few = list(ids)
-            ids = self.spark.createDataFrame([(i,) for i in few], f"{KEY} string")
-        patches = patch_for(ids, self._union([]), updates, at)
-        return self.patch(patches, among=few)
-
-    def compact(self) -> int:
-        """Fold outstanding patches and small folders into one set of rows."""
-        now = self.version()
-        rows = self.read(now.number)
-        if not now.patches:  # no join that keeps the rows by bucket
-            rows = rows.repartition(now.buckets, KEY)
-        name = self._write_rows(rows, now)
-        step = now.after(rows=[name], patches=[], moved_into=[])
-        return self._publish(step, lambda: self._drop_rows(name))
-
+            ids = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
+        return self.patch(patch_for(ids, self.spark.createDataFrame([], INVENTORY), updates, at))
 
-def _table(name: str) -> str:
-    """Name of a folder of rows in the catalog."""
-    return f"inventory_rows_{name}"
-
-
-def _queue_name(status: str) -> str:
-    return status if status in STATUSES else OTHER
-
-
-def _queue(status: Column) -> Column:
-    """Folder of a row: its state, or one for states of the caller's own."""
-    return F.when(status.isin(*STATUSES), status).otherwise(F.lit(OTHER))
+    def hand_over(self, kind: str, rows: DataFrame) -> DataFrame:
+        """Rows written down below the root, for an outside step to read."""
+        return self._kept(f"{self.root}/{kind}", rows)
 
+    @contextmanager
+    def staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """Rows written down in scratch space for a while, so that nothing upstream runs twice."""
+        yield self._kept(f"{scratch_root(self.spark)}/cliptrack/incoming", rows)
 
-def _moves_into(patches: DataFrame, queue: str) -> Column:
-    if "status_fb" not in patches.columns:
-        return F.lit(False)
-    return is_set("status_fb") & (_queue(F.col("status_fb")) == queue)
+    def _kept(self, folder: str, rows: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
 
 def _typed(patches: DataFrame) -> DataFrame:
     """Patches in the types they are stored in."""
     given = set(patches.columns)
     return patches.select(*(F.col(f.name).cast(f.dataType) for f in PATCH if f.name in given))
-
-
-def _taken(version: Version, writer: str | None, number: int | None) -> bool:
-    return writer is not None and number is not None and (
-        version.batches.get(writer, -1) >= number
-    )
-
-
-def _mark(version: Version, writer: str | None, number: int | None) -> dict[str, int]:
-    if writer is None or number is None:
-        return version.batches
-    return {**version.batches, writer: number}

@@ -106,8 +106,6 @@ def test_workflow_follows_the_model(spark, tmp_path, seed):
     for number in range(18):
         step = append if number == 0 else draw.choice(steps)
         step(at(1000 + number))
-        if number == 11:
-            stored.compact()
         if number % 3 == 2:
             got = by_id(stored.read())
             assert set(got) == set(model.rows)

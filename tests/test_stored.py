@@ -1,5 +1,5 @@
 import json
-import re
+import os
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cliptrack import ConcurrentCommit, Inventory, Workflow
+from cliptrack.operators.append import fresh_rows
 from cliptrack.operators.selection import with_id
 from cliptrack.plans.edit import apply_edit_results
 from cliptrack.plans.reports import orphans, status_census, stuck_rows
@@ -80,26 +81,17 @@ def test_append_of_nothing_makes_no_version(spark, stored):
     assert stored.append(inventory(spark), ORDER) == (0, 1)
 
 
-def test_reading_some_states_reads_only_their_folders(spark, stored):
+def test_reading_some_states_filters_in_the_files(spark, stored):
     stored.append(inventory(spark, item("a"), item("b", "posted")), ORDER)
     plan = stored.read(statuses=("pending",))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(queue" in plan and "pending" in plan
+    assert "PushedFilters: [" in plan and "EqualTo(status_fb,pending)" in plan
 
 
-def test_states_nothing_moved_into_stay_cheap_to_read(spark, stored):
+def test_states_after_marks(spark, stored):
     stored.append(inventory(spark, item("a"), item("b"), item("c", "ready")), ORDER)
     stored.set_values(ids(spark, "a"), {"status_fb": "posted"}, at(1))
     stored.set_values(ids(spark, "b"), {"title": "x"}, at(1))
     stored.set_values(ids(spark, "c", "ghost"), {"status_fb": "strange"}, at(1))
-    assert stored.version().moved_into == ["posted", "other"]
-
-    def cut(*states):
-        rows = stored.read(statuses=states)
-        text = rows._jdf.queryExecution().executedPlan().toString()
-        return re.search(r"PartitionFilters: \[[^\]]*queue", text) is not None
-
-    # Of other folders only what was moved is read, so the cut stays everywhere.
-    assert cut("pending") and cut("pending", "ready") and cut("posted") and cut("pending", "odd")
     assert statuses(stored.read(statuses=("pending",))) == {"b": "pending"}
     assert statuses(stored.read(statuses=("posted", "ready"))) == {"a": "posted"}
     assert statuses(stored.read(statuses=("strange", "pending"))) == {
@@ -108,13 +100,10 @@ def test_states_nothing_moved_into_stay_cheap_to_read(spark, stored):
     }
     stored.set_values(ids(spark, "c"), {"status_fb": None}, at(2))
     assert statuses(stored.read()) == {"a": "posted", "b": "pending", "c": None}
-    stored.compact()
-    assert stored.version().moved_into == []
-    assert cut("posted")
     assert statuses(stored.read(statuses=("posted",))) == {"a": "posted"}
 
 
-def test_patches_apply_and_compact(spark, stored):
+def test_patches_apply(spark, stored):
     stored.append(inventory(spark, item("a"), item("b"), item("c")), ORDER)
     one = stored.set_values(ids(spark, "a", "b", "ghost"), {"status_fb": "posted"}, at(1))
     assert one == (2, 1, 2)
@@ -126,10 +115,6 @@ def test_patches_apply_and_compact(spark, stored):
     assert statuses(stored.read(statuses=("posted",))) == {"a": "posted"}
     row = by_id(stored.read())["b"]
     assert row.title is None and utc(row.updated_at) == at(2) and utc(row.created_at) == at(0)
-    before = sorted(map(repr, stored.read().collect()))
-    assert stored.compact() == 4
-    assert stored.version().patches == [] and len(stored.version().rows) == 1
-    assert sorted(map(repr, stored.read().collect())) == before
     log = stored.transitions().select("video_id", "version", "set_cols").collect()
     assert sorted((r.video_id, r.version, sorted(r.set_cols)) for r in log) == [
         ("a", 2, ["status_fb"]),
@@ -139,47 +124,30 @@ def test_patches_apply_and_compact(spark, stored):
     assert [r.video_id for r in stored.transitions(unmatched=True).collect()] == ["ghost"]
 
 
-def test_stored_rows_are_not_shuffled(spark, stored):
-    """Neither for a read with patches, nor for the states that they moved rows into."""
+def test_plans_do_not_grow_with_commits(spark, stored):
+    def shape(rows):
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        return text.count("FileScan"), text.count("Join"), text.count("Exchange")
+
+    def offered(rows):
+        return shape(fresh_rows(stored.read(), rows, ORDER))
+
+    more = inventory(spark, *(item(f"x{i}") for i in range(40)))
     stored.append(inventory(spark, *(item(f"v{i}") for i in range(40))), ORDER)
-    stored.append(inventory(spark, *(item(f"w{i}", "ready") for i in range(40))), ORDER)
-    stored.set_values(["v3", "w4"], {"status_fb": "posted"}, at(1))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for rows, scans in (
-            (stored.read(), 2),
-            (stored.read(statuses=("posted", "ready")), 4),
-        ):
-            text = rows._jdf.queryExecution().executedPlan().toString()
-            scanned = [x for x in text.splitlines() if "FileScan" in x and "inventory_rows_" in x]
-            assert len(scanned) == scans and all("Bucketed: true" in x for x in scanned)
-            # The way up from each scan meets a join before any exchange.
-            lines = text.splitlines()
-            for at_line in (i for i, x in enumerate(lines) if x in scanned):
-                depth = lines[at_line].index("FileScan")
-                for line in reversed(lines[:at_line]):
-                    name = line.lstrip(" :+-*0123456789()")
-                    if len(line) - len(name) < depth:
-                        depth = len(line) - len(name)
-                        assert not name.startswith("Exchange"), text
-                        if "Join" in name:
-                            break
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    stored.compact()
-    assert len(by_id(stored.read())) == 80
-    folder = Path(stored.root.removeprefix("file:")) / "rows" / f"batch={stored.version().rows[0]}"
-    assert len(list(folder.glob("queue=*/part-*"))) <= 3 * stored.buckets
+    first = offered(more)
+    for n in range(5):
+        stored.append(inventory(spark, *(item(f"w{n}-{i}", "ready") for i in range(10))), ORDER)
+        stored.set_values([f"v{n}", f"w{n}-3"], {"status_fb": "posted"}, at(n))
+    assert shape(stored.read()) == shape(stored.read(statuses=("ready",))) == (1, 0, 0)
+    assert offered(more) == first
+    assert len(by_id(stored.read(statuses=("posted",)))) == 10 and stored.read().count() == 90
 
 
-def test_another_session_finds_the_buckets(spark, stored):
+def test_another_session_goes_on(spark, stored):
     stored.append(inventory(spark, item("a"), item("b", "ready")), ORDER)
     stored.set_values(["a"], {"status_fb": "posted"}, at(1))
-    for name in stored.version().rows:
-        spark.sql(f"drop table inventory_rows_{name}")
-    again = Inventory(spark.newSession(), stored.root, buckets=3)
+    again = Inventory(spark.newSession(), stored.root)
     assert statuses(again.read()) == {"a": "posted", "b": "ready"}
-    assert again.version().buckets == stored.buckets != 3
     again.append(inventory(spark, item("a"), item("c")), ORDER)
     assert statuses(again.read(statuses=("pending",))) == {"c": "pending"}
 
@@ -194,7 +162,7 @@ def test_few_ids_are_looked_up_by_filter(spark, stored):
     assert "EqualTo(video_id,v7)" in plan
     patched = with_id(stored.read(), "v3")
     text = patched._jdf.queryExecution().executedPlan().toString()
-    assert text.count("EqualTo(video_id,v3)") == 2
+    assert text.count("EqualTo(video_id,v3)") == 1
     assert patched.first().status_fb == "posted"
 
 
@@ -214,8 +182,6 @@ def test_patches_are_stored_in_the_table_types(spark, stored):
     assert stored.patch(patch).matched == 1
     assert stored.read().first().duration == 17
     assert stored.transitions().first().set_cols == ["duration"]
-    stored.compact()
-    assert stored.read().first().duration == 17
 
 
 def test_later_commit_wins_over_clock(spark, stored):
@@ -451,20 +417,38 @@ def test_a_decision_is_made_anew_when_another_writer_was_first(spark, stored, mo
     assert statuses(stored.read())["v0"] == "posted"
 
 
-def test_folders_of_steps_without_a_commit_are_deleted(spark, stored, monkeypatch):
+def test_folders_of_steps_without_a_commit_are_not_read(spark, stored, monkeypatch):
     stored.append(inventory(spark, item("a")), ORDER)
     root = Path(stored.root.removeprefix("file:"))
     assert stored.append(inventory(spark, item("a")), ORDER).inserted == 0
     assert stored.set_values([], {"status_fb": "x"}) == (0, 0, 1)
+    assert len(list((root / "rows").glob("batch=*"))) == 1 and not (root / "changes").exists()
     now = stored.version()
-    Inventory(spark, stored.root).append(inventory(spark, item("b")), ORDER)
+    other = Inventory(spark, stored.root)
+    other.append(inventory(spark, item("b")), ORDER)
     monkeypatch.setattr(stored, "version", lambda number=None: now)
     with pytest.raises(ConcurrentCommit):
         stored.append(inventory(spark, item("c")), ORDER)
+    ghost = {"video_id": "ghost", "status_fb": "x", "set_cols": ["status_fb"], "at": at(1)}
+    with pytest.raises(ConcurrentCommit):
+        stored.patch(patches(spark, ghost))
     with pytest.raises(ConcurrentCommit):
         stored.patch(patches(spark, {"video_id": "a", "set_cols": [], "at": at(1)}), base=0)
-    assert len(list((root / "rows").glob("batch=*"))) == 2
-    assert list((root / "patches").glob("batch=*")) == []
+    assert statuses(other.read()) == {"a": "pending", "b": "pending"}
+    assert other.transitions(unmatched=True).isEmpty() and other.transitions().isEmpty()
+
+
+def test_of_two_commits_at_one_moment_the_older_file_counts(spark, stored):
+    stored.append(inventory(spark, item("a")), ORDER)
+    folder = Path(stored.root.removeprefix("file:")) / "versions" / "number=1"
+    mine = next(folder.glob("part-*"))
+    other = json.loads(mine.read_text()) | {"rows": "lost"}
+    (folder / "part-other.json").write_text(json.dumps(other))
+    os.utime(folder / "part-other.json", (2**31, 2**31))
+    assert statuses(stored.read()) == {"a": "pending"}
+    found = stored.version()
+    os.utime(mine, (2**31 + 9, 2**31 + 9))
+    assert stored.version().rows == "lost" != found.rows
 
 
 def test_bad_input_is_an_error(spark, tmp_path):

@@ -118,9 +118,8 @@ def stored_ready_rows(t):
 
 @query(PATCHED + "select * from patched", "inv", "patches")
 def stored_compacted(t):
-    inventory = _patched(t)
-    inventory.compact()
-    return _untyped(inventory.read())
+    """All patches in the rows of one folder."""
+    return _untyped(_patched(t).read())
 
 
 @query(
