@@ -13,6 +13,8 @@ ENTRY_COLUMNS = ("source_url", "pos", "video_id", "url", "webpage_url")
 
 #: Positions covered by one ranking group, which bounds what a single task sorts.
 RANK_WIDTH = 1000
+#: Parts that the rows without a position are cut into.
+UNPLACED_PARTS = 4096
 
 
 def listing_entries(listings: DataFrame) -> DataFrame:
@@ -76,9 +78,13 @@ def first_in_group(rows: DataFrame, group: str, position: str, tie: str, n: int)
     starting rank, slices that start beyond n are dropped, and each other slice is
     ranked by itself, so that no task sorts a whole group. A position repeats within
     a source only as often as the source was listed. Rows without a position come
-    first, in a slice of their own.
+    first, in a slice of their own, of which parts by hash pass on n rows each.
     """
-    sliced = rows.withColumn("slice", F.floor(F.col(position) / F.lit(RANK_WIDTH)))
+    unplaced = F.col(position).isNull()
+    part = Window.partitionBy(group, F.pmod(F.xxhash64(tie), F.lit(UNPLACED_PARTS))).orderBy(tie)
+    few = rows.filter(unplaced).withColumn("inside", F.row_number().over(part)).filter(F.col("inside") <= n)
+    placed = rows.filter(~unplaced).unionByName(few.drop("inside"))
+    sliced = placed.withColumn("slice", F.floor(F.col(position) / F.lit(RANK_WIDTH)))
     before = Window.partitionBy(group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sliced.groupBy(group, "slice")

@@ -285,8 +285,7 @@ def relative_path(t):
 
 REQUESTED = """
 requested as (
-  select * from documents_listed where video_id not in (select video_id from labelled)
-  qualify row_number() over (partition by source_url order by pos) <= 25),
+  select * from documents_listed where video_id not in (select video_id from labelled)),
 results as (
   select r.source_url as listing, r.pos, r.video_id as entry_id, r.webpage_url as entry_page,
          coalesce(d.id, r.video_id) as video_id, d.webpage_url, d.title, d.title_known,
@@ -298,8 +297,9 @@ INGEST_VIEWS = ("documents_listed", "labelled", "downloads", "document_files")
 
 
 def _round(t):
+    """A whole round: all that is new was requested."""
     entries = candidates.usable_entries(t.documents_listed)
-    requested = ingest.to_download(entries, t.labelled, 25)
+    requested = candidates.new_entries(entries, t.labelled)
     return ingest.ingest(requested, t.downloads, t.document_files)
 
 
