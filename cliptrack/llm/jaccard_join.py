@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cliptrack.llm.shared import components, mix, visible, word_hashes, written
+from cliptrack.llm.shared import CHUNK, components, mix, visible, word_hashes, written
 
 #: The counts by which rare grams come first are kept for so many hash values; a
 #: gram that shares its value with others only moves back in the order.
@@ -44,8 +44,21 @@ _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) |
 def gram_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its word n-grams.
 
-    A text of fewer words is one gram; one without words has none.
+    A text of fewer words is one gram; one without words has none. Texts go by parts of
+    some CHUNK characters, so that a batch of many takes no more memory.
     """
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text or "") > CHUNK:
+            yield from _gram_sets(part, width)
+            part, size = [], 0
+        part.append(text)
+        size += len(text or "")
+    if part:
+        yield from _gram_sets(part, width)
+
+
+def _gram_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
     words, begin = word_hashes(texts)
     rows = np.zeros(max(len(words) - width + 1, 0), np.uint64)
     for k in range(width):

@@ -37,6 +37,7 @@ IDENTITIES: dict[str, tuple[str, ...]] = {
 _BITS = 20
 _SIZES = (4, 5, 6, 7)
 _PLAIN = bytes(b if b >= 128 or 97 <= b <= 122 else 48 if 48 <= b <= 57 else 32 for b in range(256))
+_ROWS = 256  # texts that are scored at a time
 _SPREAD = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (
     np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F) >> np.uint64(29)
 )
@@ -259,10 +260,15 @@ def scored(documents: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFr
     """
     index, weights = model
 
+    def sums(texts: list[str | None]) -> np.ndarray:
+        row, part = _known(texts, index)
+        return np.bincount(row, weights[part], len(texts)) if len(part) else np.zeros(len(texts))
+
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        row, part = _known(texts.tolist(), index)
-        z = np.bincount(row, weights[part], len(texts)) + weights[-1] if len(part) else np.full(len(texts), weights[-1])
+        held = texts.tolist()
+        found = [sums(held[at : at + _ROWS]) for at in range(0, len(held), _ROWS)]
+        z = np.concatenate([np.zeros(0), *found]) + weights[-1]
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     return documents.withColumn("score", score("text"))
