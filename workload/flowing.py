@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 from cliptrack.operators import candidates
 from cliptrack.operators.keys import not_in_table
 from cliptrack.sources.inventory import Inventory
-from cliptrack.sources.media import latest_sightings, manifest_into, read_manifest, watch_media
+from cliptrack.sources.media import (
+    latest_sightings,
+    list_media,
+    manifest_into,
+    read_manifest,
+    watch_media,
+)
 from cliptrack.streaming import arrivals, meetings, timed
 from workload.registry import query
 from workload import views
@@ -228,3 +234,24 @@ def stream_arrival_metrics(t):
         t.spark.streams.removeListener(metrics)
     names = "part int, offered long, inserted long, refused long, duplicate long"
     return t.spark.createDataFrame(told, names)
+
+
+@query(
+    """select case when l_linestatus = 'F' then 'processed' else 'raw' end as folder,
+              strftime(l_shipdate, '%Y-%m') as month,
+              sum(length(cast(l_orderkey as varchar)) + 5)::bigint as length
+       from lineitem group by all"""
+)
+def media_listed(t):
+    """Real files below two folders, listed at once; folders elsewhere are not."""
+    rows = t.lineitem.select(
+        F.when(F.col("l_linestatus") == "F", "processed").otherwise("raw").alias("folder"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        F.concat(F.col("l_orderkey").cast("string"), F.lit(".mp4")).alias("line"),
+    )
+    base = f"{_scratch(t)}/videos"
+    elsewhere = rows.where("month = '1995-01'").withColumn("folder", F.lit("other"))
+    rows.unionByName(elsewhere).repartition("folder", "month").write.partitionBy("folder", "month").text(base)
+    found = list_media(t.spark, base, "folder=raw", "folder=processed")
+    name = lambda k: F.regexp_extract("path", rf"{k}=([^/]+)/", 1).alias(k)
+    return found.groupBy(name("folder"), name("month")).agg(F.sum("length").alias("length"))

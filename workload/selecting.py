@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cliptrack.functions import below, whole_seconds
 from cliptrack.operators import append, candidates, files, keys, selection
 from cliptrack.plans import ingest
+from cliptrack.sources.listings import as_inventory
 from workload.registry import query
 from workload.views import ARRIVAL_ORDER
 
@@ -334,3 +335,10 @@ def ingest_rejects_and_failures(t):
         F.col("video_id").alias("entry_id"), F.col("status_fb").alias("outcome")
     )
     return rejects.unionByName(failed)
+
+
+@query("select * from inv", "inv")
+def typed_rows(t):
+    """Rows of any source with the inventory's columns and types, or an error."""
+    typed = as_inventory(t.inv.withColumn("source_row", F.lit(1)))
+    return typed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
