@@ -14,14 +14,20 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed at a time inside a task.
 CHUNK = 1 << 20
+#: Rows that Spark hands to a Python worker at a time, at most.
+BATCH = 1000
 
 
 def visible(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and take rows
+    in batches of BATCH at most, since a row here is a whole text.
 
     For a session that was started elsewhere. On a cluster without the same folder on
     each machine, send the package with --py-files.
     """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH:
+        spark.conf.set(batch, str(BATCH))
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:

@@ -232,13 +232,14 @@ def classifier(
 
     def numbers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame["text"].tolist()
-            both = []
-            for version in (texts, [swap(t) for t in texts]):
-                row, part = _known(version, index)
-                cuts = np.searchsorted(row, np.arange(1, len(texts)))
-                both.append(np.split(part, cuts))
-            yield pd.DataFrame({"toxic": frame["toxic"], "own": both[0], "swapped": both[1]})
+            for at in range(0, len(frame), _ROWS):
+                some = frame.iloc[at : at + _ROWS]
+                texts, both = some["text"].tolist(), []
+                for version in (texts, [swap(t) for t in texts]):
+                    row, part = _known(version, index)
+                    cuts = np.searchsorted(row, np.arange(1, len(texts)))
+                    both.append(np.split(part, cuts))
+                yield pd.DataFrame({"toxic": some["toxic"].to_numpy(), "own": both[0], "swapped": both[1]})
 
     held = rows.mapInPandas(numbers, "toxic double, own array<int>, swapped array<int>").toPandas()
 
