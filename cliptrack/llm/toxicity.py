@@ -21,7 +21,8 @@ PARTS = 8192
 MARKED = 18.0
 THRESHOLD = 0.3
 
-#: Terms that name groups of people. Within a line any may stand for any other.
+#: Terms that name groups of people, in English, German, French and Spanish. Within a line
+#: any may stand for any other.
 IDENTITIES: dict[str, tuple[str, ...]] = {
     "gender": ("women", "men", "females", "males"),
     "one": ("woman", "man", "girl", "boy"),
@@ -32,6 +33,30 @@ IDENTITIES: dict[str, tuple[str, ...]] = {
     "status": ("immigrant", "refugee", "foreigner", "migrant", "citizen", "local"),
     "many": ("immigrants", "refugees", "foreigners", "migrants", "citizens", "locals"),
     "body": ("disabled", "blind", "deaf", "autistic", "elderly", "young"),
+    "geschlecht": ("frauen", "männer", "mädchen", "jungen"),
+    "eine": ("frau", "mann"),
+    "orientierung": ("schwul", "lesbisch", "bisexuell", "heterosexuell"),
+    "gläubige": ("muslime", "christen", "juden", "buddhisten", "atheisten", "katholiken"),
+    "gläubig": ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch", "katholisch"),
+    "herkunft": ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    "zugezogen": ("einwanderer", "flüchtlinge", "ausländer", "migranten", "einheimische"),
+    "körper": ("behinderte", "blinde", "gehörlose", "autisten", "senioren"),
+    "genre": ("femmes", "hommes", "filles", "garçons"),
+    "une": ("femme", "homme", "fille", "garçon"),
+    "orientation fr": ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    "croyants": ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    "croyant": ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée", "catholique"),
+    "origine": ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    "arrivés": ("immigrés", "réfugiés", "étrangers", "citoyens"),
+    "corps": ("handicapés", "aveugles", "sourds", "autistes", "âgés"),
+    "género": ("mujeres", "hombres", "niñas", "niños"),
+    "una": ("mujer", "hombre", "niña", "niño"),
+    "orientación": ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    "creyentes": ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    "creyente": ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo", "católico"),
+    "origen": ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    "llegados": ("inmigrantes", "refugiados", "extranjeros", "ciudadanos"),
+    "cuerpo": ("discapacitados", "ciegos", "sordos", "autistas", "ancianos"),
 }
 
 _BITS = 20

@@ -793,3 +793,13 @@ def test_mixing_spreads_repeated_ids_and_keeps_clashing_columns(spark, coalescin
     assert len(sizes) > 2 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
     again = Counter(tuple(r) for r in out.collect())
     assert again == Counter(tuple(r) for r in mixing.mixed(docs, power=1.0, total=5 * 3000 * 30.0).collect())
+
+
+def test_identities_swap_in_four_languages():
+    swap = toxicity.swapper(toxicity.IDENTITIES)
+    for text in ("Some women here", "viele Männer hier", "les étrangers là", "unos NIÑOS aquí"):
+        other = swap(text)
+        assert other != text and len(other.split()) == 3
+    assert swap("nothing of it, womens") == "nothing of it, womens" and swap("") == "" and swap(None) is None
+    terms = [t for line in toxicity.IDENTITIES.values() for t in line]
+    assert len(set(terms)) == len(terms) and all(t == t.lower() and len(line) > 1 for line in toxicity.IDENTITIES.values() for t in line)
