@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cliptrack.llm.shared import shared_folder, written
+
 #: Virtual slots; fixed for the life of a data set.
 SLOTS = 4096
-#: Parts of a slot in which records are numbered, by checksum, so that one key
-#: that many records carry is numbered by several tasks.
-PARTS = 16
+#: Parts of a slot in which records are numbered, by their place in the input, so that
+#: one key that many records carry, or one record repeated, is numbered by many tasks.
+PARTS = 64
 
 
 def with_slots(records: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
@@ -39,6 +43,22 @@ def first_map(spark, shards: int, slots: int = SLOTS) -> DataFrame:
     return dealt.coalesce(1)
 
 
+def store_map(slot_map: DataFrame, folder: str) -> DataFrame:
+    """Write a version of the map to a folder of versions, and give all that are there.
+
+    A version that is there already is an error: versions never change.
+    """
+    now = latest(slot_map)
+    version = now.agg(F.max("version")).first()[0]
+    now.select("virtual_slot", "shard").write.parquet(f"{folder}/version={version}")
+    return stored_map(slot_map.sparkSession, folder)
+
+
+def stored_map(spark: SparkSession, folder: str) -> DataFrame:
+    """All versions of the map in a folder, SLOTS rows each."""
+    return spark.read.schema("version int, virtual_slot int, shard int").parquet(folder)
+
+
 def latest(slot_map: DataFrame) -> DataFrame:
     """The rows of the newest version."""
     newest = slot_map.agg(F.max("version").alias("version"))
@@ -107,24 +127,30 @@ def rebalanced(slot_map: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def sharded(documents: DataFrame, slot_map: DataFrame) -> DataFrame:
-    """Every record with its size, shard and place in the shard.
-
-    A record's shard is its slot's in the newest version of the map, so the record's
-    key and the map decide alone. Its place (slot, from 0, without gaps) is what the
-    earlier parts of the shard hold plus its rank within its own part.
+def slim(documents: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32, virtual_slot and part of every record, written down.
 
-    Null text: size 1, checksum of nothing. Equal records are numbered in any order.
+    Null text: size 1, checksum of nothing. A very long text is one number too.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = with_slots(
-        documents.select(
-            "doc_id",
-            (F.octet_length(text) + 1).cast("long").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-        ),
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+    rows = documents.select(
         "doc_id",
-    ).withColumn("part", (F.col("text_crc32") % PARTS).cast("int"))
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        place.alias("part"),
+    )
+    return written(with_slots(rows, "doc_id"))
+
+
+def sharded(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
+    """Every slim record with its shard and place in the shard.
+
+    A record's shard is its slot's in the newest version of the map, so the record's
+    key and the map decide alone. Its place (slot, from 0, without gaps) is what the
+    earlier parts of the shard hold plus its rank within its own part. Equal records are
+    numbered in any order.
+    """
     # One row a slot and part at most: SLOTS * PARTS rows, whatever the input.
     counts = rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("records"))
     before = (
@@ -148,13 +174,30 @@ def sharded(documents: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def op8_sharding(spark, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 15, and where they go with a seventeenth."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    slot_map = first_map(spark, 16)
-    wider = grown(slot_map).select("virtual_slot", F.col("shard").alias("grown_shard"))
+    """All documents in shards 0 to 15, and where they go with a seventeenth.
+
+    The map's versions are kept in the shared folder and read from there: 1 for the sixteen
+    shards, 2 grown by one, 3 the first rebalanced by the bytes of its slots. By law `key`
+    the documents lie by version 1; the bytes of their slot and their shard in version 3
+    come as further columns.
+    """
+    rows = slim(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    folder = f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
+    first = store_map(first_map(spark, 16), folder)
+    sizes = slot_sizes(rows)
+    store_map(grown(first), folder)
+    even = rebalanced(first.where("version = 1"), sizes).withColumn("version", F.lit(3))
+    versions = store_map(even, folder)
+    at = {n: versions.where(F.col("version") == n) for n in (1, 2, 3)}
+    # SLOTS rows each.
+    facts = (
+        at[2].select("virtual_slot", F.col("shard").alias("grown_shard"))
+        .join(at[3].select("virtual_slot", F.col("shard").alias("even_shard")), "virtual_slot")
+        .join(sizes.select("virtual_slot", F.col("bytes").alias("slot_bytes")), "virtual_slot")
+    )
     return (
-        sharded(documents, slot_map)
-        .join(F.broadcast(wider), "virtual_slot")
+        sharded(rows, at[1])
+        .join(F.broadcast(facts), "virtual_slot")
         .select(
             "doc_id",
             "size",
@@ -164,5 +207,7 @@ def op8_sharding(spark, sf_dir: str) -> DataFrame:
             "slot",
             "grown_shard",
             "virtual_slot",
+            "slot_bytes",
+            "even_shard",
         )
     )

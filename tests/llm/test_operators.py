@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cliptrack.llm import (
@@ -643,7 +644,7 @@ def test_shards(spark):
         docs.where("doc_id < 3").withColumn("doc_id", F.lit(None).cast("long"))
     )
     slot_map = sharding.first_map(spark, 16)
-    rows = sharding.sharded(docs, slot_map).collect()
+    rows = sharding.sharded(sharding.slim(docs), slot_map).collect()
     assert len(rows) == docs.count()
     places = defaultdict(list)
     for r in rows:
@@ -653,9 +654,58 @@ def test_shards(spark):
             assert (r.size, r.text_crc32) == (len(raw) + 1, zlib.crc32(raw))
     assert sorted(places) == list(range(16))
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
-    some = {r.doc_id: r.shard for r in sharding.sharded(docs.where("doc_id % 3 = 0"), slot_map).collect()}
+    some = sharding.sharded(sharding.slim(docs.where("doc_id % 3 = 0")), slot_map)
+    some = {r.doc_id: r.shard for r in some.collect()}
     assert all(some.get(r.doc_id, r.shard) == r.shard for r in rows)
-    assert sharding.sharded(docs.limit(0), slot_map).count() == 0
+    assert sharding.sharded(sharding.slim(docs.limit(0)), slot_map).count() == 0
+
+
+def plain_slot(doc_id):
+    """The slot of an id: xxHash64 with Spark's seed over the id as text; a null has the seed's."""
+    raw = None if doc_id is None else str(doc_id).encode()
+    return (42 if raw is None else xxhash.xxh64_intdigest(raw, seed=42)) % sharding.SLOTS
+
+
+def test_op8_is_what_the_kept_maps_say(spark, tmp_path):
+    texts = [None, "", "é漢"] + [f"text {i} " * (i % 40) for i in range(900)]
+    docs = documents(spark, texts).unionByName(documents(spark, ["same"] * 700, 7000))
+    docs = docs.unionByName(docs.where("doc_id = 7"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sharding.op8_sharding(spark, str(tmp_path)).collect()
+    assert len(rows) == 1604
+    held = Counter()
+    for r in rows:
+        text = "same" if r.doc_id >= 7000 else texts[r.doc_id] or ""
+        assert (r.size, r.text_crc32) == (len(text.encode()) + 1, zlib.crc32(text.encode()))
+        slot = plain_slot(r.doc_id)
+        assert (r.law, r.virtual_slot, r.shard) == ("key", slot, slot % 16)
+        assert r.grown_shard in (r.shard, 16)
+        held[slot] += r.size
+    assert all(r.slot_bytes == held[r.virtual_slot] for r in rows)
+    for shard in range(16):
+        places = [r.slot for r in rows if r.shard == shard]
+        assert sorted(places) == list(range(len(places)))
+    assert any(r.grown_shard == 16 for r in rows)
+    loads = Counter()
+    for r in rows:
+        loads[r.even_shard] += r.size
+    mean = sum(held.values()) / 16
+    assert len(loads) == 16 and all(abs(n - mean) <= max(held.values()) * 2 for n in loads.values())
+
+
+def test_a_stored_map_keeps_its_versions(spark, tmp_path):
+    folder = f"{tmp_path}/map"
+    first = sharding.store_map(sharding.first_map(spark, 4), folder)
+    both = sharding.store_map(sharding.grown(first), folder)
+    assert both.count() == 2 * sharding.SLOTS and sharding.latest(both).agg(F.max("shard")).first()[0] == 4
+    with pytest.raises(Exception, match="(?i)already exists"):
+        sharding.store_map(sharding.grown(first.where("version = 1")), folder)
+
+
+def test_a_repeated_record_is_numbered_by_many_tasks(spark):
+    docs = documents(spark, ["one and the same"] * 3000).withColumn("doc_id", F.lit(5).cast("long"))
+    parts = [r["count"] for r in sharding.slim(docs).groupBy("virtual_slot", "part").count().collect()]
+    assert len(parts) == sharding.PARTS and max(parts) < 3 * sorted(parts)[len(parts) // 2]
 
 
 def test_maps(spark):
