@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -41,6 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="shared-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
