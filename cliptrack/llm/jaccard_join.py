@@ -29,7 +29,7 @@ from cliptrack.llm.shared import CHUNK, components, mix, visible, word_hashes, w
 BITS = 18
 _PARITY = 1024
 #: Bytes of different sets for each task that verifies pairs, on average.
-TASK = 128 << 20
+TASK = 16 << 20
 #: Classes of a component that are compared at once with as many others, and the bytes
 #: of their sets, on average.
 BLOCK = 2048
