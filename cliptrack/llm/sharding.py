@@ -48,8 +48,8 @@ def store_map(slot_map: DataFrame, folder: str) -> DataFrame:
 
     A version that is there already is an error: versions never change.
     """
-    now = latest(slot_map)
-    version = now.agg(F.max("version")).first()[0]
+    now = written(latest(slot_map).coalesce(1))
+    version = now.select("version").first()[0]
     now.select("virtual_slot", "shard").write.parquet(f"{folder}/version={version}")
     return stored_map(slot_map.sparkSession, folder)
 
@@ -184,7 +184,7 @@ def op8_sharding(spark, sf_dir: str) -> DataFrame:
     rows = slim(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     folder = f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
     first = store_map(first_map(spark, 16), folder)
-    sizes = slot_sizes(rows)
+    sizes = written(slot_sizes(rows).coalesce(1))
     store_map(grown(first), folder)
     even = rebalanced(first.where("version = 1"), sizes).withColumn("version", F.lit(3))
     versions = store_map(even, folder)

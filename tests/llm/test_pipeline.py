@@ -70,7 +70,7 @@ def test_stages_hand_documents_on(spark, tmp_path):
 
 def test_registered(spark):
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     small = "/root/testdata/sf0.001"
     for name in SQL:
