@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cliptrack.llm.shared import CHUNK, components, mix, visible, word_hashes, written
+from cliptrack.llm.shared import CHUNK, components, mix, tidy, visible, word_hashes, written
 
 #: The counts by which rare grams come first are kept for so many hash values; a
 #: gram that shares its value with others only moves back in the order.
@@ -106,6 +106,7 @@ def _class_rows(width: int):
             )
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"doc_id": None, "size": 0, "cid": 0, "bucket": at, "seen": seen[at]})
+        tidy()
 
     return run
 
@@ -127,6 +128,7 @@ def _prefix_rows(width: int, percent: int, seen):
                 bits = np.packbits(parity.astype(np.uint8)).view(np.int64)
                 out.append((cid, len(grams), grams[order].view(np.int64), bits))
             yield pd.DataFrame(out, columns=["cid", "size", "prefix", "parity"])
+        tidy()
 
     return run
 
@@ -136,6 +138,7 @@ def _set_rows(width: int):
         for frame in frames:
             sets = list(gram_sets(frame["text"].tolist(), width))
             yield pd.DataFrame({"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+        tidy()
 
     return run
 

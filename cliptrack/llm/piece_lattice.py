@@ -38,7 +38,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from cliptrack.llm.shared import mix, visible
+from cliptrack.llm.shared import mix, tidy, visible
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 0.5
@@ -348,6 +348,9 @@ class Sampler:
     def __init__(self, v: Vocabulary):
         self.v, self.numbers, self.store = v, _Numbers(), Store()
 
+    def forget(self) -> None:
+        self.numbers, self.store = _Numbers(), Store()
+
     def _known(self, found: list[str]) -> np.ndarray:
         """Numbers of stretches in the store, which gets those that it lacks."""
         had = len(self.numbers)
@@ -371,7 +374,7 @@ class Sampler:
         sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         while at < len(found):
             if self.store.bytes > MEMORY:
-                self.numbers, self.store = _Numbers(), Store()
+                self.forget()
             end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _CHUNK)))
             seed = mix(mix(key[at:end] + _GOLDEN) ^ mix(turn[at:end] + _GOLDEN))
             some, many = sampled(self.store, self._known(found[at:end]), seed)
@@ -493,6 +496,8 @@ def with_ids(
                     [*(part.column(c) for c in kept), lists, pa.array(counts), pa.array(same)],
                     names=[*kept, "ids", "n_tokens", "lossless"],
                 )
+        own.forget()
+        tidy()
 
     fields = [rows.schema[c] for c in kept]
     added = [

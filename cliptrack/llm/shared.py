@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,12 @@ def visible(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def tidy() -> None:
+    """Give memory back at the end of a task: the worker lives on and may wait idle beside
+    others."""
+    pa.default_memory_pool().release_unused()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own where a local session has none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
