@@ -20,6 +20,8 @@ from cliptrack.schema import KEY
 
 RETRY = "retry"
 SPENT = "spent"
+#: Groups of entries whose waiting attempts are kept together.
+BUCKETS = 512
 
 
 def _ms(micros: int) -> int:
@@ -82,53 +84,95 @@ def newest_status(events: DataFrame, lateness: str) -> DataFrame:
 
 
 class _Due(StatefulProcessor):
-    """Holds failed attempts until their next one is due; a success forgets them."""
+    """Holds failed attempts until their next one is due; a success forgets them.
+
+    A key is a bucket of entries, which has one list of what waits and one timer, for the
+    earliest of it. So a bucket calls its store some times a micro-batch, however many
+    attempts come or fall due in it.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "due long, attempt int", "failed_at long")
-
-    def _forget(self, before: int) -> None:
-        """What failed before a success waits no more."""
-        for key, failed in list(self.waiting.iterator()):
-            if failed[0] <= before:
-                self.waiting.removeKey(key)
+        self.waiting = handle.getListState("waiting", "entry_id string, attempt int, due long, failed_at long")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _held(self) -> pd.DataFrame:
+        # An attempt that is told twice waits once.
+        held = pd.DataFrame(list(self.waiting.get()), columns=_WAITING)
+        return held.drop_duplicates(["entry_id", "attempt", "due"], keep="last")
+
+    def _hold_only(self, held: pd.DataFrame) -> None:
+        if len(held):
+            self.waiting.put(_tuples(held))
+        else:
+            self.waiting.clear()
+
+    def _wake(self, due: int) -> None:
+        """Set the timer for the moment, unless it is set for an earlier one."""
+        at = _ms(due)
+        if self.timer.exists():
+            before = self.timer.get()[0]
+            if before <= at:
+                return
+            self.handle.deleteTimer(before)
+        self.timer.update((at,))
+        self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         for frame in rows:
-            spent = []
-            for row in frame.sort_values(["at", "attempt"]).itertuples(index=False):
-                if row.ok:
-                    self._forget(int(row.at))
-                elif pd.isna(row.due):
-                    spent.append(int(row.attempt))
-                else:
-                    self.waiting.updateValue((int(row.due), int(row.attempt)), (int(row.at),))
-                    self.handle.registerTimer(_ms(int(row.due)))
-            if spent:
-                yield _outcomes(key[0], [(a, None, SPENT) for a in spent])
+            frame = frame.sort_values(["at", "attempt"], ignore_index=True)
+            ok = frame["ok"].astype(bool)
+            spent = frame[~ok & frame["due"].isna()]
+            if len(spent):
+                yield _outcomes(spent["entry_id"], spent["attempt"], None, SPENT)
+            waits = frame[~ok & frame["due"].notna()]
+            if ok.any():
+                # What failed before a success waits no more.
+                last = frame[ok].reset_index().groupby("entry_id")[["index", "at"]].max()
+                waits = waits[~(waits.index < waits["entry_id"].map(last["index"]))]
+                held = self._held()
+                forgotten = held["failed_at"] <= held["entry_id"].map(last["at"])
+                if forgotten.any():
+                    self._hold_only(held[~forgotten])
+            if len(waits):
+                waits = waits.assign(failed_at=waits["at"])[_WAITING]
+                self.waiting.appendList(_tuples(waits))
+                self._wake(int(waits["due"].min()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        # A timer whose attempts were forgotten finds nothing.
-        due = [tuple(k) for k, _ in self.waiting.iterator() if _ms(k[0]) <= now]
-        for each in due:
-            self.waiting.removeKey(each)
-        if due:
-            yield _outcomes(key[0], [(attempt + 1, at, RETRY) for at, attempt in due])
+        self.timer.clear()
+        held = self._held()
+        now = timerValues.getCurrentWatermarkInMs()
+        due = (held["due"] + 999) // 1000 <= now
+        self._hold_only(held[~due])
+        if not due.all():
+            self._wake(int(held.loc[~due, "due"].min()))
+        if due.any():
+            out = held[due]
+            yield _outcomes(out["entry_id"], out["attempt"] + 1, out["due"], RETRY)
 
     def close(self) -> None:
         pass
 
 
-def _outcomes(entry: str, rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["attempt", "due", "outcome"])
-    frame.insert(0, "entry_id", entry)
+_WAITING = ["entry_id", "attempt", "due", "failed_at"]
+
+
+def _tuples(waits: pd.DataFrame) -> list[tuple]:
+    return list(waits.astype({"attempt": int, "due": int, "failed_at": int}).itertuples(index=False, name=None))
+
+
+def _outcomes(entry, attempt, due, outcome: str) -> pd.DataFrame:
+    frame = pd.DataFrame({"entry_id": entry, "attempt": attempt, "due": due, "outcome": outcome})
     return frame.astype({"attempt": "int32", "due": "Int64"})
 
 
 def due_attempts(
-    attempts: DataFrame, lateness: str, backoff: Backoff = Backoff(), seed: int = 0
+    attempts: DataFrame,
+    lateness: str,
+    backoff: Backoff = Backoff(),
+    seed: int = 0,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Attempts to make, each when it is due: entry_id, attempt, due_at, outcome.
 
@@ -137,7 +181,8 @@ def due_attempts(
     one (RETRY), once the watermark has reached its time; so what is handed on goes by
     due time from one micro-batch to the next. A failed attempt without a retry left is
     handed on at once (SPENT, no time). A success forgets what still waits for its entry.
-    Rows without an entry id only move the time. State holds waiting attempts alone.
+    Rows without an entry id only move the time. State holds waiting attempts alone, in
+    `buckets` of entries by a hash of their ids; a checkpoint goes with one such number.
     """
     timed = attempts.select(
         "entry_id", F.col("attempt").cast("int").alias("attempt"),
@@ -150,8 +195,9 @@ def due_attempts(
         scheduled.filter(real)
         .withColumn("at", F.unix_micros("failed_at"))
         .withColumn("due", F.unix_micros("next_attempt_at"))
+        .withColumn("bucket", F.pmod(F.xxhash64("entry_id"), F.lit(buckets)))
         .drop("wait_seconds", "next_attempt_at")
-        .groupBy("entry_id")
+        .groupBy("bucket")
         .transformWithStateInPandas(
             _Due(), "entry_id string, attempt int, due long, outcome string", "Append", "eventTime"
         )

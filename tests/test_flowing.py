@@ -1,7 +1,10 @@
 """Streams whose state ends: downloads that come, come late or never; retries; files."""
 
 from datetime import timedelta
+from random import Random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +215,65 @@ def test_due_attempts_go_by_time_over_micro_batches(retries):
     assert all(a[-1] <= b[0] for a, b in zip(times, times[1:]))
 
 
+class Counted:
+    """Stands in for a store: counts the calls that its states and timers get."""
+
+    def __init__(self):
+        self.calls, self.held, self.times = 0, [], set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            if name.startswith("get") and name.endswith("State"):
+                return self
+            if name == "appendList":
+                self.held += args[0]
+            if name in ("registerTimer", "deleteTimer"):
+                (set.add if name[0] == "r" else set.discard)(self.times, args[0])
+            return iter(self.held) if name in ("get", "iterator") else False if name == "exists" else None
+
+        return call
+
+
+def test_many_attempts_take_few_calls_to_the_store():
+    store, due = Counted(), timed._Due()
+    due.init(store)
+    micros = [1_000_000 * i for i in range(500)]
+    names = [f"e{i % 7}" for i in range(500)]
+    frame = pd.DataFrame({"entry_id": names, "attempt": 1, "at": micros, "due": [m + 5_000_000 for m in micros]})
+    list(due.handleInputRows((1,), iter([frame.assign(ok=False, failed_at=None)]), None))
+    assert store.times == {5000} and len(store.held) == 500
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 250_000, getExpiryTimeInMs=lambda: 5000)
+    out = pd.concat(due.handleExpiredTimer((1,), now, now))
+    assert len(out) == 246 and set(out["attempt"]) == {2} and out["due"].max() == 250_000_000
+    assert 251_000 in store.times and store.calls < 20
+
+
+def test_attempts_wait_and_are_forgotten_as_told_one_by_one(retries):
+    """Some 150 random rows of eight entries, told in three steps and in one bucket."""
+    random, steady = Random(5), Backoff(spread=0.0)
+    waits, want, found = {}, [], []
+    for start in range(0, 36, 12):
+        rows = [
+            (random.choice("abcdefgh"), random.choice([1, 1, 2, 2, 3]), after(start + random.randrange(12)), random.random() < 0.15)
+            for _ in range(50)
+        ]
+        for entry, attempt, when, ok in sorted(rows, key=lambda r: (r[2], r[1])):
+            if ok:
+                waits = {k: t for k, t in waits.items() if k[0] != entry or t > when}
+            elif attempt == 3:
+                want.append((entry, 3, "spent"))
+            else:
+                waits[entry, when + timedelta(seconds=5 * 3 ** (attempt - 1)), attempt] = when
+        reached = after(start + 11.5)
+        want += [(e, a + 1, "retry") for e, d, a in waits if d <= reached]
+        waits = {k: t for k, t in waits.items() if k[1] > reached}
+        found += retries.run(*rows, (None, 1, reached, False), backoff=steady, buckets=1)
+    want += [(e, a + 1, "retry") for e, _, a in waits]
+    found += retries.run((None, 1, after(500), False), backoff=steady, buckets=1)
+    assert sorted((e, n, o) for e, n, _, o in found) == sorted(want)
+
+
 # -- files as they appear ---------------------------------------------------------------
 
 
