@@ -36,6 +36,8 @@ BLOCK = 2048
 BLOCK_BYTES = 16 << 20
 #: Bytes of the sets of components that a task takes at a time, on average.
 BUNDLE = 8 << 20
+#: Rows of numbers that are sent to every task, at most: some 40 bytes each.
+FEW = 1 << 20
 #: Cells of the table in which overlaps are counted at a time.
 _CELLS = 4 << 20
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
@@ -137,12 +139,54 @@ def _set_rows(width: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = list(gram_sets(frame["text"].tolist(), width))
-            yield pd.DataFrame({"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+            yield pd.DataFrame(
+                {
+                    "cid": [class_of(s) for s in sets], "size": [len(s) for s in sets],
+                    "grams": [s.tobytes() for s in sets], "sketch": [sketch(s).tobytes() for s in sets],
+                }
+            )
         tidy()
 
     return run
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Parities as in may_link, of one to two bits a gram, in bytes: 1/64 to 1/32 of the
+    set. 1024 parities of a large set tell it from no other."""
+    bits = 1 << max(10, (len(grams) - 1).bit_length())
+    parity = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little")
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """How many parities of two sketches differ; at least so many elements of the sets do."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _by_sketches(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose sketches allow a link, so that few sets move for nothing."""
+    for side in ("a", "b"):
+        own = sets.select(*(F.col(c).alias(n) for c, n in (("cid", side), ("size", f"size_{side}"), ("sketch", f"sketch_{side}"))))
+        pairs = pairs.join(own, side)
+    least = _least_overlap(percent, F.col("size_a"), F.col("size_b"))
+    allowed = F.col("size_a") + F.col("size_b") - 2 * least
+    rows = pairs.select("a", "b", "sketch_a", "sketch_b", allowed.alias("allowed"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            raws = zip(frame["sketch_a"], frame["sketch_b"], frame["allowed"], strict=True)
+            keep = [differing(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= n for x, y, n in raws]
+            yield frame.loc[np.array(keep, bool), ["a", "b"]]
+
+    # A set may be there twice.
+    return rows.mapInPandas(run, "a long, b long").distinct()
+
+
+
+
 def _least_overlap(percent: int, a: Column, b: Column) -> Column:
     """The smallest overlap of sets of two sizes that is similar enough."""
     return F.floor((percent * (a + b) + percent + 99) / (percent + 100)).cast("long")
@@ -186,22 +230,36 @@ def _with_partner(members: DataFrame, filters, percent: int) -> DataFrame:
     )
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Small rows, as a table; sent to all tasks unless they are many, so that the sets
+    they are joined with needn't move for it."""
+    rows = written(rows)
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def verified(
     pairs: DataFrame, sets: DataFrame, families: DataFrame, tasks: int, percent: int
 ) -> DataFrame:
     """Those pairs (a, b) of classes whose whole sets are similar enough.
 
-    Pairs are dealt to tasks by the families of their two classes, and a set goes once
-    to each task that has a pair of it. Families are split into parts of some 500
-    classes, and the number of tasks follows from the bytes of all sets, so a task
-    stays the same size. Any dealing is right; this one sends few sets several times,
-    as most pairs lie within a family.
+    families: (cid, family, size). The classes that pairs connect go to one task, so that
+    a set is sent once. Where they are more than a task's share, their pairs are dealt by
+    the families of their two classes, and a set goes once to each task that has a pair
+    of it. Families are split into parts of some 500 classes, and the number of tasks
+    follows from the bytes of all sets, so a task stays the same size. Any dealing is
+    right; this one sends few sets several times, as most pairs lie within a family.
     """
+    pairs = written(_by_sketches(pairs, sets, percent))
+    sets = sets.select("cid", "grams")
+    placed = families.join(components(pairs), F.col("cid") == F.col("id")).drop("id")
+    heavy = placed.groupBy("component").agg((F.sum("size") * 8 > TASK).alias("heavy"))
+    placed = written(placed.join(heavy, "component"))
     for side in ("a", "b"):
-        own = families.select(F.col("cid").alias(side), F.col("family").alias(f"family_{side}"))
+        own = placed.select(F.col("cid").alias(side), F.col("family").alias(f"family_{side}"))
         pairs = pairs.join(own, side)
-    task = F.pmod(F.xxhash64("family_a", "family_b"), F.lit(tasks)).alias("task")
-    dealt = pairs.select(task, "a", "b")
+    pairs = pairs.join(placed.select(F.col("cid").alias("a"), "component", "heavy"), "a")
+    where = F.when(F.col("heavy"), F.xxhash64("family_a", "family_b")).otherwise(F.xxhash64("component"))
+    dealt = written(pairs.select(F.pmod(where, F.lit(tasks)).alias("task"), "a", "b"))
     needed = dealt.select(F.col("task").alias("to"), F.explode(F.array("a", "b")).alias("cid"))
 
     def run(own: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
@@ -215,7 +273,7 @@ def verified(
 
     return written(
         dealt.groupBy("task")
-        .cogroup(needed.distinct().join(sets, "cid").groupBy("to"))
+        .cogroup(sets.join(_few(needed.distinct()), "cid").groupBy("to"))
         .applyInPandas(run, "a long, b long")
     )
 
@@ -315,18 +373,18 @@ def link_counts(rows: DataFrame, joined: DataFrame, sets: DataFrame, percent: in
     held = own.agg(bytes_of).first()[0] or 0
     bundles = max(1, math.ceil(held / BUNDLE))
     bundle = lambda part: F.pmod(F.xxhash64("component", part), F.lit(bundles))
-    whole = (
+    placed = (
         own.join(large.select("component", "parts"), "component", "left")
         .withColumn("part", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))).cast("int"))
         .select(bundle(F.col("part")).alias("bundle"), "component", "cid", "weight", "size")
-        .join(sets, "cid")
     )
-    hubs = (
+    whole = sets.select("cid", "grams").join(_few(placed), "cid")
+    sent = (
         large.select("component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         .select(bundle(F.col("part")).alias("to"), "component")
         .distinct()
-        .join(sets.select(F.col("cid").alias("component"), F.col("grams").alias("hub")), "component")
     )
+    hubs = sets.select(F.col("cid").alias("component"), F.col("grams").alias("hub")).join(_few(sent), "component")
     found = written(
         whole.groupBy("bundle")
         .cogroup(hubs.groupBy("to"))
@@ -432,11 +490,10 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .agg(F.min("doc_id").alias("doc_id"))
         .join(members.select("cid").distinct(), "cid", "left_semi")
     )
-    some = texts.join(
-        ids.select(F.col("doc_id").cast("string").alias("_id")), F.expr("doc_id <=> _id"), "left_semi"
-    )
+    wanted = _few(ids.select(F.col("doc_id").cast("string").alias("_id")))
+    some = texts.join(wanted, F.expr("doc_id <=> _id"), "left_semi")
     # Rows that share an id may add a set that nobody asks for, or one twice.
-    sets = written(some.mapInPandas(_set_rows(width), "cid long, grams binary"))
+    sets = written(some.mapInPandas(_set_rows(width), "cid long, size long, grams binary, sketch binary"))
     held = sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
     tasks = max(1, math.ceil(held / TASK))
 
@@ -450,9 +507,9 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
     )
     many = family.groupBy("top").agg(F.ceil(F.count("*") / 500).alias("parts"))
     families = written(
-        family.join(many, "top").select(
-            "cid", F.xxhash64("top", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("family")
-        )
+        family.join(many, "top")
+        .select("cid", F.xxhash64("top", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("family"))
+        .join(classes.select("cid", "size"), "cid")
     )
     stars = (
         members.alias("m")
@@ -461,6 +518,7 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .select(F.col("f.cid").alias("a"), F.col("m.cid").alias("b"))
         .distinct()
     )
+    stars = written(stars)
     links = verified(stars, sets, families, tasks, percent)
     joined = written(components(links))
 
@@ -475,6 +533,7 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .where((F.col("p.part") < F.col("q.part")) & may_link(percent, "p", "q"))
         .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b"))
         .distinct()
+        .join(stars, ["a", "b"], "left_anti")  # those have been refused
     )
     more = verified(rest, sets, families, tasks, percent)
     return rows, written(components(links.unionAll(more))), sets

@@ -853,3 +853,23 @@ def test_identities_swap_in_four_languages():
     assert swap("nothing of it, womens") == "nothing of it, womens" and swap("") == "" and swap(None) is None
     terms = [t for line in toxicity.IDENTITIES.values() for t in line]
     assert len(set(terms)) == len(terms) and all(t == t.lower() and len(line) > 1 for line in toxicity.IDENTITIES.values() for t in line)
+
+
+def test_pairs_that_sketches_tell_apart_move_no_sets(spark):
+    """Large sets, of which 1024 parities say nothing; no near pair is refused."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 1 << 63, 6000).astype(np.uint64)
+    near = np.unique(np.concatenate([base[:5900], rng.integers(1, 1 << 63, 100).astype(np.uint64)]))
+    far = np.unique(np.concatenate([base[:900], rng.integers(1, 1 << 63, 4000).astype(np.uint64)]))
+    held = {1: np.unique(base), 2: near, 3: far}
+    for a, b in ((1, 2), (1, 3), (2, 3)):
+        x, y = held[a], held[b]
+        assert jaccard_join.differing(jaccard_join.sketch(x), jaccard_join.sketch(y)) <= len(np.setxor1d(x, y))
+    rows = [(c, len(g), bytearray(g.tobytes()), bytearray(jaccard_join.sketch(g).tobytes())) for c, g in held.items()]
+    sets = spark.createDataFrame(rows * 2, "cid long, size long, grams binary, sketch binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in jaccard_join._by_sketches(pairs, sets, 80).collect()] == [(1, 2)]
+    families = spark.createDataFrame([(c, 9, len(g)) for c, g in held.items()], "cid long, family long, size long")
+    found = jaccard_join.verified(pairs, sets, families, 3, 80)
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+    assert jaccard_join.verified(pairs.limit(0), sets, families, 3, 80).count() == 0
