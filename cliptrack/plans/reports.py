@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliptrack.functions import is_filled
-from cliptrack.operators.files import missing_on_disk, unclaimed_files
 from cliptrack.schema import KEY, PENDING, READY
 
 
@@ -27,15 +26,23 @@ def stuck_rows(inventory: DataFrame) -> DataFrame:
 
 
 def orphans(inventory: DataFrame, files: DataFrame) -> DataFrame:
-    """Files without an inventory row, and rows whose file does not exist."""
-    rows = inventory.filter(is_filled(F.col("path_local"))).select("path_local")
-    lost = missing_on_disk(rows.distinct(), files)
-    return (
-        unclaimed_files(files, inventory)
-        .select("path", F.lit("file without row").alias("finding"))
-        .unionByName(
-            lost.select(
-                F.col("path_local").alias("path"), F.lit("row without file").alias("finding")
-            )
-        )
+    """Files without an inventory row, and rows whose file does not exist.
+
+    One aggregate by path tells both, which holds a flag and a count a path; joins would
+    sort both sides, twice.
+    """
+    rows = inventory.filter(is_filled(F.col("path_local")))
+    sides = files.select("path", F.lit(1).alias("files"), F.lit(0).alias("claimed")).unionAll(
+        rows.select(F.col("path_local").alias("path"), F.lit(0).alias("files"), F.lit(1).alias("claimed"))
+    )
+    one_sided = (
+        sides.groupBy("path")
+        .agg(F.sum("files").alias("files"), F.max("claimed").alias("claimed"))
+        .filter((F.col("files") == 0) | (F.col("claimed") == 0))
+    )
+    # A path that is listed twice is found twice.
+    found = F.when(F.col("files") == 0, F.lit(1)).otherwise(F.col("files")).cast("int")
+    finding = F.when(F.col("files") == 0, "row without file").otherwise("file without row")
+    return one_sided.select(
+        "path", F.explode(F.array_repeat(finding, found)).alias("finding")
     )

@@ -535,3 +535,23 @@ def test_scratch_folder_is_the_one_the_session_names(tmp_path):
         scratch_root(Session("yarn"))
     local = Session("local[2]")
     assert scratch_root(local) == scratch_root(local)
+
+
+def test_orphans_take_one_aggregate_and_no_join(spark):
+    """Joins would sort both sides; a path that is listed twice is found twice."""
+    table = inventory(spark, item("a", path_local="videos/raw/a.mp4"), item("b", path_local="videos/raw/b.mp4"))
+    found = spark.createDataFrame(
+        [("videos/raw/a.mp4",), ("videos/raw/x.mp4",), ("videos/raw/x.mp4",), (None,)], "path string"
+    )
+    result = orphans(table.unionAll(table), found)
+    assert sorted(result.collect(), key=str) == sorted(
+        [
+            (None, "file without row"),
+            ("videos/raw/b.mp4", "row without file"),
+            ("videos/raw/x.mp4", "file without row"),
+            ("videos/raw/x.mp4", "file without row"),
+        ],
+        key=str,
+    )
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
