@@ -46,7 +46,7 @@ ALPHA = 0.5
 FLAT = 100.0
 SPACE = "▁"
 #: Bytes of lattices that a worker keeps; beyond it starts anew.
-MEMORY = 32 << 20
+MEMORY = 64 << 20
 #: Characters of a stretch. A longer one (without any space) is cut into such stretches,
 #: and no piece spans the cut.
 LONGEST = 4096
@@ -64,6 +64,7 @@ class Vocabulary(NamedTuple):
     reach: int  # slots that a key may lie from its own
     ends: np.ndarray  # id of the piece that ends in a node, or -1
     weight: np.ndarray  # log of each id's chance
+    raw: pa.Array  # texts, for Arrow
 
 
 def _slot(keys: np.ndarray, size: int) -> np.ndarray:
@@ -120,7 +121,7 @@ def vocabulary(model: str = MODEL, alpha: float = ALPHA) -> Vocabulary:
         here = table[at] == keys + 1
         child[at[here]] = leads[here]
         keys, leads, at = keys[~here], leads[~here], (at[~here] + 1) & (slots - 1)
-    return Vocabulary(texts, byte_ids, table, child, reach, np.array(ends), weight)
+    return Vocabulary(texts, byte_ids, table, child, reach, np.array(ends), weight, pa.array(texts, pa.binary()))
 
 
 def _step(v: Vocabulary, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -445,6 +446,17 @@ def decoded(ids, v: Vocabulary) -> str | None:
     return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")[1:]
 
 
+def lossless(texts: list[str | None], ids: list[np.ndarray | None], v: Vocabulary) -> list[bool]:
+    """Whether each text is what its ids decode to."""
+    out = []
+    for text, own in zip(texts, ids, strict=True):
+        # Equal bytes are equal texts; others may still be, where they are no UTF-8.
+        raw = b"" if own is None or not len(own) else pc.take(v.raw, pa.array(own)).buffers()[2].to_pybytes()
+        same = text is not None and raw[:1] == b" " and raw[1:] == text.encode("utf-8", "surrogatepass")
+        out.append(same or decoded(own, v) == text)
+    return out
+
+
 def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Slices of a batch's rows that hold some _CHUNK characters, or one longer text."""
     at, size = 0, 0
@@ -484,7 +496,7 @@ def with_ids(
                 part = batch.slice(at, end - at)
                 texts = part.column("_text").to_pylist()
                 ids = own.encoded(texts, part.column("_key").to_numpy())
-                same = [decoded(i, own.v) == t for i, t in zip(ids, texts, strict=True)]
+                same = lossless(texts, ids, own.v)
                 counts = np.array([0 if i is None else len(i) for i in ids], np.int64)
                 flat = np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)])
                 lists = pa.ListArray.from_arrays(

@@ -873,3 +873,13 @@ def test_pairs_that_sketches_tell_apart_move_no_sets(spark):
     found = jaccard_join.verified(pairs, sets, families, 3, 80)
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
     assert jaccard_join.verified(pairs.limit(0), sets, families, 3, 80).count() == 0
+
+
+def test_lossless_is_what_decoding_says():
+    v = piece_lattice.vocabulary()
+    texts = ["one  two", "", None, "\u2581x", "caf\u00e9 \ufffd", " lead"]
+    ids = piece_lattice.Sampler(v).encoded(texts, np.arange(len(texts)))
+    assert piece_lattice.lossless(texts, ids, v) == [True] * len(texts)
+    cut = [i if i is None else i[:-1] for i in ids]
+    cut[4] = np.append(ids[4][:-1], v.byte_ids[0xFF])  # no UTF-8
+    assert piece_lattice.lossless(texts, cut, v) == [piece_lattice.decoded(i, v) == t for i, t in zip(cut, texts)]
