@@ -33,6 +33,8 @@ from cliptrack.llm.shared import crc, folded, mix, visible, word_hashes, written
 DEPTH = 5
 #: Bytes of text in a block.
 BLOCK = 32 << 20
+#: Parts of the contexts for each block: what a part works on is many times its reports.
+PARTS = 4
 _CHUNK = 2 << 20
 _END = b"\xff"  # no byte of UTF-8
 
@@ -329,7 +331,8 @@ def scored(documents: DataFrame, learn: Column, depth: int = DEPTH, block: int =
     totals = rows.agg(
         F.sum(F.octet_length("text")), F.sum(F.col("learn").cast("long"))
     ).first()
-    parts = blocks = max(1, math.ceil((totals[0] or 0) / block))
+    blocks = max(1, math.ceil((totals[0] or 0) / block))
+    parts = PARTS * blocks
     ends = int(totals[1] or 0)
     dealt = rows.withColumn(
         "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")

@@ -883,3 +883,28 @@ def test_lossless_is_what_decoding_says():
     cut = [i if i is None else i[:-1] for i in ids]
     cut[4] = np.append(ids[4][:-1], v.byte_ids[0xFF])  # no UTF-8
     assert piece_lattice.lossless(texts, cut, v) == [piece_lattice.decoded(i, v) == t for i, t in zip(cut, texts)]
+
+
+def test_a_part_of_contexts_is_less_than_a_block(spark, monkeypatch):
+    """The contexts of a block are worked on in several parts; scores stay the same."""
+    rows = spark.createDataFrame([(i, f"word{i % 7} and word{i % 5} {'ab' * i}") for i in range(40)], "doc_id long, text string")
+    def scores():
+        found = context_trees.scored(rows, F.col("doc_id") % 3 != 0, block=1 << 30).collect()
+        return {r.doc_id: (r.n_known, r.base_score, r.score) for r in found}
+
+    several, reports = scores(), []
+    written = context_trees.written
+
+    def kept(df):
+        out = written(df)
+        if "keys" in df.columns:
+            reports.append(out)
+        return out
+
+    monkeypatch.setattr(context_trees, "written", kept)
+    scores()
+    assert reports[0].where("kind = 'gram'").select("part").distinct().count() > 1
+    monkeypatch.setattr(context_trees, "PARTS", 1)
+    one = scores()
+    assert several.keys() == one.keys()
+    assert all(several[k] == pytest.approx(one[k]) for k in one)
