@@ -5,10 +5,11 @@ the rarest grams of each (the prefixes), so only documents that share a prefix g
 are compared, and of those only pairs whose lengths, positions and parities allow
 the overlap. What is left is verified on the whole sets, once per pair.
 
-Equal sets are one class from the start. Of the pairs inside a group of documents
-that share a gram, first those with the group's smallest class are verified; then
-only pairs that are still apart. So finding the components costs a group of copies its
-size, not its square. Every link lies inside a component, so the links are counted
+Equal sets are one class from the start. A pair is compared for the first gram that both
+share, not for each. Of the pairs inside a group of documents that share a gram, first
+those with the group's smallest class are verified, then those of what is still apart
+with one class after another; at last all pairs that are still apart. So finding the
+components costs a group of copies its size, not its square. Every link lies inside a component, so the links are counted
 there, block by block, on what sets differ in; only sums leave a pair of blocks.
 """
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliptrack.llm.shared import CHUNK, components, mix, tidy, visible, word_hashes, written
@@ -28,6 +29,11 @@ from cliptrack.llm.shared import CHUNK, components, mix, tidy, visible, word_has
 #: gram that shares its value with others only moves back in the order.
 BITS = 18
 _PARITY = 1024
+#: A member knows so many grams before its own, by which a pair is known from there.
+BEFORE = 3
+#: Classes of a gram's group with which all others are compared, in one round after another,
+#: before all that are still apart are.
+HUBS = (1, 8)
 #: Bytes of different sets for each task that verifies pairs, on average.
 TASK = 16 << 20
 #: Classes of a component that are compared at once with as many others, and the bytes
@@ -193,32 +199,38 @@ def _least_overlap(percent: int, a: Column, b: Column) -> Column:
 
 
 def filters_by_place(percent: int, a: str, b: str) -> Column:
-    """Length and positional filter on two members of a gram's group.
+    """Length and positional filter on two members of the group of their first common gram.
 
-    The gram's positions split both sets in two, and the overlap is at most that of
-    the parts.
+    Before it they have nothing in common, so the overlap is at most the gram and what
+    follows it. Pairs that can link pass at their first common gram, at others they needn't.
     """
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     at_a, at_b = F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    most = F.least(at_a, at_b) + 1 + F.least(size_a - at_a - 1, size_b - at_b - 1)
+    most = F.least(size_a - at_a, size_b - at_b)
     return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (
         most >= _least_overlap(percent, size_a, size_b)
     )
 
 
 def may_link(percent: int, a: str, b: str) -> Column:
-    """The filters by place, and the suffix filter.
+    """The filters by place, the suffix filter, and that no common gram is known before.
 
-    For that a set has 1024 parities: where two differ, so do the sets, and more
-    differing elements than the overlap allows rule a pair out.
+    For the suffix filter a set has 1024 parities: where two differ, so do the sets, and
+    more differing elements than the overlap allows rule a pair out.
     """
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     differ = sum(
         (F.bit_count(F.col(f"{a}.parity")[k].bitwiseXOR(F.col(f"{b}.parity")[k])) for k in range(_PARITY // 64)),
         start=F.lit(0),
     )
-    return filters_by_place(percent, a, b) & (
-        differ <= size_a + size_b - 2 * _least_overlap(percent, size_a, size_b)
+    known = F.lit(False)
+    for i in range(BEFORE):
+        for k in range(BEFORE):
+            known |= F.col(f"{a}.before{i}") == F.col(f"{b}.before{k}")
+    return (
+        filters_by_place(percent, a, b)
+        & ~F.coalesce(known, F.lit(False))
+        & (differ <= size_a + size_b - 2 * _least_overlap(percent, size_a, size_b))
     )
 
 
@@ -230,6 +242,20 @@ def _with_partner(members: DataFrame, filters, percent: int) -> DataFrame:
     )
 
 
+def _with_hubs(members: DataFrame, order: Column, hubs: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of the members of each gram with the first few of them by `order`,
+    where they lie in different parts."""
+    place = F.row_number().over(Window.partitionBy("gram").orderBy(order, "cid"))
+    first = members.withColumn("place", place).where(F.col("place") <= hubs)
+    return (
+        members.alias("m")
+        .join(first.alias("f"), F.col("f.gram") == F.col("m.gram"))
+        .where((F.col("f.part") != F.col("m.part")) & may_link(percent, "f", "m"))
+        .select(F.least("f.cid", "m.cid").alias("a"), F.greatest("f.cid", "m.cid").alias("b"))
+        .distinct()
+    )
+
+
 def _few(rows: DataFrame) -> DataFrame:
     """Small rows, as a table; sent to all tasks unless they are many, so that the sets
     they are joined with needn't move for it."""
@@ -454,9 +480,9 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
     )
     rows = read.where("bucket < 0").select(F.col("doc_id").cast("long"), "size", "cid")
     counts = read.where("bucket >= 0").groupBy("bucket").agg(F.sum("seen").alias("seen"))
+    counts = counts.toArrow()  # 2 ** BITS rows at most
     seen = np.zeros(1 << BITS, np.int64)
-    for bucket, n in counts.collect():  # 2 ** BITS rows at most
-        seen[bucket] = n
+    seen[counts["bucket"].to_numpy()] = counts["seen"].to_numpy()
     seen = spark.sparkContext.broadcast(seen)
 
     classes = written(
@@ -465,17 +491,19 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         ).dropDuplicates(["cid"])
     )
     postings = classes.select("cid", "size", F.posexplode("prefix").alias("pos", "gram"))
-    # Grams of one class alone pair nothing; of grams with the same members one will do.
+    # Grams of one class alone pair nothing; of grams with the same members the first
+    # will do, which is the first to all of them.
     shared = (
         postings.groupBy("gram")
         .agg(
             F.count("*").alias("n"),
             F.sum(F.xxhash64("cid").bitwiseAND(F.lit((1 << 40) - 1))).alias("one"),
             F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("two"),
+            F.min(F.struct("cid", "pos")).alias("place"),
         )
         .where("n > 1")
         .groupBy("n", "one", "two")
-        .agg(F.min("gram").alias("gram"))
+        .agg(F.min_by("gram", "place").alias("gram"))
         .select("gram")
     )
     # Most members meet nobody that the filters let pass, and go: first by what they
@@ -483,6 +511,8 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
     members = postings.join(shared, "gram")
     members = written(_with_partner(members, filters_by_place, percent))
     members = members.join(classes.select("cid", "parity"), "cid")
+    order = Window.partitionBy("cid").orderBy("pos")
+    members = members.select("*", *(F.lag("gram", k + 1).over(order).alias(f"before{k}") for k in range(BEFORE)))
     members = written(_with_partner(members, may_link, percent))
 
     ids = (
@@ -497,11 +527,11 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
     held = sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
     tasks = max(1, math.ceil(held / TASK))
 
-    first = members.groupBy("gram").agg(F.min_by(F.struct("cid", "size", "pos", "parity"), "cid").alias("l"))
+    first = members.groupBy("gram").agg(F.min("cid").alias("top"))
     # A class's family: the smallest class that it shares a gram with, split where large.
     family = (
         members.select("gram", "cid")
-        .join(first.select("gram", F.col("l.cid").alias("top")), "gram")
+        .join(first, "gram")
         .groupBy("cid")
         .agg(F.min("top").alias("top"))
     )
@@ -511,32 +541,32 @@ def near_groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFra
         .select("cid", F.xxhash64("top", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("family"))
         .join(classes.select("cid", "size"), "cid")
     )
-    stars = (
-        members.alias("m")
-        .join(first.select("gram", "l.*").alias("f"), "gram")
-        .where((F.col("f.cid") < F.col("m.cid")) & may_link(percent, "f", "m"))
-        .select(F.col("f.cid").alias("a"), F.col("m.cid").alias("b"))
-        .distinct()
-    )
-    stars = written(stars)
-    links = verified(stars, sets, families, tasks, percent)
-    joined = written(components(links))
-
-    placed = members.join(joined, F.col("cid") == F.col("id"), "left").select(
-        members["*"], F.coalesce("component", "cid").alias("part")
-    )
-    apart = placed.groupBy("gram").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y")
-    placed = written(placed.join(apart, "gram", "left_semi"))
-    rest = (
-        placed.alias("p")
-        .join(placed.alias("q"), F.col("p.gram") == F.col("q.gram"))
-        .where((F.col("p.part") < F.col("q.part")) & may_link(percent, "p", "q"))
-        .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")  # those have been refused
-    )
-    more = verified(rest, sets, families, tasks, percent)
-    return rows, written(components(links.unionAll(more))), sets
+    placed, links, tried = members.withColumn("part", F.col("cid")), None, None
+    for turn, hubs in enumerate([*HUBS, None]):
+        if turn:
+            joined = written(components(links))
+            placed = members.join(joined, F.col("cid") == F.col("id"), "left").select(
+                members["*"], F.coalesce("component", "cid").alias("part")
+            )
+            apart = placed.groupBy("gram").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y")
+            placed = written(placed.join(apart.select("gram"), "gram", "left_semi"))
+        if hubs:
+            order = F.xxhash64(F.lit(turn), "cid") if turn else F.col("cid")
+            pairs = _with_hubs(placed, order, hubs, percent)
+        else:
+            pairs = (
+                placed.alias("p")
+                .join(placed.alias("q"), F.col("p.gram") == F.col("q.gram"))
+                .where((F.col("p.part") < F.col("q.part")) & may_link(percent, "p", "q"))
+                .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b"))
+                .distinct()
+            )
+        if turn:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")  # those have been refused
+        pairs = written(pairs)
+        found = verified(pairs, sets, families, tasks, percent)
+        links, tried = (links.unionAll(found), tried.unionAll(pairs)) if turn else (found, pairs)
+    return rows, written(components(links)), sets
 
 
 def grouped(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

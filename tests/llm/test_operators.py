@@ -908,3 +908,73 @@ def test_a_part_of_contexts_is_less_than_a_block(spark, monkeypatch):
     one = scores()
     assert several.keys() == one.keys()
     assert all(several[k] == pytest.approx(one[k]) for k in one)
+
+
+def test_near_copies_are_compared_in_proportion_to_their_number(spark, monkeypatch):
+    """Copies of a text that isn't there, many of them near each other: most meet in the
+    rounds of hubs, and what is still apart is few pairs, each from few grams."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(240)]
+
+    def edited(k):
+        out = list(base)
+        for _ in range(k):
+            out[rng.randrange(len(out))] = f"w{rng.randrange(10**6)}"
+        return " ".join(out)
+
+    texts = [edited(rng.randrange(1, 6)) for _ in range(90)]
+    calls, verified = [], jaccard_join.verified
+
+    def kept(pairs, *more):
+        found = verified(pairs, *more)
+        calls.append((pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "verified", kept)
+    got = {r.doc_id: r.component_id for r in jaccard_join.grouped(documents(spark, texts), 5, 80).collect()}
+    _, tops, links = plain_groups(texts, 5, 80)
+    assert got == {i: tops[i] for i in range(len(texts))}
+    assert len(links) > 200
+    assert calls[-1][0] < len(texts)
+
+
+def test_a_pair_is_known_by_its_first_common_gram(spark):
+    """No pair that can link is lost, and later common grams don't name it again."""
+    rng = random.Random(6)
+    row = "gram long, cid long, size long, pos int, part long, parity array<long>, " + ", ".join(
+        f"before{k} long" for k in range(jaccard_join.BEFORE)
+    )
+    sets = {c: sorted({*range(100), *rng.sample(range(100, 1000), 8)} - set(rng.sample(range(100), 4))) for c in range(6)}
+    rows = []
+    for c, grams in sets.items():
+        bits = np.packbits(np.bincount(np.array(grams) % 1024, minlength=1024).astype(np.uint8) & 1).view(np.int64).tolist()
+        for pos, gram in enumerate(grams[: jaccard_join.prefix_length(len(grams), 80)]):
+            before = [grams[pos - k - 1] if pos > k else None for k in range(jaccard_join.BEFORE)]
+            rows.append((gram, c, len(grams), pos, c, bits, *before))
+    members = spark.createDataFrame(rows, row)
+    found = (
+        members.alias("p")
+        .join(members.alias("q"), F.col("p.gram") == F.col("q.gram"))
+        .where((F.col("p.cid") < F.col("q.cid")) & jaccard_join.may_link(80, "p", "q"))
+        .select("p.cid", "q.cid").collect()
+    )
+    near = {
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})
+    }
+    assert near and near <= {tuple(r) for r in found}
+    assert len(found) < 2 * len(near)
+
+
+def test_texts_that_name_no_identities_are_held_once(spark, monkeypatch):
+    rows = [(i, "awful nasty words" if i % 2 else "pleasant kind words", i % 2) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen, fitted = [], toxicity.fitted
+    monkeypatch.setattr(toxicity, "fitted", lambda *a, **k: seen.append(a) or fitted(*a, **k))
+    plain = toxicity.classifier(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    named = docs.withColumn("text", F.concat(F.when(F.col("toxic") == 1, "women ").otherwise(""), "text"))
+    toxicity.classifier(named.select("doc_id", "text"), named.select("doc_id", "toxic"))
+    (own, _, swapped, *_), (named_own, _, named_swapped, *_) = seen
+    assert len(own) and own is swapped and named_own is not named_swapped
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, plain).collect()}
+    assert all((s > 0.5) == (i % 2 == 1) for i, s in scores.items())
