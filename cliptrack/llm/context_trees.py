@@ -12,7 +12,8 @@ Texts are cut into blocks of bounded size. A block reports its distinct contexts
 their counts, cut into parts by context; a part gathers its contexts from all blocks,
 and answers each block with what they are worth. So the model is spread over the
 cluster, no task holds more than a block or a part, and both stay the same size as the
-corpus grows. Words meet their counts the same way.
+corpus grows. Words meet their counts the same way. An answer names its contexts and
+words, so that a block needn't count them again.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,36 +71,39 @@ def _streams(texts: list[str | None], depth: int) -> Iterator[tuple[np.ndarray,
         yield grams(rows, parts)
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct one of sorted keys begins."""
+    return np.flatnonzero(np.append(np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]))
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and the sums of their counts."""
     every = np.concatenate([np.zeros(0, np.int64), *keys])
-    distinct, at = np.unique(every, return_inverse=True)
-    sums = np.bincount(at, np.concatenate([np.zeros(0), *counts]), len(distinct))
-    return distinct, sums.astype(np.int64)
+    order = np.argsort(every, kind="stable")  # merges what is sorted
+    every = every[order]
+    first = _firsts(every)
+    each = np.concatenate([np.zeros(0, np.int64), *counts])[order]
+    return every[first], np.add.reduceat(each, first) if len(first) else each
 
 
-def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in any order, and how often each occurs where it may be learnt."""
-    found = pc.value_counts(pa.array(keys[learn]))
-    seen, n = found.field(0).to_numpy(), found.field(1).to_numpy()
-    other = pc.unique(pa.array(keys[~learn])).to_numpy()
-    return np.concatenate([seen, other]), np.concatenate([n, np.zeros(len(other), np.int64)])
+def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sorted distinct keys where they may be learnt, and where not, and how often each is learnt."""
+    learnt, other = np.sort(keys[learn]), np.sort(keys[~learn])
+    first, rest = _firsts(learnt), _firsts(other)
+    return [learnt[first], other[rest]], [np.diff(first, append=len(learnt)), np.zeros(len(rest), np.int64)]
 
 
 def _block_words(texts: list[str | None], learn: np.ndarray):
-    """Sorted distinct words of a block with counts; every word and where rows begin."""
     words, begin = word_hashes(texts)
-    words = words.view(np.int64)
-    seen, n = _counted(words, np.repeat(learn, np.diff(begin)))
-    return *_summed([seen], [n]), words, begin
+    return _summed(*_counted(words.view(np.int64), np.repeat(learn, np.diff(begin))))
 
 
 def _block_grams(texts: list[str | None], learn: np.ndarray, depth: int):
     keys, counts = [], []
     for rows, grams in _streams(texts, depth):
         seen, n = _counted(grams, learn[rows])
-        keys.append(seen)
-        counts.append(n)
+        keys += seen
+        counts += n
     return _summed(keys, counts)
 
 
@@ -110,7 +112,7 @@ def _reports(depth: int, parts: int):
         texts, learn = frame["text"].tolist(), frame["learn"].to_numpy(bool)
         block, out = frame["block"].iloc[0], []
         for kind, (keys, counts) in (
-            ("word", _block_words(texts, learn)[:2]),
+            ("word", _block_words(texts, learn)),
             ("gram", _block_grams(texts, learn, depth)),
         ):
             part = part_of(kind, keys, depth, parts)
@@ -141,9 +143,9 @@ def _gathered(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _answered(frame: pd.DataFrame, keys: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    """A value for every key that a block has reported, in the order of the report."""
+    """A value for every key that a block has reported, beside the keys."""
     own = [values[np.searchsorted(keys, np.frombuffer(k, np.int64))].tobytes() for k in frame["keys"]]
-    return pd.DataFrame({"block": frame["block"], "kind": frame["kind"], "part": frame["part"], "values": own})
+    return pd.DataFrame({"block": frame["block"], "kind": frame["kind"], "keys": frame["keys"], "values": own})
 
 
 def _word_answers(frame: pd.DataFrame) -> pd.DataFrame:
@@ -276,31 +278,27 @@ def weighted(lowest: DataFrame, depth: int) -> DataFrame:
     return written(placed)
 
 
-def _scores(depth: int, parts: int, ends: int, tokens: int, distinct: int):
+def _scores(depth: int, ends: int, tokens: int, distinct: int):
     smoothed = math.log10(tokens + distinct + 1)
 
-    def values(answers: pd.DataFrame, kind: str, keys: np.ndarray) -> np.ndarray:
-        part = part_of(kind, keys, depth, parts)
-        order = np.argsort(part, kind="stable")
-        own = answers[answers["kind"] == kind].sort_values("part")["values"]
-        out = np.empty(len(keys))
-        out[order] = np.frombuffer(b"".join(own), float)
-        return out
+    def answered(answers: pd.DataFrame, kind: str) -> tuple[pd.Index, np.ndarray]:
+        own = answers[answers["kind"] == kind]
+        keys = np.frombuffer(b"".join(own["keys"]), np.int64)
+        return pd.Index(keys), np.frombuffer(b"".join(own["values"]), float)
 
     def run(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         texts, learn = frame["text"].tolist(), frame["learn"].to_numpy(bool)
         n = len(texts)
-        keys, _, words, begin = _block_words(texts, learn)
-        count = values(answers, "word", keys)
+        held, count = answered(answers, "word")
+        words, begin = word_hashes(texts)
         row = np.repeat(np.arange(n), np.diff(begin))
-        own = count[pc.index_in(pa.array(words), pa.array(keys)).to_numpy()] if len(words) else np.zeros(0)
+        own = count[held.get_indexer(words.view(np.int64))]
         base = np.bincount(row, np.log10(own + 1) - smoothed, n) + math.log10(ends + 1) - smoothed
         known = np.bincount(row, own > 0, n).astype(np.int64) + (ends > 0)
-        grams, _ = _block_grams(texts, learn, depth)
-        chance, held = values(answers, "gram", grams), pa.array(grams)
+        held, chance = answered(answers, "gram")
         score, size = np.zeros(n), np.zeros(n, np.int64)
         for rows, found in _streams(texts, depth):
-            score += np.bincount(rows, chance[pc.index_in(pa.array(found), held).to_numpy()], n)
+            score += np.bincount(rows, chance[held.get_indexer(found)], n)
             size += np.bincount(rows, minlength=n)
         return pd.DataFrame(
             {
@@ -342,7 +340,7 @@ def scored(documents: DataFrame, learn: Column, depth: int = DEPTH, block: int =
             _reports(depth, parts), "block int, kind string, part int, keys binary, counts binary"
         )
     )
-    answer = "block int, kind string, part int, values binary"
+    answer = "block int, kind string, keys binary, values binary"
     words = written(
         reports.where("kind = 'word'")
         .groupBy("part")
@@ -355,11 +353,11 @@ def scored(documents: DataFrame, learn: Column, depth: int = DEPTH, block: int =
         _above_leaves(depth), "part int, node long, zeros double, ones double, below double"
     )
     above = weighted(lowest, depth - 1)
-    answers = words.select("block", "kind", "part", "values").unionAll(
+    answers = words.select("block", "kind", "keys", "values").unionAll(
         grams.cogroup(above.groupBy("part")).applyInPandas(_gram_answers(depth), answer)
     )
     return dealt.cogroup(answers.groupBy("block")).applyInPandas(
-        _scores(depth, parts, ends, tokens, distinct),
+        _scores(depth, ends, tokens, distinct),
         "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double",
     ).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -966,6 +967,29 @@ def test_a_pair_is_known_by_its_first_common_gram(spark):
     assert len(found) < 2 * len(near)
 
 
+def test_a_block_is_not_counted_again_for_its_scores(monkeypatch):
+    """The answers name their contexts, in any order."""
+    frame = pd.DataFrame({"doc_id": ["1", "2", "3"], "text": ["One two", None, "two é"], "learn": True, "block": 0})
+    reports = context_trees._reports(2, 3)(frame)
+    answers = []
+    for _, some in reports.groupby(["kind", "part"]):
+        keys, counts = context_trees._gathered(some)
+        answers.append(context_trees._answered(some, keys, -counts.astype(float) if some["kind"].iloc[0] == "gram" else counts))
+    streams = list(context_trees._streams(frame["text"].tolist(), 2))
+    grams = Counter(g for _, found in streams for g in found.tolist())
+    for name in ("_block_words", "_block_grams"):
+        monkeypatch.setattr(context_trees, name, None)
+    answers = pd.concat([a.assign(values=[np.frombuffer(v, c).astype(float).tobytes() for v, c in zip(
+        a["values"], [float if k == "gram" else np.int64 for k in a["kind"]], strict=True)]) for a in answers[::-1]])
+    out = context_trees._scores(2, 3, 6, 4)(frame, answers)
+    want = [0.0, 0.0, 0.0]
+    for rows, found in streams:
+        for r, g in zip(rows.tolist(), found.tolist(), strict=True):
+            want[r] -= grams[g]
+    assert out["score"].tolist() == want
+    assert out["n_tokens"].tolist() == [3, 1, 3] and out["n_known"].tolist() == [3, 1, 3]
+
+
 def test_texts_that_name_no_identities_are_held_once(spark, monkeypatch):
     rows = [(i, "awful nasty words" if i % 2 else "pleasant kind words", i % 2) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
