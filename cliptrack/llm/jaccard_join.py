@@ -608,8 +608,14 @@ def without_near_copies(documents: DataFrame, width: int = 5, percent: int = 80)
     """
 
     @F.pandas_udf("long")
-    def class_numbers(texts: pd.Series) -> pd.Series:
-        return pd.Series([class_of(s) for s in gram_sets(texts.tolist(), width)], dtype="int64")
+    def class_numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([class_of(s) for s in gram_sets(texts.tolist(), width)], dtype="int64")
+        tidy()
+
+    # Else Spark would hash every text a second time, below what it projects, for the join's
+    # check for nulls: by another Python worker beside the first, which stays.
+    class_numbers = class_numbers.asNondeterministic()
 
     def key(column):
         return F.coalesce(F.concat(F.lit("+"), F.col(column).cast("string")), F.lit("-"))
@@ -630,7 +636,8 @@ def without_near_copies(documents: DataFrame, width: int = 5, percent: int = 80)
         F.xxhash64(*documents.columns).alias("sum"),
     )
     kept = marked.join(first, ["key", "cid"]).groupBy("key", "cid").agg(F.min_by("row", "sum").alias("row"))
-    return kept.select("row.*").unionByName(marked.where("cid = 0").select("row.*"))
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return kept.select("row.*").unionByName(documents.where(wordless))
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:

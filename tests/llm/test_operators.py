@@ -427,6 +427,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_a_text_is_hashed_once_for_what_stays(spark):
+    """One Python worker for each task of the last step, and rows without words in any case."""
+    texts = ["", None, " ", "\t\n\x0b\x0c\r ", "\x85", "\u2028", "\xa0\n", "\x1f", "a", "a ", "A\n", "\n\u2028"]
+    kept = jaccard_join.without_near_copies(documents(spark, texts))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("ArrowEvalPython|MapInPandas|MapInArrow", plan)) == 1
+    # Of "a" and of U+2028 one stays; the others are different words or none.
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+
+
 def test_ngram_join_of_nothing(spark):
     docs = documents(spark, ["a b c d", None])
     assert jaccard_join.grouped(docs.limit(0)).count() == 0
