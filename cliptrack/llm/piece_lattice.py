@@ -46,7 +46,7 @@ ALPHA = 0.5
 FLAT = 100.0
 SPACE = "▁"
 #: Bytes of lattices that a worker keeps; beyond it starts anew.
-MEMORY = 64 << 20
+MEMORY = 32 << 20
 #: Characters of a stretch. A longer one (without any space) is cut into such stretches,
 #: and no piece spans the cut.
 LONGEST = 4096
